@@ -1,9 +1,12 @@
-"""Money and ratio expressions.
-
-Money is DECIMAL(18,2) inside the engine and DOUBLE only at output, so sums are
-exact and order-free across partitions.  Ratios that the rules threshold on are
-rounded to four places with exact integer arithmetic on cents (half away from
-zero), so the decision at a boundary never depends on binary floating point.
+"""Money and ratio expressions on exact integer cents.
+
+Inside the engine every amount is a BIGINT number of cents and every rate a
+BIGINT in fixed units (1e-2, 1e-4 or 1e-6).  Products are rounded half away
+from zero with integer arithmetic, which is exactly what DECIMAL rounding gives,
+but stays on primitive longs inside whole-stage codegen (Spark's DECIMAL
+multiply goes through java.math.BigDecimal for every row).  Sums are exact and
+order-free across partitions; amounts become DOUBLE only at output, as
+``cents / 100.0`` -- the same correctly rounded double as casting DECIMAL(18,2).
 """
 
 from __future__ import annotations
@@ -20,35 +23,52 @@ def lit_dec(x: str | float | int) -> Column:
     return F.lit(Decimal(str(x)))
 
 
-def money(c: Column) -> Column:
-    """Round to cents (HALF_UP on decimals) and fix the type."""
-    return F.round(c, 2).cast(MONEY)
+def cents_lit(x: str) -> Column:
+    """A money literal such as "13.50" as cents."""
+    return F.lit(int((Decimal(x) * 100).to_integral_value()))
 
 
-def _exact_div(a: Column, b: Column) -> Column:
-    """floor(a / b) for a >= 0, b > 0, exact on BIGINT (a - a mod b is a multiple of b)."""
+def _floor_div(a: Column, b: Column | int) -> Column:
+    """floor(a / b) for a >= 0, b > 0, exact on BIGINT."""
+    b = F.lit(b) if isinstance(b, int) else b
     return ((a - F.pmod(a, b)) / b).cast("bigint")
 
 
-def ratio4(num: Column, den: Column, floor: str | None = "1.00") -> Column:
-    """round(num / max(den, floor), 4) as DOUBLE, exactly.
+def round_div(num: Column, den: Column | int) -> Column:
+    """num / den rounded half away from zero, for den > 0 (BIGINT)."""
+    den = F.lit(den) if isinstance(den, int) else den
+    a = F.abs(num) * 2 + den
+    q = _floor_div(a, den * 2)
+    return F.when(num < 0, -q).otherwise(q).cast("bigint")
+
+
+def scale(cents: Column, factor: Column, unit: int) -> Column:
+    """round(cents * factor / unit): an amount times a fixed-point factor, back in cents."""
+    return round_div(cents.cast("bigint") * factor.cast("bigint"), unit)
+
 
-    ``num`` and ``den`` are DECIMAL(*,2).  With ``floor=None`` the denominator is
-    used as is and must be positive where the ratio is wanted.
-    """
-    n = (num * 100).cast("bigint")
-    d_dec = F.greatest(den, lit_dec(floor)) if floor is not None else den
-    d = (d_dec * 100).cast("bigint")
-    a = F.abs(n) * 20000 + d
-    q = _exact_div(a, d * 2)
-    signed = F.when(n < 0, -q).otherwise(q)
-    return signed.cast("double") / F.lit(10000.0)
+def to_double(cents: Column) -> Column:
+    """Output form of an amount."""
+    return cents.cast("double") / F.lit(100.0)
 
 
-def mean_double(sum_dec: Column, n: Column) -> Column:
-    """Average from an exact decimal sum: cast to double then divide (hazard H2)."""
-    return sum_dec.cast("double") / n.cast("double")
+def sum_double(cents: Column) -> Column:
+    """Aggregate: exact sum of cents as DOUBLE amount."""
+    return F.sum(cents).cast("double") / F.lit(100.0)
 
 
-def to_double(c: Column) -> Column:
-    return c.cast("double")
+def mean_double(sum_cents: Column, n: Column) -> Column:
+    """Average from an exact cents sum: amount as double, then divided by the count (hazard H2)."""
+    return (sum_cents.cast("double") / F.lit(100.0)) / n.cast("double")
+
+
+def ratio4(num: Column, den: Column, floor_cents: int | None = 100) -> Column:
+    """round(num / max(den, floor), 4) as DOUBLE, exactly, from cents."""
+    n = num.cast("bigint")
+    d = (F.greatest(den, F.lit(floor_cents)) if floor_cents is not None else den).cast("bigint")
+    return round_div(n * 10000, d).cast("double") / F.lit(10000.0)
+
+
+def money(c: Column) -> Column:
+    """Round a DECIMAL to cents and fix the type (used at the DECIMAL boundary only)."""
+    return F.round(c, 2).cast(MONEY)

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.functions.draws import draw
-from claimlens.functions.money import MONEY, lit_dec, money
+from claimlens.functions.draws import draw, line_draw, uniform_e6
+from claimlens.functions.money import round_div, scale
 
 PANEL_CODES = ("80053", "85025")
 VENIPUNCTURE = "36415"
@@ -52,18 +52,15 @@ def v3_edit_type(family: Column, code: Column, line_no: Column, units: Column) -
 
 
 def _remaining_cents(start: Column, service_date: Column, trend_num: Column, trend_den: int) -> Column:
-    """max(0, start * (1 - doy/365 * trend)) rounded to cents, trend = trend_num / trend_den."""
-    start_c = (start * 100).cast("bigint")
+    """max(0, start * (1 - doy/365 * trend)) rounded to cents, trend = trend_num / trend_den (start in cents)."""
     doy = F.dayofyear(service_date).cast("bigint")
     den = 365 * trend_den
-    num = F.greatest(start_c * (F.lit(den) - doy * trend_num), F.lit(0))
-    a = num * 2 + den
-    cents = ((a - F.pmod(a, F.lit(2 * den))) / F.lit(2 * den)).cast("bigint")
-    return (cents.cast("decimal(18,0)") * lit_dec("0.01")).cast(MONEY)
+    num = F.greatest(start.cast("bigint") * (F.lit(den) - doy * trend_num), F.lit(0))
+    return round_div(num, den)
 
 
 def adjudicate(df: DataFrame, trend_num: Column | int = 9, trend_den: int = 10) -> DataFrame:
-    """A01 (trend .9): deductible, coinsurance and paid per line; zero when denied.
+    """A01 (trend .9): deductible, coinsurance and paid per line (cents); zero when denied.
 
     The remaining deductible is rounded to cents first; coinsurance and paid are
     rounded after zeroing denied lines.  No running deductible across lines.
@@ -72,25 +69,26 @@ def adjudicate(df: DataFrame, trend_num: Column | int = 9, trend_den: int = 10)
     rem = _remaining_cents(F.col("deductible_remaining_start"), F.col("service_date"), tn, trend_den)
     contract = F.col("contract_rate")
     ded = F.least(contract, rem)
-    coins = F.greatest(lit_dec("0"), (contract - ded) * F.col("coinsurance_rate"))
-    paid = F.greatest(lit_dec("0"), contract - ded - coins)
+    rest = F.greatest(contract - ded, F.lit(0))
+    coins = round_div(rest * F.col("coinsurance_rate"), 100)
+    paid = round_div(rest * (100 - F.col("coinsurance_rate")), 100)
     denied = F.col("claim_status") == "denied"
-    zero = lit_dec("0")
+    zero = F.lit(0).cast("bigint")
     return df.withColumns({
-        "applied_to_deductible": money(F.when(denied, zero).otherwise(ded)),
-        "coinsurance_amount": money(F.when(denied, zero).otherwise(coins)),
-        "paid_amount": money(F.when(denied, zero).otherwise(paid)),
+        "applied_to_deductible": F.when(denied, zero).otherwise(ded).cast("bigint"),
+        "coinsurance_amount": F.when(denied, zero).otherwise(coins).cast("bigint"),
+        "paid_amount": F.when(denied, zero).otherwise(paid).cast("bigint"),
     })
 
 
 def adjudicate_initial(df: DataFrame) -> DataFrame:
     """A01 with a drawn trend U(.65, 1.05) per line (before seeding)."""
-    trend_num = F.lit(6500) + draw(F.col("line_key"), "trend") * 4  # (0.65 + 0.40 h/10000) * 10000
+    trend_num = F.lit(6500) + line_draw("trend") * 4  # (0.65 + 0.40 h/10000) * 10000
     return adjudicate(df, trend_num, 10000)
 
 
 def paid_share(allowed: Column, denied: Column, key: Column, lo: str = "0.80", hi: str = "1.00",
                salt: str = "paid_share") -> Column:
-    """paid = allowed x U(lo, hi) unless denied."""
-    from claimlens.functions.draws import uniform
-    return money(F.when(denied, lit_dec("0")).otherwise(allowed * uniform(key, salt, lo, hi)))
+    """paid = allowed x U(lo, hi) unless denied (cents)."""
+    u = uniform_e6(draw(key, salt), lo, hi)
+    return F.when(denied, F.lit(0)).otherwise(scale(allowed, u, 1_000_000)).cast("bigint")

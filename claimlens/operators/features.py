@@ -89,18 +89,49 @@ def contract_ratios(df: DataFrame) -> DataFrame:
     })
 
 
+def _gid(all_cols: list[str], grouped: list[str]) -> int:
+    """grouping_id() of a grouping set: bit i (from the left) is 1 when column i is aggregated away."""
+    gid = 0
+    for c in all_cols:
+        gid = (gid << 1) | (0 if c in grouped else 1)
+    return gid
+
+
 def features_v6(df: DataFrame, scope: str = "global") -> DataFrame:
-    """G01-G05 for the v6 profile."""
-    df = duplicate_signature_count(df, scope=scope)
-    df = provider_day_and_avg(df, scope=scope)
-    df = code_avg(df, scope=scope)
-    return contract_ratios(df)
+    """G01-G05 for the v6 profile.
+
+    The four aggregates (signature count, provider-day count, provider mean, code
+    mean) come from one GROUPING SETS aggregate over a narrow projection, so the
+    upstream plan feeds a single Expand + partial aggregate instead of four; the
+    results are joined back (provider mean folded into the provider-day table, code
+    mean broadcast: its size is bounded by the fixed code catalogue).
+    """
+    sig = _scope(V6_SIGNATURE, scope)
+    day = _scope(["provider_id", "service_date"], scope)
+    prov = _scope(["provider_id"], scope)
+    code = _scope(["service_code"], scope)
+    cols = list(dict.fromkeys(sig))
+    narrow = df.select(*cols)
+    g = narrow.groupingSets([sig, day, prov, code], *cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("contract_rate").alias("_s"), F.grouping_id().alias("_gid"))
+
+    def part(keys: list[str]) -> DataFrame:
+        return g.filter(F.col("_gid") == _gid(cols, keys)).select(*keys, "_n", "_s")
+
+    sig_t = part(sig).select(*sig, F.col("_n").alias("duplicate_signature_count"))
+    prov_t = part(prov).select(*prov, mean_double(F.col("_s"), F.col("_n")).alias("provider_avg_contract_rate"))
+    day_t = part(day).select(*day, F.col("_n").alias("provider_day_claim_count")).join(prov_t, prov)
+    code_t = part(code).select(*code, mean_double(F.col("_s"), F.col("_n")).alias("service_code_avg_contract_rate"))
+    if scope == "global":
+        code_t = F.broadcast(code_t)
+    out = df.join(sig_t, sig, "left").join(day_t, day, "left").join(code_t, code, "left")
+    return contract_ratios(out)
 
 
 def allowed_ratios(billed: Column, allowed: Column, profile: str) -> Column:
     """billed/allowed -- fd no floor; v2 floor 1; v3 floor 1 and 0 when allowed = 0."""
     if profile == "fd":
-        return F.when(allowed > 0, ratio4(billed, allowed, floor=None))
+        return F.when(allowed > 0, ratio4(billed, allowed, floor_cents=None))
     r = ratio4(billed, allowed)
     if profile == "v3":
         return F.when(allowed == 0, F.lit(0.0)).otherwise(r)

@@ -9,13 +9,12 @@ upstream plan is never scanned twice.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.functions.draws import draw, int_between, uniform
-from claimlens.functions.money import money
+from claimlens.functions.draws import int_between, line_draw, uniform_e6
+from claimlens.functions.money import scale
 from claimlens.operators.edits import adjudicate, apply_edits
 from claimlens.sources import catalogs as C
 
@@ -43,7 +42,7 @@ def fraud_draw(df: DataFrame, params: SeedParams) -> Column:
         expr = (F.when(F.col("provider_class") == cls, F.lit(bp)) if expr is None
                 else expr.when(F.col("provider_class") == cls, F.lit(bp)))
     thr = expr.otherwise(thr) * params.propensity_mult
-    return draw(F.col("line_key"), "fraud") < thr
+    return line_draw("fraud") < thr
 
 
 def _label(df: DataFrame, mask: Column, ftype: str, reason: str, signal: str | None = None) -> DataFrame:
@@ -69,47 +68,47 @@ def init_labels(df: DataFrame) -> DataFrame:
 
 def seed_pricing_error(df: DataFrame, p: SeedParams) -> DataFrame:
     """contract x U(1.15, 1.85)."""
-    k = F.col("line_key")
-    df = df.withColumn("_m", F.col("_cand") & (draw(k, "pricing") < p.pricing_bp))
+    df = df.withColumn("_m", F.col("_cand") & (line_draw("pricing") < p.pricing_bp))
     m = F.col("_m")
-    df = df.withColumn("contract_rate", F.when(m, money(F.col("contract_rate") * uniform(k, "pricing_amt", "1.15", "1.85")))
+    u = uniform_e6(line_draw("pricing_amt"), "1.15", "1.85")
+    df = df.withColumn("contract_rate", F.when(m, scale(F.col("contract_rate"), u, 1_000_000))
                        .otherwise(F.col("contract_rate")))
     return _label(df, m, "pricing_error", "price_above_contract", "pricing_error_signal")
 
 
 def seed_egregious(df: DataFrame, p: SeedParams) -> DataFrame:
     """billed = (already modified) contract x U(6, 18), professional/institutional only."""
-    k = F.col("line_key")
     df = df.withColumn("_m", F.col("_cand") & F.col("claim_family").isin("institutional", "professional")
-                       & (draw(k, "egregious") < p.egregious_bp))
+                       & (line_draw("egregious") < p.egregious_bp))
     m = F.col("_m")
-    df = df.withColumn("billed_amount", F.when(m, money(F.col("contract_rate") * uniform(k, "egregious_amt", "6", "18")))
+    u = uniform_e6(line_draw("egregious_amt"), "6", "18")
+    df = df.withColumn("billed_amount", F.when(m, scale(F.col("contract_rate"), u, 1_000_000))
                        .otherwise(F.col("billed_amount")))
     return _label(df, m, "egregious_billing", "egregious_billed_charge", "egregious_charge_signal")
 
 
 def seed_excessive_units(df: DataFrame, p: SeedParams) -> DataFrame:
     """units = limit + 2..7 on codes with a unit limit; no signal column."""
-    k = F.col("line_key")
-    df = df.withColumn("_m", F.col("_cand") & F.col("mue_limit").isNotNull() & (draw(k, "units") < p.units_bp))
+    df = df.withColumn("_m", F.col("_cand") & F.col("mue_limit").isNotNull() & (line_draw("units") < p.units_bp))
     m = F.col("_m")
-    df = df.withColumn("units", F.when(m, F.col("mue_limit") + int_between(k, "units_amt", 2, 7)).otherwise(F.col("units")))
+    df = df.withColumn("units", F.when(m, F.col("mue_limit") + int_between(line_draw("units_amt"), 2, 7))
+                       .otherwise(F.col("units")))
     return _label(df, m, "excessive_units", "mue_like_units")
 
 
 def seed_upcoding(df: DataFrame, p: SeedParams) -> DataFrame:
     """shift the E&M level; allowed = new base x U(.95, 1.20); contract unchanged."""
-    k = F.col("line_key")
-    df = df.withColumn("_m", F.col("_cand") & F.col("service_code").isin(*C.UPCODE_MAP) & (draw(k, "upcode") < p.upcode_bp))
+    df = df.withColumn("_m", F.col("_cand") & F.col("service_code").isin(*C.UPCODE_MAP) & (line_draw("upcode") < p.upcode_bp))
     m = F.col("_m")
     new_code = F.element_at(F.create_map(*[F.lit(x) for kv in C.UPCODE_MAP.items() for x in kv]), F.col("service_code"))
-    bases = {row[0]: row[5] for row in C.PROCEDURES}
+    bases = {row[0]: C.cents(row[5]) for row in C.PROCEDURES}
     new_base = None
     for t in sorted(set(C.UPCODE_MAP.values())):
-        v = F.lit(Decimal(bases[t]))
+        v = F.lit(bases[t])
         new_base = F.when(new_code == t, v) if new_base is None else new_base.when(new_code == t, v)
+    u = uniform_e6(line_draw("upcode_amt"), "0.95", "1.20")
     df = df.withColumns({
-        "allowed_amount": F.when(m, money(new_base * uniform(k, "upcode_amt", "0.95", "1.20"))).otherwise(F.col("allowed_amount")),
+        "allowed_amount": F.when(m, scale(new_base, u, 1_000_000)).otherwise(F.col("allowed_amount")),
         "service_code": F.when(m, new_code).otherwise(F.col("service_code")),
     })
     return _label(df, m, "upcoding", "level_shift", "upcoding_signal")
@@ -117,10 +116,11 @@ def seed_upcoding(df: DataFrame, p: SeedParams) -> DataFrame:
 
 def seed_member_abuse(df: DataFrame, p: SeedParams) -> DataFrame:
     """member-submitted billed = allowed x U(3, 10)."""
-    k = F.col("line_key")
-    df = df.withColumn("_m", F.col("_cand") & (F.col("claim_family") == "member_submitted") & (draw(k, "member") < p.member_bp))
+    df = df.withColumn("_m", F.col("_cand") & (F.col("claim_family") == "member_submitted")
+                       & (line_draw("member") < p.member_bp))
     m = F.col("_m")
-    df = df.withColumn("billed_amount", F.when(m, money(F.col("allowed_amount") * uniform(k, "member_amt", "3", "10")))
+    u = uniform_e6(line_draw("member_amt"), "3", "10")
+    df = df.withColumn("billed_amount", F.when(m, scale(F.col("allowed_amount"), u, 1_000_000))
                        .otherwise(F.col("billed_amount")))
     return _label(df, m, "member_reimbursement_abuse", "outlier_member_submit", "member_submit_outlier_signal")
 
@@ -132,7 +132,7 @@ def seed_duplicates(df: DataFrame, p: SeedParams) -> DataFrame:
     carried as they are.  One pass: explode [0] or [0, 1].
     """
     m = F.col("provider_class").isin("medium_risk", "bad_actor") & (
-        draw(F.col("line_key"), "dup") < p.dup_bp * p.propensity_mult)
+        line_draw("dup") < p.dup_bp * p.propensity_mult)
     df = df.withColumn("_copy", F.explode(F.when(m, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     c = F.col("_copy") == 1
     df = df.withColumns({

@@ -17,8 +17,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimlens.functions.draws import draw, draw_key, weighted_category
-from claimlens.functions.money import MONEY, lit_dec, money
+from claimlens.functions.draws import draw, draw_key, line_draw, weighted_category, with_digests
+from claimlens.functions.money import round_div, scale
 from claimlens.sources import catalogs as C
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount"]
@@ -27,10 +27,8 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extende
 def _case(col: Column, mapping: dict, default) -> Column:
     expr = None
     for k, v in mapping.items():
-        val = F.lit(Decimal(v)) if isinstance(v, str) and v.replace(".", "").isdigit() else F.lit(v)
-        expr = F.when(col == k, val) if expr is None else expr.when(col == k, val)
-    dval = F.lit(Decimal(default)) if isinstance(default, str) and default.replace(".", "").isdigit() else F.lit(default)
-    return expr.otherwise(dval)
+        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
+    return expr.otherwise(F.lit(default))
 
 
 def _pick(items: list[str], idx: Column) -> Column:
@@ -38,12 +36,17 @@ def _pick(items: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in items]), (idx + 1).cast("int"))
 
 
+def _e2(x: str) -> int:
+    """A rate such as "0.25" in units of 1e-2."""
+    return int(Decimal(x) * 100)
+
+
 # ----------------------------------------------------------------------------- D rows
 
 def member_benefits(plan: Column) -> tuple[Column, Column]:
-    """Plan -> (annual deductible DECIMAL(18,2), coinsurance DECIMAL(4,2))."""
-    ded = _case(plan, {k: v[0] for k, v in C.PLAN_BENEFITS.items()}, C.PLAN_DEFAULT[0]).cast(MONEY)
-    coins = _case(plan, {k: v[1] for k, v in C.PLAN_BENEFITS.items()}, C.PLAN_DEFAULT[1]).cast("decimal(4,2)")
+    """Plan -> (annual deductible in cents, coinsurance in 1e-2)."""
+    ded = _case(plan, {k: C.cents(v[0]) for k, v in C.PLAN_BENEFITS.items()}, C.cents(C.PLAN_DEFAULT[0])).cast("bigint")
+    coins = _case(plan, {k: _e2(v[1]) for k, v in C.PLAN_BENEFITS.items()}, _e2(C.PLAN_DEFAULT[1])).cast("int")
     return ded, coins
 
 
@@ -54,12 +57,12 @@ def high_risk_member(age: Column, chronic: Column) -> Column:
 
 def provider_propensity(cls: Column) -> Column:
     """D03 (v6 form)."""
-    return _case(cls, {k: v for k, v in C.CLASS_PROPENSITY.items()}, C.PROPENSITY_DEFAULT).cast("double")
+    return _case(cls, dict(C.CLASS_PROPENSITY), C.PROPENSITY_DEFAULT).cast("double")
 
 
 def provider_discount(specialty: Column) -> Column:
-    """Hospital .38, Pharmacy .22, Administration .10, else .28."""
-    return _case(specialty, C.SPECIALTY_DISCOUNT, C.DISCOUNT_DEFAULT).cast("decimal(4,2)")
+    """D04 in 1e-2: Hospital 38, Pharmacy 22, Administration 10, else 28."""
+    return _case(specialty, {k: _e2(v) for k, v in C.SPECIALTY_DISCOUNT.items()}, _e2(C.DISCOUNT_DEFAULT)).cast("int")
 
 
 def provider_type(specialty: Column, facility_specialties=("Hospital",)) -> Column:
@@ -92,7 +95,7 @@ def providers_from_supplier(supplier: DataFrame) -> DataFrame:
 
 
 def members_from_customer(customer: DataFrame) -> DataFrame:
-    """Member dimension (v6 shape) derived from the customer table."""
+    """Member dimension (v6 shape) derived from the customer table; money in cents."""
     k = F.col("c_custkey")
     plan = _case(F.col("c_mktsegment"), C.PLAN_BY_SEGMENT, C.PLAN_OTHER)
     ded, coins = member_benefits(plan)
@@ -105,7 +108,7 @@ def members_from_customer(customer: DataFrame) -> DataFrame:
         plan.alias("plan_type"),
         ded.alias("annual_deductible"),
         coins.alias("coinsurance_rate"),
-        (ded * (F.pmod(k, F.lit(86)) + 15) * lit_dec("0.01")).cast(MONEY).alias("deductible_remaining_start"),
+        round_div(ded * (F.pmod(k, F.lit(86)) + 15), 100).alias("deductible_remaining_start"),
         F.col("c_nationkey").alias("member_state"),
     )
 
@@ -138,29 +141,32 @@ def pos_flags(pos: Column) -> tuple[Column, Column, Column]:
 
 
 def severity_factor(family: Column, chronic: Column, pos: Column, etype: Column, profile: str = "v6") -> Column:
-    """P04 as DECIMAL: professional 1+.035c+.15(POS21); institutional 1+.05c+.35(inpatient) (v6)."""
-    c = chronic.cast("decimal(6,0)")
+    """P04 in 1e-4: professional 1+.035c+.15(POS21); institutional 1+.05c+.35(inpatient) (v6)."""
+    c = chronic.cast("bigint")
+
+    def ind(cond: Column, e4: int) -> Column:
+        return F.when(cond, F.lit(e4)).otherwise(F.lit(0))
+
     if profile == "v6":
-        prof = lit_dec("1") + c * lit_dec("0.035") + F.when(pos == "21", lit_dec("0.15")).otherwise(lit_dec("0"))
-        inst = lit_dec("1") + c * lit_dec("0.05") + F.when(etype == "inpatient_facility", lit_dec("0.35")).otherwise(lit_dec("0"))
+        prof = 10000 + c * 350 + ind(pos == "21", 1500)
+        inst = 10000 + c * 500 + ind(etype == "inpatient_facility", 3500)
     elif profile == "v3":
-        prof = lit_dec("1") + c * lit_dec("0.035") + F.when(pos == "21", lit_dec("0.15")).otherwise(lit_dec("0"))
-        inst = lit_dec("1") + c * lit_dec("0.05") + F.when(pos == "21", lit_dec("0.30")).otherwise(lit_dec("0"))
+        prof = 10000 + c * 350 + ind(pos == "21", 1500)
+        inst = 10000 + c * 500 + ind(pos == "21", 3000)
     elif profile == "v2":
-        prof = (lit_dec("1") + c * lit_dec("0.04") + F.when(pos == "21", lit_dec("0.35")).otherwise(lit_dec("0"))
-                + F.when(pos == "23", lit_dec("0.08")).otherwise(lit_dec("0")))
+        prof = 10000 + c * 400 + ind(pos == "21", 3500) + ind(pos == "23", 800)
         inst = prof
     else:  # fd
-        prof = lit_dec("1") + c * lit_dec("0.03") + F.when(pos == "21", lit_dec("0.25")).otherwise(lit_dec("0"))
+        prof = 10000 + c * 300 + ind(pos == "21", 2500)
         inst = prof
     return (F.when(family == "institutional", inst)
             .when(family == "professional", prof)
-            .otherwise(lit_dec("1"))).cast("decimal(8,4)")
+            .otherwise(F.lit(10000))).cast("bigint")
 
 
-def age_factor(age: Column, step: str = "0.002") -> Column:
-    """1 + max(age - 50, 0) * step (fd .002, v2 .0025)."""
-    return (lit_dec("1") + F.greatest(age - 50, F.lit(0)).cast("decimal(6,0)") * lit_dec(step)).cast("decimal(8,4)")
+def age_factor(age: Column, step_e4: int = 20) -> Column:
+    """P05 in 1e-4: 1 + max(age - 50, 0) * step (fd .002 -> 20, v2 .0025 -> 25)."""
+    return (F.lit(10000) + F.greatest(age - 50, F.lit(0)) * step_e4).cast("bigint")
 
 
 def clip_units(units: Column, hi: int = 6) -> Column:
@@ -168,33 +174,32 @@ def clip_units(units: Column, hi: int = 6) -> Column:
     return F.least(F.greatest(units, F.lit(1)), F.lit(hi)).cast("int")
 
 
-def contract_rate(allowed: Column, specialty: Column, discount: Column) -> Column:
+def contract_rate(allowed: Column, specialty: Column, discount_e2: Column) -> Column:
     """round(allowed * (1 - d), 2); d = .35 for Hospital, else provider discount (null -> .25)."""
-    d = F.when(specialty == "Hospital", lit_dec(C.HOSPITAL_CONTRACT_DISCOUNT)).otherwise(
-        F.coalesce(discount, lit_dec(C.MISSING_DISCOUNT)))
-    return money(allowed * (lit_dec("1") - d))
+    d = F.when(specialty == "Hospital", F.lit(_e2(C.HOSPITAL_CONTRACT_DISCOUNT))).otherwise(
+        F.coalesce(discount_e2, F.lit(_e2(C.MISSING_DISCOUNT))))
+    return scale(allowed, 100 - d, 100)
 
 
 def billed_amount(allowed: Column, contract: Column, family: Column, qty: Column) -> Column:
     """max(allowed, contract) x multiplier; institutional 1.8..4.5, else 1.15..2.8 (by quantity)."""
-    q = qty.cast("decimal(6,0)")
-    mult = F.when(family == "institutional", lit_dec("1.8") + lit_dec("0.054") * q).otherwise(
-        lit_dec("1.15") + lit_dec("0.033") * q)
-    return money(F.greatest(allowed, contract) * mult)
+    q = qty.cast("bigint")
+    mult_e3 = F.when(family == "institutional", 1800 + 54 * q).otherwise(1150 + 33 * q)
+    return scale(F.greatest(allowed, contract), mult_e3, 1000)
 
 
 def denial_assignment(family: Column, line_key: Column) -> tuple[Column, Column]:
     """P12 (v6): status and reason; reason "" when paid."""
     thr = _case(family, {k: int(v * 10000) for k, v in C.DENIAL_RATE.items()}, int(C.DENIAL_DEFAULT * 10000))
-    denied = draw(line_key, "deny") < thr
+    denied = line_draw("deny") < thr
     status = F.when(denied, "denied").otherwise("paid")
-    reason = F.when(denied, _pick(C.DENIAL_REASONS, F.pmod(draw(line_key, "reason"), F.lit(len(C.DENIAL_REASONS))))).otherwise("")
+    reason = F.when(denied, _pick(C.DENIAL_REASONS, F.pmod(line_draw("reason"), F.lit(len(C.DENIAL_REASONS))))).otherwise("")
     return status, reason
 
 
 def payment_type(line_key: Column) -> Column:
     """Check .18, electronic .72, checkless .10."""
-    return weighted_category(line_key, "pay", C.PAYMENT_TYPES)
+    return weighted_category(line_draw("pay"), C.PAYMENT_TYPES)
 
 
 def code_key(family: Column, ndc: Column, revenue: Column, code: Column, with_pharmacy: bool = True) -> Column:
@@ -261,7 +266,7 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
         F.row_number().over(ordered).cast("int").alias("claim_line_no"),
         "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("int").alias("qty"),
-        F.col("l_discount").cast("decimal(4,2)").alias("disc"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("disc_e2"),
         F.to_date("l_shipdate").alias("service_date"),
         "member_id", "member_age", "member_gender", "chronic_score", "plan_type",
         "annual_deductible", "coinsurance_rate", "deductible_remaining_start",
@@ -297,6 +302,7 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
 
     cat = F.broadcast(service_catalog_df(spark))
     df = df.join(cat, df.service_code == cat.code, "left").drop("code")
+    df = with_digests(df)
 
     fam = F.col("claim_family")
     pos = (F.when(F.col("etype0") == "ed_facility", "23").when(F.col("etype0") == "inpatient_facility", "21")
@@ -315,9 +321,9 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
         F.col("cat_drug_type").alias("drug_type"),
         F.when(fam == "pharmacy", F.col("service_code")).alias("ndc"),
     )
-    noise = (lit_dec("0.80") + lit_dec("4") * F.col("disc")).cast("decimal(6,2)")
-    sev = severity_factor(fam, F.col("chronic_score"), F.col("place_of_service"), F.col("etype0"))
-    allowed = money(F.col("base_allowed") * F.col("units").cast("decimal(6,0)") * sev * noise)
+    noise_e2 = F.lit(80) + F.col("disc_e2") * 4
+    sev_e4 = severity_factor(fam, F.col("chronic_score"), F.col("place_of_service"), F.col("etype0"))
+    allowed = scale(F.col("base_cents"), F.col("units") * sev_e4 * noise_e2, 1_000_000)
     df = df.withColumn("allowed_amount", allowed)
     df = df.withColumn("contract_rate", contract_rate(F.col("allowed_amount"), F.col("provider_specialty"),
                                                       F.col("contract_discount_rate")))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.functions.money import mean_double
+from claimlens.functions.money import mean_double, ratio4, sum_double, to_double
 from claimlens.operators.shape import claim_key
 
 RISKY = ("medium_risk", "bad_actor")
@@ -28,7 +28,7 @@ def _mean_int(c: str) -> Column:
 
 
 def _money_sum(c: str) -> Column:
-    return F.sum(c).cast("double")
+    return sum_double(F.col(c))
 
 
 def _money_mean(c: str) -> Column:
@@ -238,7 +238,7 @@ def provider_rollup(df: DataFrame) -> DataFrame:
     )
     return agg.join(peak, "provider_id").select(
         "provider_id", "lines", "fraud_lines", "flagged_lines",
-        F.col("allowed_total").cast("double").alias("allowed_total"), "max_day_lines",
+        to_double(F.col("allowed_total")).alias("allowed_total"), "max_day_lines",
         (F.col("fraud_lines") / F.col("lines")).alias("fraud_rate"),
         (F.col("flagged_lines") / F.col("lines")).alias("flag_rate"))
 
@@ -335,7 +335,7 @@ def status_profile(df: DataFrame) -> DataFrame:
     return g.crossJoin(total).select(
         "claim_status", "denial_reason", "line_count",
         (F.col("line_count") / F.col("_all")).alias("share_of_lines"),
-        F.col("_b").cast("double").alias("billed_total"), F.col("_p").cast("double").alias("paid_total"))
+        to_double(F.col("_b")).alias("billed_total"), to_double(F.col("_p")).alias("paid_total"))
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
@@ -407,14 +407,14 @@ def episode_summary(df: DataFrame) -> DataFrame:
     """Facility and linked professional lines and dollars side by side per episode."""
     inst = F.col("claim_family") == "institutional"
     prof = F.col("linked_facility_claim") == 1
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast("bigint")
     g = df.groupBy("episode_id").agg(
         F.count_if(inst).alias("facility_lines"),
-        F.sum(F.when(inst, F.col("billed_amount")).otherwise(zero)).cast("double").alias("facility_billed"),
-        F.sum(F.when(inst, F.col("paid_amount")).otherwise(zero)).cast("double").alias("facility_paid"),
+        sum_double(F.when(inst, F.col("billed_amount")).otherwise(zero)).alias("facility_billed"),
+        sum_double(F.when(inst, F.col("paid_amount")).otherwise(zero)).alias("facility_paid"),
         F.count_if(prof).alias("professional_lines"),
-        F.sum(F.when(prof, F.col("billed_amount")).otherwise(zero)).cast("double").alias("professional_billed"),
-        F.sum(F.when(prof, F.col("paid_amount")).otherwise(zero)).cast("double").alias("professional_paid"),
+        sum_double(F.when(prof, F.col("billed_amount")).otherwise(zero)).alias("professional_billed"),
+        sum_double(F.when(prof, F.col("paid_amount")).otherwise(zero)).alias("professional_paid"),
         F.max("flagged_for_review").alias("episode_flag"),
         F.max("fraud_label").alias("episode_fraud"),
     )
@@ -423,7 +423,6 @@ def episode_summary(df: DataFrame) -> DataFrame:
 
 def dictionary_fields(df: DataFrame) -> DataFrame:
     """Derived dictionary fields per line."""
-    from claimlens.functions.money import ratio4
     from claimlens.operators.shape import contract_rate as p09
     d = with_claim_key(df)
     per_claim = d.groupBy("claim_key").agg(F.count(F.lit(1)).alias("service_line_count"))
@@ -431,13 +430,13 @@ def dictionary_fields(df: DataFrame) -> DataFrame:
     out = d.join(per_claim, "claim_key").withColumn("_exp", expected)
     return out.select(
         "line_id",
-        (F.col("applied_to_deductible") + F.col("coinsurance_amount")).cast("double").alias("member_liability_amount"),
+        to_double(F.col("applied_to_deductible") + F.col("coinsurance_amount")).alias("member_liability_amount"),
         ratio4(F.col("billed_amount"), F.col("allowed_amount")).alias("charge_to_allowed_ratio"),
         ratio4(F.col("allowed_amount"), F.col("contract_rate")).alias("allowed_to_contract_ratio"),
         "service_line_count",
         F.col("rule_duplicate").alias("duplicate_flag"),
         F.col("rule_egregious_billed").alias("egregious_charge_flag"),
-        F.col("_exp").cast("double").alias("expected_contract_rate"),
-        F.greatest(F.col("contract_rate") - F.col("_exp"), F.lit(0).cast("decimal(18,2)")).cast("double").alias("pricing_error_amount"),
+        to_double(F.col("_exp")).alias("expected_contract_rate"),
+        to_double(F.greatest(F.col("contract_rate") - F.col("_exp"), F.lit(0))).alias("pricing_error_amount"),
         (F.col("contract_rate") != F.col("_exp")).cast("int").alias("contract_mismatch_flag"),
     )

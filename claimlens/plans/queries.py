@@ -10,10 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens.functions.money import to_double
 from claimlens.operators import evaluate as V
 from claimlens.operators import summaries as S
 from claimlens.operators.rules import review_queue
-from claimlens.plans.v6 import TEST_CONFIG, V6_COLUMNS, final_projection, scored_lines, shaped_lines
+from claimlens.plans.v6 import TEST_CONFIG, V6_COLUMNS, final_projection, materialized_lines, shaped_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,7 +92,7 @@ SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_lines(spark, sf_dir, TEST_CONFIG)
+    return materialized_lines(spark, sf_dir, TEST_CONFIG)
 
 
 def _projection(cols: list[str]) -> Query:
@@ -114,15 +115,15 @@ def claims_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         F.col("enc_key").alias("order_key"), "claim_line_no", "member_id", "provider_id", "service_date",
         "encounter_type", "claim_family", "service_code", "units",
-        F.col("allowed_amount").cast("double").alias("allowed_amount"),
-        F.col("contract_rate").cast("double").alias("contract_rate"),
-        F.col("billed_amount").cast("double").alias("billed_amount"),
+        to_double(F.col("allowed_amount")).alias("allowed_amount"),
+        to_double(F.col("contract_rate")).alias("contract_rate"),
+        to_double(F.col("billed_amount")).alias("billed_amount"),
         "claim_status", "denial_reason", "payment_type")
 
 
 def review_queue_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     rq = review_queue(_lines(spark, sf_dir))
-    return rq.select(*[F.col(c).cast("double").alias(c) if c in ("billed_amount", "contract_rate") else F.col(c)
+    return rq.select(*[to_double(F.col(c)).alias(c) if c in ("billed_amount", "contract_rate") else F.col(c)
                        for c in rq.columns])
 
 

@@ -15,6 +15,7 @@ from claimlens.operators.features import features_v6, with_chunk_id
 from claimlens.operators.rules import RulesV6, TEST_RULES, apply_rules_v6
 from claimlens.operators.seed import SeedParams, seed_all_v6
 from claimlens.operators.shape import claims_from_star
+from claimlens.session import stage_table
 from claimlens.sources.tables import star_tables
 
 # 68 output columns, in order; money and rates leave the engine as DOUBLE.
@@ -70,9 +71,16 @@ def seeded_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG)
     return seed_all_v6(shaped_lines(spark, sf_dir), cfg.seed)
 
 
-def scored_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG) -> DataFrame:
-    """Internal line table after rules: money still DECIMAL, internal keys kept."""
+def scored_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG, stage: bool = True) -> DataFrame:
+    """Internal line table after rules: money in cents, internal keys kept.
+
+    With ``stage=True`` the seeded table is written once (parquet, shared
+    checkpoint folder) before the features: the feature aggregates and the join
+    back then read it instead of re-running shaping and seeding per consumer.
+    """
     df = seeded_lines(spark, sf_dir, cfg)
+    if stage:
+        df = stage_table(df.drop(*[c for c in df.columns if c.startswith("_md5_")]), "seeded")
     if cfg.scope == "chunk":
         df = with_chunk_id(df, cfg.chunk_size)
     df = features_v6(df, scope=cfg.scope)
@@ -80,13 +88,40 @@ def scored_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG)
     return df.withColumn("line_id", F.format_string("L%09d_%08d", F.col("enc_key"), F.col("claim_line_no")))
 
 
+_MATERIALIZED: dict[tuple, DataFrame] = {}
+
+
+def materialized_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG) -> DataFrame:
+    """The scored line table, computed once per session and cut from its lineage.
+
+    Summaries read the line table many times; recomputing the whole pipeline per
+    read would multiply the shuffles.  ``checkpoint()`` writes it to the shared
+    ``spark.checkpoint.dir`` (reliable: a lost executor does not lose it).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, cfg)
+    if key not in _MATERIALIZED:
+        _MATERIALIZED[key] = stage_table(scored_lines(spark, sf_dir, cfg), "scored")
+    return _MATERIALIZED[key]
+
+
+# Internal fixed-point columns: amounts in cents, rates in 1e-2.
+CENTS_COLUMNS = {"annual_deductible", "deductible_remaining_start", "allowed_amount", "contract_rate",
+                 "billed_amount", "applied_to_deductible", "coinsurance_amount", "paid_amount"}
+E2_COLUMNS = {"coinsurance_rate", "contract_discount_rate"}
+
+
+def output_value(df: DataFrame, c: str, t: str):
+    """A column in its output form: cents and 1e-2 rates become DOUBLE; others cast to ``t``."""
+    if c not in df.columns:
+        return F.lit(None).cast(t).alias(c)
+    if c in CENTS_COLUMNS or c in E2_COLUMNS:
+        return (F.col(c).cast("double") / F.lit(100.0)).alias(c)
+    return F.col(c).cast(t).alias(c)
+
+
 def final_projection(df: DataFrame, columns=V6_COLUMNS, drop=()) -> DataFrame:
     """P20: fixed column order and types; absent columns become typed nulls."""
-    present = set(df.columns)
-    return df.select([
-        (F.col(c) if c in present else F.lit(None)).cast(t).alias(c)
-        for c, t in columns if c not in drop
-    ])
+    return df.select([output_value(df, c, t) for c, t in columns if c not in drop])
 
 
 def v6_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG) -> DataFrame:

@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -30,6 +31,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor; give it the machine's memory
+            builder = builder.config("spark.driver.memory", os.environ.get("CLAIMLENS_DRIVER_MEMORY", "16g"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -56,6 +60,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    A lineage cut like ``checkpoint()``, but columnar: later readers prune columns
+    and push filters into the scan.  The written table survives executor loss.
+    """
+    import uuid
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/claimlens-stage/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
     checkpoint_dir(df.sparkSession)
