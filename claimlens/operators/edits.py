@@ -17,6 +17,7 @@ from claimlens.functions.money import round_div, scale
 PANEL_CODES = ("80053", "85025")
 VENIPUNCTURE = "36415"
 NO_LIMIT = 9999
+V3_PTP_CODES = ("36415", "80048", "80053", "85025")
 
 
 def ncci_like_edit(df: DataFrame, enc_cols=("enc_key", "encounter_id")) -> DataFrame:
@@ -44,10 +45,10 @@ def apply_edits(df: DataFrame) -> DataFrame:
 
 def v3_edit_type(family: Column, code: Column, line_no: Column, units: Column) -> tuple[Column, Column]:
     """PTP-like (professional lab code on a line > 1) wins over MUE-like units."""
-    ptp = (family == "professional") & code.isin("80053", "85025", "36415", "83036") & (line_no > 1)
+    ptp = (family == "professional") & code.isin(*V3_PTP_CODES) & (line_no > 1)
     mue = (((family == "professional") & (units >= 8)) | ((family == "institutional") & (units >= 20))
            | ((family == "pharmacy") & (units >= 90)))
-    etype = F.when(ptp, "PTP").when(mue, "MUE").otherwise("none")
+    etype = F.when(ptp, "NCCI_PTP_LIKE").when(mue, "MUE_LIKE").otherwise("none")
     return (ptp | mue).cast("int"), etype
 
 

@@ -128,6 +128,30 @@ def features_v6(df: DataFrame, scope: str = "global") -> DataFrame:
     return contract_ratios(out)
 
 
+def group_features(df: DataFrame, value: str, specs: list[tuple[list[str], dict[str, str]]],
+                   broadcast_keys: list[list[str]] = ()) -> DataFrame:
+    """Counts / means of ``value`` over several key sets from one GROUPING SETS aggregate.
+
+    ``specs``: (keys, {output name: "count" | "mean"}).  Each key set's result is
+    joined back on its keys; key sets listed in ``broadcast_keys`` have a proven
+    small size (fixed code catalogues) and are broadcast.
+    """
+    cols = list(dict.fromkeys(c for keys, _ in specs for c in keys))
+    sets = [keys for keys, _ in specs]
+    g = df.select(*cols, value).groupingSets(sets, *cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"), F.grouping_id().alias("_gid"))
+    out = df
+    for keys, outputs in specs:
+        part = g.filter(F.col("_gid") == _gid(cols, keys))
+        sel = [F.col("_n").alias(n) if how == "count" else mean_double(F.col("_s"), F.col("_n")).alias(n)
+               for n, how in outputs.items()]
+        part = part.select(*keys, *sel)
+        if keys in [list(b) for b in broadcast_keys]:
+            part = F.broadcast(part)
+        out = out.join(part, keys, "left")
+    return out
+
+
 def allowed_ratios(billed: Column, allowed: Column, profile: str) -> Column:
     """billed/allowed -- fd no floor; v2 floor 1; v3 floor 1 and 0 when allowed = 0."""
     if profile == "fd":

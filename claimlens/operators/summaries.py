@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions.money import mean_double, ratio4, sum_double, to_double
+from claimlens.functions.scalar import attach, combine
 from claimlens.operators.shape import claim_key
 
 RISKY = ("medium_risk", "bad_actor")
@@ -91,7 +92,7 @@ def _level_rates(df: DataFrame) -> DataFrame:
     claim = claim_level(df).agg(_mean_int("claim_fraud").alias("claim_fraud_rate"), _mean_int("claim_flag").alias("claim_flag_rate"))
     enc = encounter_level(df).agg(_mean_int("encounter_fraud").alias("encounter_fraud_rate"),
                                   _mean_int("encounter_flag").alias("encounter_flag_rate"))
-    return line.crossJoin(claim).crossJoin(enc)  # three one-row frames
+    return combine(line, claim, enc)  # three one-row frames
 
 
 def _distinct_count(df: DataFrame, col: str, name: str) -> DataFrame:
@@ -107,10 +108,9 @@ def dataset_metrics(df: DataFrame) -> DataFrame:
         _rate(F.col("claim_family") == "institutional").alias("institutional_share"),
         _mean_int("linked_facility_claim").alias("linked_facility_professional_share"),
     )
-    one = (base.crossJoin(_distinct_count(df, "member_id", "unique_members"))
-           .crossJoin(_distinct_count(df, "provider_id", "unique_providers"))
-           .crossJoin(_distinct_count(df, "encounter_id", "unique_encounters"))
-           .crossJoin(_level_rates(df)))
+    one = combine(base, _distinct_count(df, "member_id", "unique_members"),
+                  _distinct_count(df, "provider_id", "unique_providers"),
+                  _distinct_count(df, "encounter_id", "unique_encounters"), _level_rates(df))
     names = ["rows", "unique_members", "unique_providers", "unique_encounters",
              "line_fraud_rate", "line_flag_rate", "claim_fraud_rate", "claim_flag_rate",
              "encounter_fraud_rate", "encounter_flag_rate",
@@ -124,17 +124,17 @@ def dataset_metrics_v5(df: DataFrame) -> DataFrame:
     """The 10-metric v5 form."""
     base = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        _mean_int("fraud_label").alias("line_fraud_rate"),
-        _mean_int("flagged_for_review").alias("line_flag_rate"),
+        _mean_int("fraud_label").alias("fraud_rate"),
+        _mean_int("flagged_for_review").alias("flag_rate"),
         _rate(F.col("claim_status") == "denied").alias("denial_rate"),
         _rate(F.col("claim_family") == "pharmacy").alias("pharmacy_share"),
         _rate(F.col("claim_family") == "institutional").alias("institutional_share"),
         _mean_int("linked_facility_claim").alias("linked_facility_professional_share"),
     )
-    one = (base.crossJoin(_distinct_count(df, "member_id", "unique_members"))
-           .crossJoin(_distinct_count(df, "provider_id", "unique_providers"))
-           .crossJoin(_distinct_count(df, "encounter_id", "unique_encounters")))
-    names = ["rows", "unique_members", "unique_providers", "unique_encounters", "line_fraud_rate", "line_flag_rate",
+    one = combine(base, _distinct_count(df, "member_id", "unique_members"),
+                  _distinct_count(df, "provider_id", "unique_providers"),
+                  _distinct_count(df, "encounter_id", "unique_encounters"))
+    names = ["rows", "unique_members", "unique_providers", "unique_encounters", "fraud_rate", "flag_rate",
              "denial_rate", "pharmacy_share", "institutional_share", "linked_facility_professional_share"]
     counts = {"rows", "unique_members", "unique_providers", "unique_encounters"}
     stack = ", ".join(f"'{n}', " + (f"CAST({n} AS DOUBLE)" if n in counts else f"ROUND({n}, 6)") for n in names)
@@ -303,7 +303,7 @@ def reason_precision(df: DataFrame) -> DataFrame:
     g = df.filter(F.col("flagged_for_review") == 1).groupBy("rule_primary_reason_detected").agg(
         F.count(F.lit(1)).alias("flag_count"), F.sum("fraud_label").cast("bigint").alias("true_fraud_count"))
     total = g.agg(F.sum("flag_count").alias("_all"))  # one row
-    return g.crossJoin(total).select(
+    return attach(g, total).select(
         "rule_primary_reason_detected", "flag_count",
         (F.col("flag_count") / F.col("_all")).alias("share_of_all_flags"),
         "true_fraud_count",
@@ -332,7 +332,7 @@ def status_profile(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("line_count"),
         F.sum("billed_amount").alias("_b"), F.sum("paid_amount").alias("_p"))
     total = g.agg(F.sum("line_count").alias("_all"))
-    return g.crossJoin(total).select(
+    return attach(g, total).select(
         "claim_status", "denial_reason", "line_count",
         (F.col("line_count") / F.col("_all")).alias("share_of_lines"),
         to_double(F.col("_b")).alias("billed_total"), to_double(F.col("_p")).alias("paid_total"))
@@ -350,10 +350,8 @@ def dataset_profile(df: DataFrame) -> DataFrame:
         _money_mean("allowed_amount").alias("avg_allowed"),
         _money_mean("paid_amount").alias("avg_paid"),
     )
-    one = (base.crossJoin(_distinct_count(d, "claim_key", "claims"))
-           .crossJoin(_distinct_count(df, "encounter_id", "encounters"))
-           .crossJoin(_distinct_count(df, "member_id", "members"))
-           .crossJoin(_distinct_count(df, "provider_id", "providers")))
+    one = combine(base, _distinct_count(d, "claim_key", "claims"), _distinct_count(df, "encounter_id", "encounters"),
+                  _distinct_count(df, "member_id", "members"), _distinct_count(df, "provider_id", "providers"))
     names = ["lines", "claims", "encounters", "members", "providers", "fraud_rate", "denial_rate", "paid_rate",
              "avg_billed", "avg_allowed", "avg_paid"]
     stack = ", ".join(f"'{n}', ROUND(CAST({n} AS DOUBLE), 6)" for n in names)

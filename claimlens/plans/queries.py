@@ -127,8 +127,67 @@ def review_queue_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                        for c in rq.columns])
 
 
+# ----------------------------------------------------------------------------- v3 profile
+
+_V3_CACHE: dict[tuple, DataFrame] = {}
+V3_TYPES = {
+    "units": "int", "billed_amount": "cents", "allowed_amount": "cents", "paid_amount": "cents",
+    "zelis_edit_flag": "int", "pricing_error_flag": "int", "egregious_charge_flag": "int", "fraud_label": "int",
+    "duplicate_signature_count": "bigint", "provider_day_claim_count": "bigint", "provider_avg_allowed": "double",
+    "code_avg_allowed": "double", "allowed_to_code_avg_ratio": "double", "billed_to_allowed_ratio": "double",
+    "rule_score": "int", "rule_pred": "int",
+}
+
+
+def _v3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.plans.v3 import v3_lines as build
+    from claimlens.session import stage_table
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _V3_CACHE:
+        _V3_CACHE[key] = stage_table(build(spark, sf_dir), "v3-scored")
+    return _V3_CACHE[key]
+
+
+def v3_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.plans.v3 import V3_RULES
+    df = _v3(spark, sf_dir)
+    cols = ["line_id", "claim_family", "encounter_type", "service_code", "units", "billed_amount", "allowed_amount",
+            "paid_amount", "claim_status", "zelis_edit_flag", "zelis_edit_type", "price_method", "source_system",
+            "pricing_error_flag", "egregious_charge_flag", "fraud_label", "fraud_type", "duplicate_signature_count",
+            "provider_day_claim_count", "provider_avg_allowed", "code_avg_allowed", "allowed_to_code_avg_ratio",
+            "billed_to_allowed_ratio"] + V3_RULES + ["rule_score", "rule_pred", "rule_primary_reason"]
+    out = []
+    for c in cols:
+        t = V3_TYPES.get(c, "int" if c.startswith("rule_") and c != "rule_primary_reason" else "string")
+        out.append(to_double(F.col(c)).alias(c) if t == "cents" else F.col(c).cast(t).alias(c))
+    return df.select(*out)
+
+
+def v3_recall_within_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J16 on the v3 profile (caught = rule_pred)."""
+    return S.rule_recall_within_type(_v3(spark, sf_dir).withColumnRenamed("rule_pred", "flagged_for_review"))
+
+
+def v3_provider_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J17 on the v3 profile."""
+    return S.provider_rollup(_v3(spark, sf_dir).withColumnRenamed("rule_pred", "flagged_for_review"))
+
+
+def v3_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V02 on the v3 profile."""
+    return V.rule_metrics(_v3(spark, sf_dir), pred="rule_pred")
+
+
+def v3_reason_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reason x prediction counts on the v3 profile."""
+    return _v3(spark, sf_dir).groupBy("rule_primary_reason", "rule_pred").agg(F.count(F.lit(1)).alias("count"))
+
+
 def all_queries() -> dict[str, Query]:
-    out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q}
+    out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q,
+                             "v3_lines": v3_lines_q, "v3_recall_within_type": v3_recall_within_type,
+                             "v3_provider_rollup": v3_provider_rollup, "v3_rule_metrics": v3_rule_metrics,
+                             "v3_reason_summary": v3_reason_summary}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

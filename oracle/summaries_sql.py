@@ -93,8 +93,8 @@ SELECT metric, value FROM (
   UNION ALL SELECT 'unique_members', CAST(um AS DOUBLE) FROM b
   UNION ALL SELECT 'unique_providers', CAST(up AS DOUBLE) FROM b
   UNION ALL SELECT 'unique_encounters', CAST(ue AS DOUBLE) FROM b
-  UNION ALL SELECT 'line_fraud_rate', ROUND(lf, 6) FROM b
-  UNION ALL SELECT 'line_flag_rate', ROUND(lg, 6) FROM b
+  UNION ALL SELECT 'fraud_rate', ROUND(lf, 6) FROM b
+  UNION ALL SELECT 'flag_rate', ROUND(lg, 6) FROM b
   UNION ALL SELECT 'denial_rate', ROUND(dr, 6) FROM b
   UNION ALL SELECT 'pharmacy_share', ROUND(ps, 6) FROM b
   UNION ALL SELECT 'institutional_share', ROUND(ins, 6) FROM b
