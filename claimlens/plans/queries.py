@@ -183,11 +183,87 @@ def v3_reason_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _v3(spark, sf_dir).groupBy("rule_primary_reason", "rule_pred").agg(F.count(F.lit(1)).alias("count"))
 
 
+# ----------------------------------------------------------------------------- other profiles
+
+TEST_VOLUME = 3  # provider-day thresholds that can fire on the small test tables (SURVEY H8)
+CHUNK_SIZE = 4096  # encounters (order keys) per chunk for the incremental queries
+
+
+def _seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.plans.v6 import materialized_seeded
+    return materialized_seeded(spark, sf_dir, TEST_CONFIG).withColumn(
+        "line_id", F.format_string("L%09d_%08d", F.col("enc_key"), F.col("claim_line_no")))
+
+
+def rules_v5_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.operators.profiles import V5_RULES, RulesV5, rules_v5
+    df = rules_v5(_lines(spark, sf_dir), RulesV5(volume_threshold=TEST_VOLUME))
+    return df.select("line_id", *V5_RULES, "rule_score", "flagged_for_review", "rule_primary_reason")
+
+
+def rule_reason_summary_v5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v5 reason summary: counts by the seeded reason and the v5 flag."""
+    from claimlens.operators.profiles import RulesV5, rules_v5
+    df = rules_v5(_lines(spark, sf_dir), RulesV5(volume_threshold=TEST_VOLUME))
+    return df.groupBy("rule_primary_reason", "flagged_for_review").agg(F.count(F.lit(1)).alias("count"))
+
+
+def rules_v2_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.operators.profiles import V2_RULES, RulesV2, features_v2, rules_v2
+    df = rules_v2(features_v2(_seeded(spark, sf_dir)), RulesV2(volume_threshold=TEST_VOLUME))
+    return df.select("line_id", "duplicate_signature_count", "provider_day_claim_count", "provider_avg_allowed",
+                     "code_avg_allowed", "allowed_to_code_avg_ratio", "billed_to_allowed_ratio",
+                     "provider_fraud_rate", *V2_RULES, "rule_score", "rule_pred", "rule_primary_reason")
+
+
+def rules_fd_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.operators.profiles import FD_RULES, RulesFD, features_fd, rules_fd
+    df = rules_fd(features_fd(_seeded(spark, sf_dir)), RulesFD(volume_threshold=TEST_VOLUME))
+    return df.select("line_id", "duplicate_signature_count", "provider_day_claim_count", "provider_avg_allowed",
+                     "procedure_avg_allowed", "allowed_to_proc_avg_ratio", "billed_to_allowed_ratio",
+                     *FD_RULES, "rule_score", "rule_pred")
+
+
+def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.operators.features import with_chunk_id
+    return with_chunk_id(_lines(spark, sf_dir), CHUNK_SIZE)
+
+
+def merge_provider_partials_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.streaming.incremental import merge_provider_partials, provider_partials
+    return merge_provider_partials(provider_partials(_chunked(spark, sf_dir)))
+
+
+def merge_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.streaming.incremental import merge_counts
+    return merge_counts(_chunked(spark, sf_dir), "fraud_type")
+
+
+def merge_confusion_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.streaming.incremental import merge_confusion
+    return merge_confusion(_chunked(spark, sf_dir))
+
+
+def merge_detection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.streaming.incremental import merge_detection
+    return merge_detection(_chunked(spark, sf_dir))
+
+
+def stream_provider_rollup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.streaming.incremental import stream_provider_rollup
+    return stream_provider_rollup(spark, _lines(spark, sf_dir), CHUNK_SIZE)
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q,
                              "v3_lines": v3_lines_q, "v3_recall_within_type": v3_recall_within_type,
                              "v3_provider_rollup": v3_provider_rollup, "v3_rule_metrics": v3_rule_metrics,
-                             "v3_reason_summary": v3_reason_summary}
+                             "v3_reason_summary": v3_reason_summary,
+                             "rules_v5": rules_v5_q, "rule_reason_summary_v5": rule_reason_summary_v5,
+                             "rules_v2": rules_v2_q, "rules_fd": rules_fd_q,
+                             "merge_provider_partials": merge_provider_partials_q, "merge_counts": merge_counts_q,
+                             "merge_confusion": merge_confusion_q, "merge_detection": merge_detection_q,
+                             "stream_provider_rollup": stream_provider_rollup_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

@@ -78,9 +78,7 @@ def scored_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG,
     checkpoint folder) before the features: the feature aggregates and the join
     back then read it instead of re-running shaping and seeding per consumer.
     """
-    df = seeded_lines(spark, sf_dir, cfg)
-    if stage:
-        df = stage_table(df.drop(*[c for c in df.columns if c.startswith("_md5_")]), "seeded")
+    df = materialized_seeded(spark, sf_dir, cfg) if stage else seeded_lines(spark, sf_dir, cfg)
     if cfg.scope == "chunk":
         df = with_chunk_id(df, cfg.chunk_size)
     df = features_v6(df, scope=cfg.scope)
@@ -89,6 +87,16 @@ def scored_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG,
 
 
 _MATERIALIZED: dict[tuple, DataFrame] = {}
+_SEEDED: dict[tuple, DataFrame] = {}
+
+
+def materialized_seeded(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG) -> DataFrame:
+    """The seeded, edited and adjudicated lines, written once per session (parquet, shared folder)."""
+    key = (spark.sparkContext.applicationId, sf_dir, cfg.seed)
+    if key not in _SEEDED:
+        df = seeded_lines(spark, sf_dir, cfg)
+        _SEEDED[key] = stage_table(df.drop(*[c for c in df.columns if c.startswith("_md5_")]), "seeded")
+    return _SEEDED[key]
 
 
 def materialized_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG) -> DataFrame:
