@@ -254,6 +254,62 @@ def stream_provider_rollup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_provider_rollup(spark, _lines(spark, sf_dir), CHUNK_SIZE)
 
 
+# ----------------------------------------------------------------------------- claim lake
+
+_LAKE: dict[tuple, dict] = {}
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> dict:
+    from claimlens.plans.lake import build_lake
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKE:
+        _LAKE[key] = build_lake(spark, sf_dir)
+    return _LAKE[key]
+
+
+def lake_header_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lake(spark, sf_dir)["header"]
+
+
+def lake_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _lake(spark, sf_dir)["lines"]
+    return df.select(*[to_double(F.col(c)).alias(c) if c.endswith("_amount") else F.col(c) for c in df.columns])
+
+
+def lake_dx_bridge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lake(spark, sf_dir)["dx"]
+
+
+def lake_labels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lake(spark, sf_dir)["labels"]
+
+
+def lake_member_months_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.plans.lake import member_months
+    return member_months(spark, sf_dir, _lake(spark, sf_dir)["raw_header"])
+
+
+def bad_provider_pick_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.plans.lake import lake_providers
+    return lake_providers(spark, sf_dir).select("provider_id", "specialty", "state", "network_status",
+                                                F.col("is_bad_provider").cast("int").alias("is_bad_provider"))
+
+
+def lake_partition_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the lake hive-partitioned by (year, month), read it back, count rows per partition."""
+    import uuid
+    from claimlens.plans.lake import write_lake
+    from claimlens.session import checkpoint_dir
+    path = checkpoint_dir(spark).rstrip("/") + f"/claimlens-lake/{uuid.uuid4().hex}"
+    write_lake(_lake(spark, sf_dir), path)
+    out = None
+    for name in ("header", "lines", "dx", "labels"):
+        part = spark.read.parquet(f"{path}/{name}").groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count")) \
+            .select(F.lit(name).alias("table_name"), "year", "month", "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q,
                              "v3_lines": v3_lines_q, "v3_recall_within_type": v3_recall_within_type,
@@ -263,7 +319,11 @@ def all_queries() -> dict[str, Query]:
                              "rules_v2": rules_v2_q, "rules_fd": rules_fd_q,
                              "merge_provider_partials": merge_provider_partials_q, "merge_counts": merge_counts_q,
                              "merge_confusion": merge_confusion_q, "merge_detection": merge_detection_q,
-                             "stream_provider_rollup": stream_provider_rollup_q}
+                             "stream_provider_rollup": stream_provider_rollup_q,
+                             "lake_header": lake_header_q, "lake_lines": lake_lines_q,
+                             "lake_dx_bridge": lake_dx_bridge_q, "lake_labels": lake_labels_q,
+                             "lake_member_months": lake_member_months_q, "bad_provider_pick": bad_provider_pick_q,
+                             "lake_partition_counts": lake_partition_counts_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

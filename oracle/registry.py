@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimlens.plans.queries import LINE_PROJECTIONS
+from oracle.lake_sql import lake_sql
 from oracle.profiles_sql import profile_sql
 from oracle.summaries_sql import SUMMARY_SQL
 from oracle.v3_sql import v3_over, v3_select
@@ -64,6 +65,7 @@ FROM lines WHERE flagged_for_review = 1"""),
     out.update({name: with_lines(_proj(cols)) for name, cols in LINE_PROJECTIONS.items()})
     out.update(v3_queries())
     out.update(profile_sql())
+    out.update(lake_sql())
     out.update({name: with_lines(sql) for name, sql in SUMMARY_SQL.items()})
     _ = scored_ctes
     return out
