@@ -310,6 +310,53 @@ def lake_partition_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+# ----------------------------------------------------------------------------- sinks, manifest, sampling
+
+SAMPLE_PER_CHUNK, SAMPLE_TOTAL = 1500, 4000
+
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    import uuid
+    from claimlens.session import checkpoint_dir
+    return checkpoint_dir(spark).rstrip("/") + f"/claimlens-{what}/{uuid.uuid4().hex}"
+
+
+def chunk_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.sources.sinks import chunk_manifest
+    return chunk_manifest(_lines(spark, sf_dir), CHUNK_SIZE)
+
+
+def sample_per_chunk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.sources.sinks import sample_per_chunk
+    return sample_per_chunk(_lines(spark, sf_dir), CHUNK_SIZE, SAMPLE_PER_CHUNK, SAMPLE_TOTAL).select(
+        "line_id", "chunk_id", "fraud_type")
+
+
+def union_families_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.sources.sinks import union_lines
+    d = _lines(spark, sf_dir)
+    fam = F.col("claim_family")
+    pharm = d.filter(fam == "pharmacy").select("line_id", "claim_family", "drug_name", "drug_type", "ndc", "days_supply")
+    inst = d.filter(fam == "institutional").select("line_id", "claim_family", "revenue_code")
+    rest = d.filter(~fam.isin("pharmacy", "institutional")).select("line_id", "claim_family")
+    return union_lines(pharm, inst, rest)
+
+
+def write_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.sources.sinks import write_lines
+    path = _scratch(spark, "lines")
+    write_lines(_lines(spark, sf_dir).select("line_id", "enc_key", "fraud_label"), path, CHUNK_SIZE)
+    return spark.read.parquet(path).select("line_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "fraud_label")
+
+
+def write_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.sources.sinks import write_summary
+    path = _scratch(spark, "summary")
+    summary = S.fraud_breakdown(_lines(spark, sf_dir))
+    write_summary(summary, path)
+    return spark.read.option("header", True).schema(summary.schema).csv(path)
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q,
                              "v3_lines": v3_lines_q, "v3_recall_within_type": v3_recall_within_type,
@@ -323,7 +370,10 @@ def all_queries() -> dict[str, Query]:
                              "lake_header": lake_header_q, "lake_lines": lake_lines_q,
                              "lake_dx_bridge": lake_dx_bridge_q, "lake_labels": lake_labels_q,
                              "lake_member_months": lake_member_months_q, "bad_provider_pick": bad_provider_pick_q,
-                             "lake_partition_counts": lake_partition_counts_q}
+                             "lake_partition_counts": lake_partition_counts_q,
+                             "chunk_manifest": chunk_manifest_q, "sample_per_chunk": sample_per_chunk_q,
+                             "union_families": union_families_q, "write_lines": write_lines_q,
+                             "write_summary_csv": write_summary_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

@@ -117,8 +117,27 @@ FROM (SELECT provider_id, chunk_id, fraud_label AS f, flagged_for_review AS g, a
 GROUP BY provider_id"""
 
 
+def _h32(key: str, salt: str) -> str:
+    return f"('0x' || substr(md5({key} || '|{salt}'), 1, 8))::BIGINT"
+
+
 def profile_sql() -> dict[str, str]:
     return {
+        "chunk_manifest": with_lines(f"""
+SELECT chunk_id AS chunk_number, printf('claims_lines_chunk_%03d.parquet', chunk_id) AS chunk_file, 'parquet' AS format,
+       COUNT(*) AS rows, MIN(service_date) AS min_service_date, MAX(service_date) AS max_service_date
+FROM {_CHUNKED} GROUP BY chunk_id"""),
+        "sample_per_chunk": with_lines(f"""
+SELECT line_id, chunk_id, fraud_type FROM (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY {_h32('line_id', 'sample_total')}, line_id) AS r2 FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY chunk_id ORDER BY {_h32('line_id', 'sample')}, line_id) AS r1
+    FROM {_CHUNKED}) WHERE r1 <= 1500) WHERE r2 <= 4000"""),
+        "union_families": with_lines("""
+SELECT line_id, claim_family, drug_name, drug_type, ndc, days_supply FROM lines WHERE claim_family = 'pharmacy'
+UNION ALL BY NAME SELECT line_id, claim_family, revenue_code FROM lines WHERE claim_family = 'institutional'
+UNION ALL BY NAME SELECT line_id, claim_family FROM lines WHERE claim_family NOT IN ('pharmacy', 'institutional')"""),
+        "write_lines": with_lines(f"SELECT line_id, chunk_id, fraud_label FROM {_CHUNKED}"),
+        "write_summary_csv": with_lines("SELECT fraud_type, claim_family, COUNT(*) AS count FROM lines GROUP BY ALL"),
         "rules_v5": with_lines(_v5_select()),
         "rule_reason_summary_v5": with_lines(f"""
 SELECT rule_primary_reason, flagged_for_review, COUNT(*) AS count FROM ({_v5_select()}) GROUP BY ALL"""),
