@@ -357,6 +357,32 @@ def write_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.option("header", True).schema(summary.schema).csv(path)
 
 
+# ----------------------------------------------------------------------------- models
+
+def random_forest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M04 (rows-only check): test-split predictions of the balanced random forest."""
+    from claimlens.operators.models import random_forest
+    return random_forest(_lines(spark, sf_dir), num_trees=50, max_depth=10)
+
+
+def isolation_forest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M02 (rows-only check): isolation-forest scores and the 8 % anomaly flag."""
+    from claimlens.operators.models import isolation_forest
+    return isolation_forest(_lines(spark, sf_dir))
+
+
+def performance_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V04 (rows-only check): rules, forest and isolation forest side by side."""
+    from claimlens.operators.models import performance_rows
+    return performance_rows(_lines(spark, sf_dir), random_forest_q(spark, sf_dir), isolation_forest_q(spark, sf_dir))
+
+
+def stratified_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 30 % test share per label."""
+    return V.stratified_split(_lines(spark, sf_dir).select("line_id", "fraud_label")).select(
+        "line_id", "fraud_label", "is_test")
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q,
                              "v3_lines": v3_lines_q, "v3_recall_within_type": v3_recall_within_type,
@@ -373,7 +399,9 @@ def all_queries() -> dict[str, Query]:
                              "lake_partition_counts": lake_partition_counts_q,
                              "chunk_manifest": chunk_manifest_q, "sample_per_chunk": sample_per_chunk_q,
                              "union_families": union_families_q, "write_lines": write_lines_q,
-                             "write_summary_csv": write_summary_q}
+                             "write_summary_csv": write_summary_q,
+                             "random_forest": random_forest_q, "isolation_forest": isolation_forest_q,
+                             "performance_table": performance_table_q, "stratified_split": stratified_split_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

@@ -74,6 +74,36 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``claimlens`` importable in Python workers (pandas UDF steps), once per application.
+
+    The package is zipped into the shared checkpoint folder and added with
+    ``addPyFile``, so every executor -- including ones started later -- gets it.
+    """
+    import zipfile
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    base = checkpoint_dir(spark).rstrip("/")
+    local_base = base[len("file:"):] if base.startswith("file:") else base
+    target = os.path.join(local_base, f"claimlens-pkg-{app}.zip")
+    if not os.path.exists(target):
+        os.makedirs(local_base, exist_ok=True)
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _dirs, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
     checkpoint_dir(df.sparkSession)

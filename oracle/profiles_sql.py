@@ -123,6 +123,11 @@ def _h32(key: str, salt: str) -> str:
 
 def profile_sql() -> dict[str, str]:
     return {
+        "stratified_split": with_lines(f"""
+SELECT line_id, fraud_label,
+       CASE WHEN ROW_NUMBER() OVER (PARTITION BY fraud_label ORDER BY {_h32('line_id', 'split')}, line_id)
+                 <= FLOOR(COUNT(*) OVER (PARTITION BY fraud_label) * 0.3) THEN 1 ELSE 0 END AS is_test
+FROM lines"""),
         "chunk_manifest": with_lines(f"""
 SELECT chunk_id AS chunk_number, printf('claims_lines_chunk_%03d.parquet', chunk_id) AS chunk_file, 'parquet' AS format,
        COUNT(*) AS rows, MIN(service_date) AS min_service_date, MAX(service_date) AS max_service_date
