@@ -383,6 +383,51 @@ def stratified_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         "line_id", "fraud_label", "is_test")
 
 
+# ----------------------------------------------------------------------------- more line operators
+
+def dictionary_fields_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N13."""
+    return S.dictionary_fields(_lines(spark, sf_dir))
+
+
+def top_suspicious_providers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 10 providers of J13 (full tiebreak)."""
+    return S.top_suspicious_providers(_lines(spark, sf_dir))
+
+
+def adjudicate_initial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjudication with a drawn trend, before seeding."""
+    from claimlens.operators.edits import adjudicate_initial
+    df = adjudicate_initial(shaped_lines(spark, sf_dir))
+    return df.select(F.col("enc_key").alias("order_key"), "claim_line_no", "claim_status",
+                     *[to_double(F.col(c)).alias(c) for c in ("contract_rate", "applied_to_deductible",
+                                                             "coinsurance_amount", "paid_amount")])
+
+
+def features_chunk_scope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The v6 features computed inside each chunk of CHUNK_SIZE encounters."""
+    from dataclasses import replace
+    from claimlens.plans.v6 import scored_lines
+    cfg = replace(TEST_CONFIG, scope="chunk", chunk_size=CHUNK_SIZE)
+    df = scored_lines(spark, sf_dir, cfg)
+    return df.select("line_id", "chunk_id", "duplicate_signature_count", "provider_day_claim_count",
+                     "provider_avg_contract_rate", "service_code_avg_contract_rate", "rule_score",
+                     "flagged_for_review")
+
+
+def line_flags_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D02, D05, P03, P05, P08 on the line table."""
+    from claimlens.operators.shape import age_factor, clip_units, high_risk_member, pos_flags, provider_type
+    d = _lines(spark, sf_dir)
+    tele, inpat, emerg = pos_flags(F.col("place_of_service"))
+    return d.select(
+        "line_id", high_risk_member(F.col("member_age"), F.col("chronic_score")).alias("high_risk_member"),
+        provider_type(F.col("provider_specialty")).alias("provider_type"),
+        tele.alias("telehealth_flag"), inpat.alias("inpatient_flag"), emerg.alias("emergency_flag"),
+        (age_factor(F.col("member_age")).cast("double") / 10000.0).alias("age_factor"),
+        clip_units(F.col("units")).alias("clipped_units"))
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q,
                              "v3_lines": v3_lines_q, "v3_recall_within_type": v3_recall_within_type,
@@ -401,7 +446,11 @@ def all_queries() -> dict[str, Query]:
                              "union_families": union_families_q, "write_lines": write_lines_q,
                              "write_summary_csv": write_summary_q,
                              "random_forest": random_forest_q, "isolation_forest": isolation_forest_q,
-                             "performance_table": performance_table_q, "stratified_split": stratified_split_q}
+                             "performance_table": performance_table_q, "stratified_split": stratified_split_q,
+                             "dictionary_fields": dictionary_fields_q,
+                             "top_suspicious_providers": top_suspicious_providers_q,
+                             "adjudicate_initial": adjudicate_initial_q,
+                             "features_chunk_scope": features_chunk_scope_q, "line_flags": line_flags_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

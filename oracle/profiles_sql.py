@@ -121,8 +121,66 @@ def _h32(key: str, salt: str) -> str:
     return f"('0x' || substr(md5({key} || '|{salt}'), 1, 8))::BIGINT"
 
 
+def _ratio4(num: str, den: str) -> str:
+    n = f"CAST(({num}) * 100 AS BIGINT)"
+    d = f"CAST(GREATEST({den}, 1.00) * 100 AS BIGINT)"
+    return f"((2 * {n} * 10000 + {d}) // (2 * {d}))::DOUBLE / 10000.0"
+
+
+def _more_sql() -> dict[str, str]:
+    from oracle.v6_sql import h, scored_ctes, shaped_ctes
+    ck = "(encounter_id || '|' || provider_id || '|' || claim_family)"
+    expected = ("CAST(ROUND(allowed_amount * (1 - CASE WHEN provider_specialty = 'Hospital' THEN 0.35 "
+                "ELSE COALESCE(contract_discount_rate, 0.25) END), 2) AS DECIMAL(18,2))")
+    trend = f"(6500 + 4 * {h('line_key', 'trend')})"
+    rem = (f"CAST((GREATEST(CAST(deductible_remaining_start * 100 AS BIGINT) * (3650000 - dayofyear(service_date) * {trend}), 0)"
+           f" * 2 + 3650000) // 7300000 AS DECIMAL(18,0)) * 0.01")
+    return {
+        "dictionary_fields": with_lines(f"""
+SELECT line_id, CAST(applied_to_deductible + coinsurance_amount AS DOUBLE) AS member_liability_amount,
+       {_ratio4('billed_amount', 'allowed_amount')} AS charge_to_allowed_ratio,
+       {_ratio4('allowed_amount', 'contract_rate')} AS allowed_to_contract_ratio,
+       COUNT(*) OVER (PARTITION BY {ck}) AS service_line_count,
+       rule_duplicate AS duplicate_flag, rule_egregious_billed AS egregious_charge_flag,
+       CAST(e AS DOUBLE) AS expected_contract_rate, CAST(GREATEST(contract_rate - e, 0) AS DOUBLE) AS pricing_error_amount,
+       CASE WHEN contract_rate <> e THEN 1 ELSE 0 END AS contract_mismatch_flag
+FROM (SELECT *, {expected} AS e FROM lines)"""),
+        "top_suspicious_providers": with_lines("""
+SELECT a.*, p.max_day_volume FROM (
+  SELECT provider_id, provider_specialty, provider_class, COUNT(*) AS lines,
+         CAST(SUM(allowed_amount) AS DOUBLE) / COUNT(*) AS avg_allowed,
+         CAST(SUM(fraud_label) AS DOUBLE) / COUNT(*) AS fraud_rate, CAST(SUM(rule_score) AS DOUBLE) / COUNT(*) AS avg_rule_score
+  FROM lines GROUP BY ALL) a
+JOIN (SELECT provider_id, MAX(n) AS max_day_volume
+      FROM (SELECT provider_id, service_date, COUNT(*) AS n FROM lines GROUP BY ALL) GROUP BY 1) p USING (provider_id)
+ORDER BY fraud_rate DESC, avg_rule_score DESC, lines DESC, provider_id LIMIT 10"""),
+        "adjudicate_initial": "WITH " + shaped_ctes() + f"""
+SELECT enc_key AS order_key, CAST(claim_line_no AS INTEGER) AS claim_line_no, claim_status,
+       CAST(contract_rate AS DOUBLE) AS contract_rate,
+       CAST(CASE WHEN claim_status = 'denied' THEN 0 ELSE ded0 END AS DOUBLE) AS applied_to_deductible,
+       CAST(CASE WHEN claim_status = 'denied' THEN 0 ELSE ROUND(rest * coinsurance_rate, 2) END AS DOUBLE) AS coinsurance_amount,
+       CAST(CASE WHEN claim_status = 'denied' THEN 0 ELSE ROUND(rest * (1 - coinsurance_rate), 2) END AS DOUBLE) AS paid_amount
+FROM (SELECT *, GREATEST(contract_rate - ded0, 0) AS rest
+      FROM (SELECT *, LEAST(contract_rate, CAST({rem} AS DECIMAL(18,2))) AS ded0 FROM shaped2))""",
+        "features_chunk_scope": scored_ctes(chunk=CHUNK) + """
+SELECT line_id, chunk_id, duplicate_signature_count, provider_day_claim_count, provider_avg_contract_rate,
+       service_code_avg_contract_rate, CAST(rule_score AS INTEGER) AS rule_score, flagged_for_review
+FROM lines""",
+        "line_flags": with_lines("""
+SELECT line_id, CASE WHEN member_age >= 70 OR chronic_score >= 4 THEN 1 ELSE 0 END AS high_risk_member,
+       CASE WHEN provider_specialty = 'Hospital' THEN 'facility' ELSE 'professional' END AS provider_type,
+       CASE WHEN place_of_service = '02' THEN 1 ELSE 0 END AS telehealth_flag,
+       CASE WHEN place_of_service = '21' THEN 1 ELSE 0 END AS inpatient_flag,
+       CASE WHEN place_of_service = '23' THEN 1 ELSE 0 END AS emergency_flag,
+       CAST(10000 + GREATEST(member_age - 50, 0) * 20 AS DOUBLE) / 10000.0 AS age_factor,
+       LEAST(GREATEST(units, 1), 6) AS clipped_units
+FROM lines"""),
+    }
+
+
 def profile_sql() -> dict[str, str]:
     return {
+        **_more_sql(),
         "stratified_split": with_lines(f"""
 SELECT line_id, fraud_label,
        CASE WHEN ROW_NUMBER() OVER (PARTITION BY fraud_label ORDER BY {_h32('line_id', 'split')}, line_id)

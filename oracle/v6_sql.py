@@ -299,7 +299,7 @@ seeded AS (
 
 
 def scored_ctes(mult: int = 5, volume: int = 3, upcode_ratio: float = 1.0, price_ratio: float = 1.15,
-                egregious_ratio: float = 6.0, member_ratio: float = 2.5) -> str:
+                egregious_ratio: float = 6.0, member_ratio: float = 2.5, chunk: int | None = None) -> str:
     reasons = [
         ("rule_duplicate", "duplicate_signature"), ("rule_egregious_billed", "egregious_billed_charge"),
         ("rule_price_above_contract", "price_above_contract"), ("rule_external_edit", "external_edit"),
@@ -307,19 +307,24 @@ def scored_ctes(mult: int = 5, volume: int = 3, upcode_ratio: float = 1.0, price
         ("rule_provider_volume", "provider_volume_outlier"), ("rule_denied_repeat", "denied_repeat_pattern"),
     ]
     reason_case = "CASE " + " ".join(f"WHEN {c} = 1 THEN {q(r)}" for c, r in reasons) + " ELSE 'no_rule' END"
+    chunk_col = f", enc_key // {chunk} AS chunk_id" if chunk else ""
+    ck = "chunk_id, " if chunk else ""
     return "WITH " + shaped_ctes() + "," + seeded_ctes(mult) + f""",
+f_src AS (
+  SELECT *{chunk_col} FROM seeded
+),
 f_sig AS (
-  SELECT member_id, provider_id, service_date, service_code, contract_rate, COUNT(*) AS duplicate_signature_count
-  FROM seeded GROUP BY ALL
+  SELECT {ck}member_id, provider_id, service_date, service_code, contract_rate, COUNT(*) AS duplicate_signature_count
+  FROM f_src GROUP BY ALL
 ),
 f_day AS (
-  SELECT provider_id, service_date, COUNT(*) AS provider_day_claim_count FROM seeded GROUP BY ALL
+  SELECT {ck}provider_id, service_date, COUNT(*) AS provider_day_claim_count FROM f_src GROUP BY ALL
 ),
 f_prov AS (
-  SELECT provider_id, CAST(SUM(contract_rate) AS DOUBLE) / COUNT(*) AS provider_avg_contract_rate FROM seeded GROUP BY ALL
+  SELECT {ck}provider_id, CAST(SUM(contract_rate) AS DOUBLE) / COUNT(*) AS provider_avg_contract_rate FROM f_src GROUP BY ALL
 ),
 f_code AS (
-  SELECT service_code, CAST(SUM(contract_rate) AS DOUBLE) / COUNT(*) AS service_code_avg_contract_rate FROM seeded GROUP BY ALL
+  SELECT {ck}service_code, CAST(SUM(contract_rate) AS DOUBLE) / COUNT(*) AS service_code_avg_contract_rate FROM f_src GROUP BY ALL
 ),
 featured AS (
   SELECT s.*, g.duplicate_signature_count, d.provider_day_claim_count, p.provider_avg_contract_rate,
@@ -327,11 +332,11 @@ featured AS (
          {ratio4('s.billed_amount', 's.contract_rate')} AS billed_to_contract_ratio,
          {ratio4('s.contract_rate', 's.allowed_amount')} AS contract_to_allowed_ratio,
          ROUND(p.provider_avg_contract_rate / GREATEST(c.service_code_avg_contract_rate, 1.0), 4) AS provider_to_code_ratio
-  FROM seeded s
-  JOIN f_sig g USING (member_id, provider_id, service_date, service_code, contract_rate)
-  JOIN f_day d USING (provider_id, service_date)
-  JOIN f_prov p USING (provider_id)
-  JOIN f_code c USING (service_code)
+  FROM f_src s
+  JOIN f_sig g USING ({ck}member_id, provider_id, service_date, service_code, contract_rate)
+  JOIN f_day d USING ({ck}provider_id, service_date)
+  JOIN f_prov p USING ({ck}provider_id)
+  JOIN f_code c USING ({ck}service_code)
 ),
 ruled AS (
   SELECT *,
