@@ -21,9 +21,16 @@ V3_PTP_CODES = ("36415", "80048", "80053", "85025")
 
 
 def ncci_like_edit(df: DataFrame, enc_cols=("enc_key", "encounter_id")) -> DataFrame:
-    """36415 billed on an encounter that also bills 80053 or 85025."""
-    w = Window.partitionBy(*enc_cols)
-    has_panel = F.max(F.col("service_code").isin(*PANEL_CODES).cast("int")).over(w)
+    """36415 billed on an encounter that also bills 80053 or 85025.
+
+    Uses the encounter context computed while shaping (``enc_has_panel``) when
+    present; otherwise a window over the encounter.
+    """
+    if "enc_has_panel" in df.columns:
+        has_panel = F.col("enc_has_panel")
+    else:
+        w = Window.partitionBy(*enc_cols)
+        has_panel = F.max(F.col("service_code").isin(*PANEL_CODES).cast("int")).over(w)
     return df.withColumn("ncci_like_edit_flag",
                          ((F.col("service_code") == VENIPUNCTURE) & (has_panel == 1)).cast("int"))
 

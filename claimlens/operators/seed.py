@@ -34,7 +34,7 @@ class SeedParams:
     dup_bp: int = 30              # F07 p .003 (scaled by propensity_mult)
 
 
-def fraud_draw(df: DataFrame, params: SeedParams) -> Column:
+def fraud_draw(df: DataFrame | None, params: SeedParams) -> Column:
     """candidate when the line draw falls below the provider's propensity."""
     thr = F.lit(PROPENSITY_DEFAULT_BP)
     expr = None
@@ -145,11 +145,68 @@ def seed_duplicates(df: DataFrame, p: SeedParams) -> DataFrame:
     return df.drop("_copy")
 
 
+def seed_masks(params: SeedParams) -> dict[str, Column]:
+    """F01 candidates and the F02-F06 masks, computed from the columns as they were before seeding."""
+    cand = fraud_draw(None, params)
+    fam, code = F.col("claim_family"), F.col("service_code")
+    return {
+        "_m1": cand & (line_draw("pricing") < params.pricing_bp),
+        "_m2": cand & fam.isin("institutional", "professional") & (line_draw("egregious") < params.egregious_bp),
+        "_m3": cand & F.col("mue_limit").isNotNull() & (line_draw("units") < params.units_bp),
+        "_m4": cand & code.isin(*C.UPCODE_MAP) & (line_draw("upcode") < params.upcode_bp),
+        "_m5": cand & (fam == "member_submitted") & (line_draw("member") < params.member_bp),
+    }
+
+
+def seed_expressions(cols: dict[str, Column], params: SeedParams) -> dict[str, Column]:
+    """F02-F06 effects and labels as column expressions over the shaped columns and the masks
+    (``seed_masks``), applied in one select.
+
+    Masks read the columns as they were before seeding, effects read the earlier
+    steps' results (F03 bills on F02's contract, F06 on F05's allowed), and the
+    label, type and reason follow last-write-wins in step order.
+    """
+    c = dict(cols)
+    fam, code = c["claim_family"], c["service_code"]
+    m1, m2, m3, m4, m5 = (F.col(f"_m{i}") for i in range(1, 6))
+    contract = F.when(m1, scale(c["contract_rate"], uniform_e6(line_draw("pricing_amt"), "1.15", "1.85"), 1_000_000)) \
+        .otherwise(c["contract_rate"])
+    billed = F.when(m2, scale(contract, uniform_e6(line_draw("egregious_amt"), "6", "18"), 1_000_000)) \
+        .otherwise(c["billed_amount"])
+    units = F.when(m3, c["mue_limit"] + int_between(line_draw("units_amt"), 2, 7)).otherwise(c["units"])
+    new_code = F.element_at(F.create_map(*[F.lit(x) for kv in C.UPCODE_MAP.items() for x in kv]), code)
+    bases = {row[0]: C.cents(row[5]) for row in C.PROCEDURES}
+    new_base = None
+    for t in sorted(set(C.UPCODE_MAP.values())):
+        new_base = (F.when(new_code == t, F.lit(bases[t])) if new_base is None
+                    else new_base.when(new_code == t, F.lit(bases[t])))
+    allowed = F.when(m4, scale(new_base, uniform_e6(line_draw("upcode_amt"), "0.95", "1.20"), 1_000_000)) \
+        .otherwise(c["allowed_amount"])
+    billed = F.when(m5, scale(allowed, uniform_e6(line_draw("member_amt"), "3", "10"), 1_000_000)).otherwise(billed)
+    steps = [(m5, "member_reimbursement_abuse", "outlier_member_submit"), (m4, "upcoding", "level_shift"),
+             (m3, "excessive_units", "mue_like_units"), (m2, "egregious_billing", "egregious_billed_charge"),
+             (m1, "pricing_error", "price_above_contract")]
+    ftype, reason = None, None
+    for m, t, r in steps:
+        ftype = F.when(m, F.lit(t)) if ftype is None else ftype.when(m, F.lit(t))
+        reason = F.when(m, F.lit(r)) if reason is None else reason.when(m, F.lit(r))
+    c.update({
+        "contract_rate": contract, "billed_amount": billed, "units": units.cast("int"), "allowed_amount": allowed,
+        "service_code": F.when(m4, new_code).otherwise(code),
+        "fraud_label": (m1 | m2 | m3 | m4 | m5).cast("int"),
+        "fraud_type": ftype.otherwise(F.lit("none")), "rule_primary_reason": reason.otherwise(F.lit("none")),
+        "pricing_error_signal": m1.cast("int"), "egregious_charge_signal": m2.cast("int"),
+        "upcoding_signal": m4.cast("int"), "member_submit_outlier_signal": m5.cast("int"),
+    })
+    return c
+
+
 def seed_all_v6(df: DataFrame, params: SeedParams = SeedParams()) -> DataFrame:
-    """F02 -> F06, coding edits X01-X03, F07 copies, then A01 re-adjudication."""
-    df = init_labels(df).withColumn("_cand", fraud_draw(df, params))
-    for step in (seed_pricing_error, seed_egregious, seed_excessive_units, seed_upcoding, seed_member_abuse):
-        df = step(df, params)
-    df = apply_edits(df.drop("_cand"))
+    """F02 -> F06 (one projection), coding edits X01-X03, F07 copies, then A01 re-adjudication."""
+    masks = seed_masks(params)
+    df = df.select("*", *[e.alias(n) for n, e in masks.items()])
+    env = seed_expressions({name: F.col(name) for name in df.columns if name not in masks}, params)
+    df = df.select(*[e.alias(n) for n, e in env.items()])
+    df = apply_edits(df)
     df = seed_duplicates(df, params)
     return adjudicate(df)

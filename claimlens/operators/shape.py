@@ -252,7 +252,10 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
     members = members_from_customer(customer)
     enc = orders.select(F.col("o_orderkey"), F.col("o_custkey")).join(
         members, F.col("o_custkey") == F.col("member_key"))
-    base = li.join(enc, F.col("l_orderkey") == F.col("o_orderkey"))
+    # The per-encounter windows need the lines clustered by order key anyway; placing that one
+    # exchange right after the join shuffles the narrow joined rows (not the wide computed
+    # ones) and runs all per-line expression work after it, in parallel.
+    base = li.join(enc, F.col("l_orderkey") == F.col("o_orderkey")).repartition("l_orderkey")
 
     by_enc = Window.partitionBy("l_orderkey")
     ordered = by_enc.orderBy(*LINE_ORDER)
@@ -261,7 +264,10 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
     ek = F.col("l_orderkey").cast("string")
     etype0 = encounter_type(spec, ek)
 
-    df = base.select(
+    pre = base.select(
+        "*", spec.alias("_spec"), cls.alias("_cls"), etype0.alias("etype0"),
+    ).withColumn("_code0", service_code(F.col("etype0"), F.col("_spec"), F.col("l_partkey")))
+    df = pre.select(
         F.col("l_orderkey").alias("enc_key"),
         F.row_number().over(ordered).cast("int").alias("claim_line_no"),
         "l_partkey", "l_suppkey",
@@ -271,12 +277,16 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
         "member_id", "member_age", "member_gender", "chronic_score", "plan_type",
         "annual_deductible", "coinsurance_rate", "deductible_remaining_start",
         F.format_string("P%06d", F.col("l_suppkey") + 1).alias("provider_id"),
-        spec.alias("provider_specialty"),
-        cls.alias("provider_class"),
-        provider_propensity(cls).alias("provider_fraud_propensity"),
-        provider_discount(spec).alias("contract_discount_rate"),
-        etype0.alias("etype0"),
-        F.max(etype0.isin("ed_facility", "inpatient_facility").cast("int")).over(by_enc).alias("enc_has_facility"),
+        F.col("_spec").alias("provider_specialty"),
+        F.col("_cls").alias("provider_class"),
+        provider_propensity(F.col("_cls")).alias("provider_fraud_propensity"),
+        provider_discount(F.col("_spec")).alias("contract_discount_rate"),
+        "etype0",
+        F.max(F.col("etype0").isin("ed_facility", "inpatient_facility").cast("int")).over(by_enc).alias("enc_has_facility"),
+        # X01 context: does the encounter bill a panel?  Seeding never rewrites panel codes
+        # (upcoding only shifts E&M levels), so this equals the check on the seeded codes.
+        F.max(F.col("_code0").isin("80053", "85025").cast("int")).over(by_enc).alias("enc_has_panel"),
+        F.col("_code0").alias("_code0"),
     )
 
     linked = ((F.col("etype0") == "professional") & F.col("provider_specialty").isin(*LINKED_NAMES)
@@ -295,10 +305,10 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
         .otherwise(F.col("_eid")).alias("encounter_id"),
         F.when(F.col("linked_facility_claim") == 1, F.col("_eid")).otherwise(F.lit("")).alias("parent_encounter_id"),
         claim_family(F.col("etype0")).alias("claim_family"),
-        service_code(F.col("etype0"), F.col("provider_specialty"), F.col("l_partkey")).alias("service_code"),
+        F.col("_code0").alias("service_code"),
         draw_key("enc_key", "claim_line_no").alias("line_key"),
         _pick(C.DX_CODES, F.pmod(F.col("l_partkey"), F.lit(len(C.DX_CODES)))).alias("diagnosis_code"),
-    ).drop("_eid")
+    ).drop("_eid", "_code0")
 
     cat = F.broadcast(service_catalog_df(spark))
     df = df.join(cat, df.service_code == cat.code, "left").drop("code")
