@@ -48,8 +48,10 @@ def select_by_hash_quota(df: DataFrame, groups: list[str], quota: DataFrame, key
 
 
 def quota_fraction(df: DataFrame, groups: list[str], fraction: float) -> DataFrame:
-    """q = floor(n * fraction) per group."""
-    return df.groupBy(*groups).agg(F.floor(F.count(F.lit(1)) * F.lit(fraction)).cast("bigint").alias("_q"))
+    """q = floor(n * fraction) per group, in exact integer arithmetic (fraction in parts per million)."""
+    ppm = int(round(fraction * 1_000_000))
+    n = F.count(F.lit(1)).cast("bigint") * F.lit(ppm)
+    return df.groupBy(*groups).agg(((n - F.pmod(n, F.lit(1_000_000))) / F.lit(1_000_000)).cast("bigint").alias("_q"))
 
 
 def quota_cap(df: DataFrame, groups: list[str], cap: int) -> DataFrame:

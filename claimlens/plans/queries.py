@@ -428,6 +428,18 @@ def line_flags_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         clip_units(F.col("units")).alias("clipped_units"))
 
 
+def append_fixed_rate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first script's appended anomaly copies (appended rows only)."""
+    from claimlens.operators.seed_fd import append_fixed_rate
+    from claimlens.session import stage_table
+    from claimlens.sources.tables import read_table
+    shaped = shaped_lines(spark, sf_dir)
+    shaped = stage_table(shaped.select("line_key", "provider_id", "service_code", "units", "base_cents",
+                                       "allowed_amount", "billed_amount"), "fd-source")
+    rows = append_fixed_rate(shaped, read_table(spark, sf_dir, "supplier", ["s_suppkey"]))
+    return rows.select(*[to_double(F.col(c)).alias(c) if c.endswith("_amount") else F.col(c) for c in rows.columns])
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {"v6_lines": v6_lines, "claims_from_star": claims_from_star, "review_queue": review_queue_q,
                              "v3_lines": v3_lines_q, "v3_recall_within_type": v3_recall_within_type,
@@ -450,7 +462,8 @@ def all_queries() -> dict[str, Query]:
                              "dictionary_fields": dictionary_fields_q,
                              "top_suspicious_providers": top_suspicious_providers_q,
                              "adjudicate_initial": adjudicate_initial_q,
-                             "features_chunk_scope": features_chunk_scope_q, "line_flags": line_flags_q}
+                             "features_chunk_scope": features_chunk_scope_q, "line_flags": line_flags_q,
+                             "append_fixed_rate": append_fixed_rate_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

@@ -220,3 +220,55 @@ SELECT fraud_type, COUNT(*) AS n, CAST(SUM(flagged_for_review) AS BIGINT) AS cau
        CAST(SUM(flagged_for_review) AS DOUBLE) / COUNT(*) AS recall
 FROM lines GROUP BY ALL"""),
     }
+
+
+def append_fixed_rate_sql() -> str:
+    """F19-F21 oracle over the shaped lines."""
+    from oracle.v6_sql import h, money, shaped_ctes, unif
+
+    def pick(kind: str, rate: str) -> str:
+        return (f"(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {_h32('line_key', f'fd_{kind}_pick')}, line_key) AS r,"
+                f" COUNT(*) OVER () AS n FROM shaped2) WHERE r <= FLOOR(n * {rate}))")
+
+    def u(salt: str, lo: str, hi: str) -> str:
+        return unif("line_key", salt, lo, hi)
+
+    cols = "claim_id, line_key, fraud_type, 1 AS fraud_label, provider_id, service_code, CAST(units AS INTEGER) AS units"
+    money_cols = ("CAST(allowed_amount AS DOUBLE) AS allowed_amount, CAST(billed_amount AS DOUBLE) AS billed_amount, "
+                  "CAST(paid_amount AS DOUBLE) AS paid_amount")
+    return "WITH " + shaped_ctes() + f""",
+outlier AS (
+  SELECT provider_id, CAST(ROW_NUMBER() OVER (ORDER BY {h('provider_id', 'fd_outlier_provider')}, provider_id) - 1 AS INTEGER) AS idx
+  FROM (SELECT printf('P%06d', s_suppkey + 1) AS provider_id FROM supplier)
+  QUALIFY idx < 3
+),
+dup AS (SELECT 'FDUP' || line_key AS claim_id, line_key, 'duplicate_billing' AS fraud_type, provider_id, service_code, units,
+               allowed_amount, billed_amount, CAST(NULL AS DECIMAL(18,2)) AS paid_amount FROM {pick('duplicate_billing', '0.015')}),
+exu0 AS (SELECT *, 8 + {h('line_key', 'fd_exu_units')} % 13 AS u2 FROM {pick('excessive_units', '0.012')}),
+exu1 AS (SELECT *, {money(f"base_allowed * u2 * {u('fd_exu_a', '1.0', '1.3')}")} AS a2 FROM exu0),
+exu AS (SELECT 'FEXU' || line_key AS claim_id, line_key, 'excessive_units' AS fraud_type, provider_id, service_code, u2 AS units,
+               a2 AS allowed_amount, {money(f"a2 * {u('fd_exu_b', '1.20', '1.60')}")} AS billed_amount,
+               {money(f"a2 * {u('fd_exu_p', '0.80', '1.00')}")} AS paid_amount FROM exu1),
+upc1 AS (SELECT *, {money(f"210.00 * {u('fd_upc_a', '1.00', '1.20')}")} AS a2 FROM {pick('upcoding', '0.010')}),
+upc AS (SELECT 'FUPC' || line_key AS claim_id, line_key, 'upcoding' AS fraud_type, provider_id, '99215' AS service_code, 1 AS units,
+               a2 AS allowed_amount, {money(f"a2 * {u('fd_upc_b', '1.25', '1.60')}")} AS billed_amount,
+               {money(f"a2 * {u('fd_upc_p', '0.85', '1.00')}")} AS paid_amount FROM upc1),
+unb0 AS (SELECT s.*, p.part FROM {pick('unbundling', '0.008')} s, (VALUES ('A'), ('B')) p(part)),
+unb1 AS (SELECT *, CASE WHEN part = 'A' THEN ROUND({u('fd_unb_a', '6', '12')}, 2) ELSE ROUND({u('fd_unb_b', '18', '35')}, 2) END AS a2
+         FROM unb0),
+unb AS (SELECT 'FUN' || part || line_key AS claim_id, line_key, 'unbundling' AS fraud_type, provider_id,
+               CASE WHEN part = 'A' THEN '36415' ELSE '85025' END AS service_code, units, a2 AS allowed_amount,
+               {money(f"a2 * {u('fd_unb_bill', '1.2', '1.5')}")} AS billed_amount,
+               {money(f"a2 * {u('fd_unb_paid', '0.8', '1.0')}")} AS paid_amount FROM unb1),
+pro0 AS (SELECT s.* EXCLUDE (provider_id), o.provider_id, 4 + {h('line_key', 'fd_pro_units')} % 8 AS u2
+         FROM {pick('provider_outlier', '0.010')} s JOIN outlier o ON o.idx = {h('line_key', 'fd_pro_pick')} % 3),
+pro1 AS (SELECT *, {money(f"base_allowed * u2 * {u('fd_pro_a', '1.3', '1.8')}")} AS a2 FROM pro0),
+pro AS (SELECT 'FPRO' || line_key AS claim_id, line_key, 'provider_outlier' AS fraud_type, provider_id, service_code,
+               u2 AS units, a2 AS allowed_amount, {money(f"a2 * {u('fd_pro_b', '1.3', '1.7')}")} AS billed_amount,
+               {money(f"a2 * {u('fd_pro_p', '0.85', '1.00')}")} AS paid_amount FROM pro1)
+SELECT {cols}, {money_cols} FROM dup
+UNION ALL SELECT {cols}, {money_cols} FROM exu
+UNION ALL SELECT {cols}, {money_cols} FROM upc
+UNION ALL SELECT {cols}, {money_cols} FROM unb
+UNION ALL SELECT {cols}, {money_cols} FROM pro
+"""
