@@ -34,6 +34,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor; give it the machine's memory
             builder = builder.config("spark.driver.memory", os.environ.get("CLAIMLENS_DRIVER_MEMORY", "16g"))
+            # wide generated projections can exceed HotSpot's 8 KB JIT limit; let them compile
+            builder = builder.config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
