@@ -310,7 +310,7 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
         _pick(C.DX_CODES, F.pmod(F.col("l_partkey"), F.lit(len(C.DX_CODES)))).alias("diagnosis_code"),
     ).drop("_eid", "_code0")
 
-    cat = F.broadcast(service_catalog_df(spark))
+    cat = F.broadcast(service_catalog_df(spark).drop("cat_description", "cat_family", "cat_specialty", "typical_units"))
     df = df.join(cat, df.service_code == cat.code, "left").drop("code")
     df = with_digests(df)
 
