@@ -336,7 +336,8 @@ def union_families_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlens.sources.sinks import union_lines
     d = _lines(spark, sf_dir)
     fam = F.col("claim_family")
-    pharm = d.filter(fam == "pharmacy").select("line_id", "claim_family", "drug_name", "drug_type", "ndc", "days_supply")
+    pharm = d.filter(fam == "pharmacy").select("line_id", "claim_family", "drug_name", "drug_type", "ndc",
+                                               F.col("days_supply").cast("double").alias("days_supply"))
     inst = d.filter(fam == "institutional").select("line_id", "claim_family", "revenue_code")
     rest = d.filter(~fam.isin("pharmacy", "institutional")).select("line_id", "claim_family")
     return union_lines(pharm, inst, rest)

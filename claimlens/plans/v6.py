@@ -26,7 +26,7 @@ V6_COLUMNS = [
     ("service_date", "date"), ("claim_family", "string"), ("encounter_type", "string"),
     ("place_of_service", "string"), ("revenue_code", "string"), ("diagnosis_code", "string"),
     ("service_code", "string"), ("drug_name", "string"), ("drug_type", "string"), ("ndc", "string"),
-    ("days_supply", "int"), ("claim_line_no", "int"), ("units", "int"), ("member_age", "int"),
+    ("days_supply", "double"), ("claim_line_no", "int"), ("units", "int"), ("member_age", "int"),
     ("member_gender", "string"), ("chronic_score", "int"), ("plan_type", "string"),
     ("annual_deductible", "double"), ("deductible_remaining_start", "double"), ("coinsurance_rate", "double"),
     ("allowed_amount", "double"), ("contract_rate", "double"), ("billed_amount", "double"),

@@ -196,7 +196,7 @@ SELECT line_id, chunk_id, fraud_type FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY chunk_id ORDER BY {_h32('line_id', 'sample')}, line_id) AS r1
     FROM {_CHUNKED}) WHERE r1 <= 1500) WHERE r2 <= 4000"""),
         "union_families": with_lines("""
-SELECT line_id, claim_family, drug_name, drug_type, ndc, days_supply FROM lines WHERE claim_family = 'pharmacy'
+SELECT line_id, claim_family, drug_name, drug_type, ndc, CAST(days_supply AS DOUBLE) AS days_supply FROM lines WHERE claim_family = 'pharmacy'
 UNION ALL BY NAME SELECT line_id, claim_family, revenue_code FROM lines WHERE claim_family = 'institutional'
 UNION ALL BY NAME SELECT line_id, claim_family FROM lines WHERE claim_family NOT IN ('pharmacy', 'institutional')"""),
         "write_lines": with_lines(f"SELECT line_id, chunk_id, fraud_label FROM {_CHUNKED}"),

@@ -379,7 +379,7 @@ V6_OUT = [
     ("service_date", "DATE"), ("claim_family", "VARCHAR"), ("encounter_type", "VARCHAR"),
     ("place_of_service", "VARCHAR"), ("revenue_code", "VARCHAR"), ("diagnosis_code", "VARCHAR"),
     ("service_code", "VARCHAR"), ("drug_name", "VARCHAR"), ("drug_type", "VARCHAR"), ("ndc", "VARCHAR"),
-    ("days_supply", "INTEGER"), ("claim_line_no", "INTEGER"), ("units", "INTEGER"), ("member_age", "INTEGER"),
+    ("days_supply", "DOUBLE"), ("claim_line_no", "INTEGER"), ("units", "INTEGER"), ("member_age", "INTEGER"),
     ("member_gender", "VARCHAR"), ("chronic_score", "INTEGER"), ("plan_type", "VARCHAR"),
     ("annual_deductible", "DOUBLE"), ("deductible_remaining_start", "DOUBLE"), ("coinsurance_rate", "DOUBLE"),
     ("allowed_amount", "DOUBLE"), ("contract_rate", "DOUBLE"), ("billed_amount", "DOUBLE"),
