@@ -28,14 +28,19 @@ DEFAULT_CONF = {
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "claimlens") -> SparkSession:
     """Return the active session, creating a local one for tests and benches."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        # a given session keeps its settings; only unset SQL settings are filled in
+        for k, v in DEFAULT_CONF.items():
+            if k.startswith("spark.sql.") and running.conf.get(k, None) is None:
+                running.conf.set(k, v)
+        return running
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor; give it the machine's memory
             builder = builder.config("spark.driver.memory", os.environ.get("CLAIMLENS_DRIVER_MEMORY", "16g"))
-            # wide generated projections can exceed HotSpot's 8 KB JIT limit; let them compile
-            builder = builder.config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -48,15 +53,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset (local
-    tests) a fresh scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a fresh scratch folder is
+    made and registered in local mode only; on a cluster that folder would not be shared, so an
+    error says to set it.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    scratch = tempfile.mkdtemp(prefix="claimlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    scratch = tempfile.mkdtemp(prefix="claimlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
@@ -80,10 +89,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``claimlens`` importable in Python workers (pandas UDF steps), once per application.
+    """Make ``claimlens`` importable in Python workers (pandas and Arrow steps), once per application.
 
-    The package is zipped into the shared checkpoint folder and added with
-    ``addPyFile``, so every executor -- including ones started later -- gets it.
+    The package is zipped into a temporary file of the driver; ``addPyFile`` serves it to every
+    executor, including ones started later, so no shared or remote path is opened here.
     """
     import zipfile
     app = spark.sparkContext.applicationId
@@ -91,22 +100,21 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    base = checkpoint_dir(spark).rstrip("/")
-    local_base = base[len("file:"):] if base.startswith("file:") else base
-    target = os.path.join(local_base, f"claimlens-pkg-{app}.zip")
-    if not os.path.exists(target):
-        os.makedirs(local_base, exist_ok=True)
-        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-            for dirpath, _dirs, files in os.walk(pkg):
-                for f in files:
-                    if f.endswith(".py"):
-                        full = os.path.join(dirpath, f)
-                        z.write(full, os.path.relpath(full, root))
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="claimlens-pkg-")), "claimlens.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
     spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
