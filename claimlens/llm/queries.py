@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from . import language_id, quality_classifier
 from .common import checkpoint_dir, read_table, vocabulary_file
 from .packing import pack
 from .piece_bpe import encode_and_decode
@@ -53,10 +54,26 @@ def op7_token_files(spark: SparkSession, sf_dir: str, vocabulary: str | None = N
     return read_token_files(files, "doc_id", T.LongType(), tasks, keep_ids=False).drop("ids")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality").where(~language_id.held_out("doc_id"))
+    model = quality_classifier.fit(docs, labels, "doc_id", "text", "quality")
+    return quality_classifier.score(docs, "text", model).select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~language_id.held_out("doc_id")), "doc_id", "text", "lang")
+    return language_id.predict(docs.select("doc_id", "text"), "text", model).select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_packing": op3_packing, "op4_sharding": op4_sharding, "op5_quality_rules": op5_quality_rules,
         "op6_piece_bpe": op6_piece_bpe, "op7_token_files": op7_token_files,
+        "op9_quality_classifier": op9_quality_classifier, "op10_language_id": op10_language_id,
     }
 
 
