@@ -12,7 +12,9 @@ from .packing import pack
 from .piece_bpe import encode_and_decode
 from .quality_rules import apply_rules
 from .sharding import shard_by_bytes
+from .simhash import hex_digits, near_duplicates
 from .token_files import read_token_files, write_token_files
+from .voronoi_knn import top_k
 
 
 def _file(path: str) -> bytes:
@@ -20,6 +22,17 @@ def _file(path: str) -> bytes:
         return f.read()
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates(docs, "doc_id", "text", words_per_shingle=3, max_distance=3).select(
+        "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op2_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     data = _file(vocabulary or vocabulary_file("byte_bpe_50k.json"))
@@ -71,6 +84,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash": op1_simhash, "op2_voronoi_knn": op2_voronoi_knn,
         "op3_packing": op3_packing, "op4_sharding": op4_sharding, "op5_quality_rules": op5_quality_rules,
         "op6_piece_bpe": op6_piece_bpe, "op7_token_files": op7_token_files,
         "op9_quality_classifier": op9_quality_classifier, "op10_language_id": op10_language_id,
