@@ -19,7 +19,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import append_columns, row_slices, run_sums, ship_package, texts_of
+from .common import append_columns, letters, row_slices, run_sums, ship_package, texts_of
+
+__all__ = ["document_frequencies", "fit", "held_out", "letters", "predict"]
 
 BITS = 16
 FEATURES = 1 << BITS

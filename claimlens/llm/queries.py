@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from . import language_id, quality_classifier
+from . import language_id, maxent_lm, quality_classifier
 from .common import checkpoint_dir, read_table, vocabulary_file
 from .packing import pack
 from .piece_bpe import encode_and_decode
@@ -67,6 +67,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str, vocabulary: str | None = N
     return read_token_files(files, "doc_id", T.LongType(), tasks, keep_ids=False).drop("ids")
 
 
+def op8_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = maxent_lm.score(docs, "doc_id", "text", ~language_id.held_out("doc_id", 7, 2))
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     labels = read_table(spark, sf_dir, "labels", "doc_id", "quality").where(~language_id.held_out("doc_id"))
@@ -82,14 +89,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash, "op2_voronoi_knn": op2_voronoi_knn,
         "op3_packing": op3_packing, "op4_sharding": op4_sharding, "op5_quality_rules": op5_quality_rules,
         "op6_piece_bpe": op6_piece_bpe, "op7_token_files": op7_token_files,
-        "op9_quality_classifier": op9_quality_classifier, "op10_language_id": op10_language_id,
+        "op8_maxent_lm": op8_maxent_lm, "op9_quality_classifier": op9_quality_classifier,
+        "op10_language_id": op10_language_id, "pipeline": pipeline,
     }
 
 
 def llm_sql() -> dict[str, str]:
+    """None of the ten can be said in SQL: hashes, tokenizers, trained models, greedy packing and differencing."""
     return {}
