@@ -1,6 +1,6 @@
 """Language-model scoring with a hashed maximum-entropy model and a class-factored softmax.
 
-Tokens are the words of a text, lower-cased (A-Z), and one end.  The ``frequent`` most frequent training words have a
+Tokens are the words of a text, lower-cased (A-Z), and one end.  The FREQUENT most frequent training words have a
 bucket each, all others share ``TAILS`` buckets by a hash; buckets are dealt to CLASSES classes of MEMBERS members.
 
     P(word | context) = P(class | context) P(member | class, context) P(word | bucket)
@@ -38,7 +38,7 @@ FREQUENT = 24 * CLASSES                                           # buckets of o
 TAILS = CLASSES * MEMBERS - FREQUENT                              # buckets that words share
 BUCKETS = CLASSES * MEMBERS
 FEATURES = 1 << 13
-_TOKENS_AT_ONCE = 16384
+_TOKENS_AT_ONCE = 32768
 _SLICE = 8 << 20
 
 
@@ -68,6 +68,23 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list:
+    """The rows of counts at or above the least level of n that at most ``most`` words reach, most frequent first.
+
+    Levels are sixteenths of a power of two, so the table of words by level is small whatever the corpus.
+    """
+    level = F.floor(16 * F.log2("n")).cast("int")
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
+    least, taken = None, 0
+    for at, words in sizes:
+        if taken + words > most:
+            break
+        least, taken = at, taken + words
+    if least is None:
+        return []
+    return sorted(counts.where(level >= least).collect(), key=lambda r: (-r["n"], r["word"]))
+
+
 class Buckets:
     """Buckets and counts of words by the broadcast list of frequent words."""
 
@@ -81,7 +98,7 @@ class Buckets:
     def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bucket, rank or -1, log10 of the shared bucket's size) of each word."""
         rank = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        tail = np.fromiter((zlib.crc32(w.as_buffer()) % TAILS for w in words.cast(pa.binary())), np.int64, len(words))
+        tail = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words)) % TAILS
         own = (rank >= 0) & (rank < FREQUENT)
         bucket = np.where(own, self.of_rank[np.where(own, rank, 0)],
                           tail % CLASSES * MEMBERS + FREQUENT // CLASSES + tail // CLASSES)
@@ -105,32 +122,33 @@ def _hashed(kind: int, a: np.ndarray, b: np.ndarray | int = 0) -> np.ndarray:
     h += np.uint32(kind * 0x27D4EB2F & 0xFFFFFFFF)
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
-    return (h >> np.uint32(32 - 13)).astype(np.uint16)
+    return (h >> np.uint32(32 - 13)).astype(np.int64)
 
 
 class Model:
-    """Weights of classes (FEATURES + 1 rows) and members (FEATURES + CLASSES rows)."""
+    """Weights of classes (FEATURES + 1 columns) and members (FEATURES + CLASSES columns), one row for each outcome."""
 
     def __init__(self, flat: np.ndarray | None = None):
-        rows = 2 * FEATURES + 1 + CLASSES
-        flat = np.zeros(rows * CLASSES, np.float32) if flat is None else flat.copy()
-        weights = flat.reshape(rows, CLASSES)
-        self.flat, self.of_class, self.of_member = flat, weights[:FEATURES + 1], weights[FEATURES + 1:]
+        n = CLASSES * (FEATURES + 1)
+        self.flat = np.zeros(n + MEMBERS * (FEATURES + CLASSES), np.float32) if flat is None else flat.copy()
+        self.of_class = self.flat[:n].reshape(CLASSES, FEATURES + 1)
+        self.of_member = self.flat[n:].reshape(MEMBERS, FEATURES + CLASSES)
 
     def _forward(self, table: np.ndarray, features: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        logits = table[features[0]]
+        """(log probability of the target, probabilities of all outcomes by row) of each token."""
+        logits = table.take(features[0], axis=1, mode="clip")
         for f in features[1:]:
-            logits += table[f]
-        logits -= logits.max(axis=1, keepdims=True)
-        right = logits[np.arange(len(target)), target]
+            logits += table.take(f, axis=1, mode="clip")
+        logits -= logits.max(axis=0)
+        right = logits[target, np.arange(len(target))]
         np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
-        return right - np.log(total), logits / total[:, None]
+        total = logits.sum(axis=0)
+        return right - np.log(total), np.divide(logits, total, out=logits)
 
     def _features(self, cls: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        constant = np.full(len(cls), FEATURES, np.uint16)
+        constant = np.full(len(cls), FEATURES)
         return ([_hashed(1, one), _hashed(2, two), _hashed(3, one, two), constant],
-                [_hashed(4, one, cls), (FEATURES + cls).astype(np.uint16)])
+                [_hashed(4, one, cls), FEATURES + cls])
 
     def log_probabilities(self, buckets: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural log of P(class) P(member) of each token."""
@@ -144,22 +162,22 @@ class Model:
         return out
 
     def train(self, squares: "Model", buckets: np.ndarray, one: np.ndarray, two: np.ndarray, rate: float) -> None:
+        """Adagrad updates, one for each batch of tokens; ``squares`` holds the sums of squared gradients."""
         for a in range(0, len(buckets), _TOKENS_AT_ONCE):
             some = slice(a, a + _TOKENS_AT_ONCE)
             cls, member = np.divmod(buckets[some], MEMBERS)
-            every = np.arange(len(cls))
             by_class, by_member = self._features(cls, one[some], two[some])
             for table, sums, features, target in ((self.of_class, squares.of_class, by_class, cls),
                                                   (self.of_member, squares.of_member, by_member, member)):
                 _, p = self._forward(table, features, target)
-                p[every, target] -= 1
-                for f in features:
-                    order = np.argsort(f, kind="stable")
-                    ranked = f[order]
-                    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-                    gradient, rows = np.add.reduceat(p[order], starts, axis=0), ranked[starts]
-                    sums[rows] += gradient * gradient
-                    table[rows] -= rate * gradient / np.sqrt(sums[rows] + 1.0)
+                p[target, np.arange(len(target))] -= 1
+                for outcome, wrong in enumerate(p):
+                    wrong = wrong.astype(np.float64)
+                    slope = np.zeros(table.shape[1])
+                    for f in features:
+                        slope += np.bincount(f, wrong, table.shape[1])
+                    sums[outcome] += slope * slope
+                    table[outcome] -= rate * slope / np.sqrt(sums[outcome] + 1.0)
 
 
 def _tokens(texts: pa.Array, buckets: Buckets) -> tuple[np.ndarray, np.ndarray, tuple, np.ndarray, np.ndarray]:
@@ -217,7 +235,7 @@ def score(df: DataFrame, id_col: str, text_col: str, is_training: Column, rounds
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), is_training.alias("_training"))
     known = docs.where("_training")
     counts = stage_table(count_words(known, "_text"), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(known_words).collect()            # a documented bound
+    top = frequent_words(counts, known_words)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = [r["word"] for r in top[:FREQUENT]]
     tails = (counts.join(F.broadcast(spark.createDataFrame([(w,) for w in frequent], "word string")), "word", "left_anti")
