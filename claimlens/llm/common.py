@@ -105,7 +105,8 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def append_columns(df: DataFrame, text_col: str, fields: dict[str, T.DataType],
-                   make: Callable[[], Callable[[pa.Array], list[np.ndarray | pa.Array]]]) -> DataFrame:
+                   make: Callable[[], Callable[[pa.Array], list[np.ndarray | pa.Array]]],
+                   slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """df's rows with new columns computed from its texts in Arrow batches, every other column untouched.
 
     ``make()`` runs once per task and returns a function from a slice of texts (nulls as empty) to one
@@ -120,7 +121,7 @@ def append_columns(df: DataFrame, text_col: str, fields: dict[str, T.DataType],
         compute = make()
         for batch in batches:
             texts = texts_of(batch.column(at))
-            for first, n in row_slices(texts):
+            for first, n in row_slices(texts, slice_bytes):
                 part = batch.slice(first, n)
                 made = [pa.array(x, f.type) if not isinstance(x, pa.Array) else x.cast(f.type)
                         for x, f in zip(compute(texts.slice(first, n)), target)]

@@ -27,6 +27,8 @@ BITS = 16
 FEATURES = 1 << BITS
 #: Texts in one bitmap of the document frequencies.
 _ROWS_AT_ONCE = 128
+#: A text's characters and n-grams take about 60 bytes for each of its own while they are read.
+_SLICE = 1 << 20
 
 
 def _letters() -> np.ndarray:
@@ -81,7 +83,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
         for batch in batches:
             texts = texts_of(batch.column(0))
             rows += len(texts)
-            for first, n in row_slices(texts):
+            for first, n in row_slices(texts, _SLICE):
                 found, before, _ = grams(texts.slice(first, n))
                 for a in range(0, n, _ROWS_AT_ONCE):
                     b = min(n, a + _ROWS_AT_ONCE)
@@ -169,7 +171,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_lan
         grams = Grams()
         for batch in batches:
             texts = texts_of(batch.column(0))
-            for first, n in row_slices(texts):
+            for first, n in row_slices(texts, _SLICE):
                 found, before, _ = grams(texts.slice(first, n))
                 rows = [_values(found[a:b], idf) for a, b in zip(before[:-1], before[1:])]
                 yield pa.RecordBatch.from_arrays([
@@ -217,7 +219,7 @@ def predict(df: DataFrame, text_col: str, model: dict | None) -> DataFrame:
 
         return compute
 
-    return append_columns(df, text_col, {"lang_pred": T.StringType(), "score": T.DoubleType()}, make)
+    return append_columns(df, text_col, {"lang_pred": T.StringType(), "score": T.DoubleType()}, make, _SLICE)
 
 
 def held_out(id_col: str, parts: int = 5, rest: int = 0) -> Column:
