@@ -1,0 +1,43 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+EDGES = [None, "", "   \n\t", "one", "one two", "Equal words of a short text here", "Equal words of a short text here",
+         "equal WORDS of a short text here", "x" * 3000, "a  b \u3000 c\n\n a\u0301 \U0001F600 \u4e2d\u6587 don't WE'LL '' 's <|endoftext|> \u2581 12\u00b3",
+         "line one has words\nline one has words\n \nline one has words\n" * 9, "to be or not to be that is it now " * 700]
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, Score int, kept int, row int"
+
+
+@pytest.fixture(scope="session")
+def tiny(spark, tmp_path_factory):
+    """A folder of tables: some given rows, edge cases, repeated rows, and columns that clash with the operators' own."""
+    folder = str(tmp_path_factory.mktemp("tiny"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(90).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, "f", 1, 2, 3) for r in docs]
+    rows += [(10_000 + k, t, None if k % 2 else "en", None, None, None, None, None, None) for k, t in enumerate(EDGES)]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    vectors = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").limit(60).collect()]
+    vectors += [(100, [0.5] * 64), (101, [0.5] * 64), (102, [0.5] * 64), (150, None), (151, [None] + [0.1] * 63),
+                (152, [float("nan")] * 64), (153, [float("inf")] * 64), (154, [1.0]), (200, [0.0] * 64), (None, [0.1] * 64)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality", "toxic").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def empty(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("empty"))
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def texts(spark, tiny):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
