@@ -11,35 +11,18 @@ order-free across partitions; amounts become DOUBLE only at output, as
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
-
-def lit_dec(x: str | float | int) -> Column:
-    return F.lit(Decimal(str(x)))
-
-
-def cents_lit(x: str) -> Column:
-    """A money literal such as "13.50" as cents."""
-    return F.lit(int((Decimal(x) * 100).to_integral_value()))
-
-
-def _floor_div(a: Column, b: Column | int) -> Column:
-    """floor(a / b) for a >= 0, b > 0, exact on BIGINT."""
-    b = F.lit(b) if isinstance(b, int) else b
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+def int_div(a: Column, b: Column | int) -> Column:
+    """Exact BIGINT division, truncated towards zero (SQL ``div``)."""
+    return F.call_function("div", a.cast("bigint"), (F.lit(b) if isinstance(b, int) else b).cast("bigint"))
 
 
 def round_div(num: Column, den: Column | int) -> Column:
     """num / den rounded half away from zero, for den > 0 (BIGINT)."""
     den = F.lit(den) if isinstance(den, int) else den
-    a = F.abs(num) * 2 + den
-    q = _floor_div(a, den * 2)
-    return F.when(num < 0, -q).otherwise(q).cast("bigint")
+    return int_div(F.abs(num) * 2 + den, den * 2) * F.when(num < 0, F.lit(-1)).otherwise(F.lit(1))
 
 
 def scale(cents: Column, factor: Column, unit: int) -> Column:
@@ -67,8 +50,3 @@ def ratio4(num: Column, den: Column, floor_cents: int | None = 100) -> Column:
     n = num.cast("bigint")
     d = (F.greatest(den, F.lit(floor_cents)) if floor_cents is not None else den).cast("bigint")
     return round_div(n * 10000, d).cast("double") / F.lit(10000.0)
-
-
-def money(c: Column) -> Column:
-    """Round a DECIMAL to cents and fix the type (used at the DECIMAL boundary only)."""
-    return F.round(c, 2).cast(MONEY)

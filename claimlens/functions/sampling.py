@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlens.functions.money import int_div
+
 BUCKET_BITS = 20
 
 
@@ -51,7 +53,7 @@ def quota_fraction(df: DataFrame, groups: list[str], fraction: float) -> DataFra
     """q = floor(n * fraction) per group, in exact integer arithmetic (fraction in parts per million)."""
     ppm = int(round(fraction * 1_000_000))
     n = F.count(F.lit(1)).cast("bigint") * F.lit(ppm)
-    return df.groupBy(*groups).agg(((n - F.pmod(n, F.lit(1_000_000))) / F.lit(1_000_000)).cast("bigint").alias("_q"))
+    return df.groupBy(*groups).agg(int_div(n, 1_000_000).alias("_q"))
 
 
 def quota_cap(df: DataFrame, groups: list[str], cap: int) -> DataFrame:

@@ -4,14 +4,12 @@ Counts and means over hot keys (a provider may hold a large share of all lines)
 are computed as hash aggregates -- map-side partial aggregation makes a hot key
 cheap -- and joined back.  The joins stay plain equi joins: AQE turns them into
 broadcast joins when the aggregate is measured small at run time, and splits
-skewed partitions of the line side when it is not.  The per-code mean is
-broadcast explicitly: service codes come from a fixed catalogue, so that table
-has a proven size bound.
+skewed partitions of the line side when it is not.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.money import mean_double, ratio4
@@ -29,56 +27,6 @@ def with_chunk_id(df: DataFrame, chunk_size: int, key: str = "enc_key") -> DataF
     return df.withColumn("chunk_id", (F.col(key) / F.lit(chunk_size)).cast("bigint"))
 
 
-def count_by(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Rows sharing ``keys``: aggregate then join back (skew-safe count window)."""
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(agg, on=keys, how="left")
-
-
-def duplicate_signature_count(df: DataFrame, keys: list[str] = V6_SIGNATURE, scope: str = "global") -> DataFrame:
-    """G01."""
-    return count_by(df, _scope(keys, scope), "duplicate_signature_count")
-
-
-def provider_day_and_avg(df: DataFrame, value: str = "contract_rate", avg_name: str = "provider_avg_contract_rate",
-                         scope: str = "global") -> DataFrame:
-    """G02 + G03 in one join: lines per provider-day and the provider mean.
-
-    The provider mean is folded into the (provider, day) aggregate before the
-    join, so the line table is shuffled once for both features.
-    """
-    pkeys = _scope(["provider_id"], scope)
-    dkeys = pkeys + ["service_date"]
-    day = df.groupBy(*dkeys).agg(F.count(F.lit(1)).alias("provider_day_claim_count"),
-                                 F.sum(value).alias("_s"))
-    prov = day.groupBy(*pkeys).agg(mean_double(F.sum("_s"), F.sum("provider_day_claim_count")).alias(avg_name))
-    day = day.drop("_s").join(prov, on=pkeys)
-    return df.join(day, on=dkeys, how="left")
-
-
-def provider_day_claim_count(df: DataFrame, scope: str = "global") -> DataFrame:
-    """G02 alone."""
-    return count_by(df, _scope(["provider_id", "service_date"], scope), "provider_day_claim_count")
-
-
-def provider_avg(df: DataFrame, value: str = "contract_rate", name: str = "provider_avg_contract_rate",
-                 scope: str = "global") -> DataFrame:
-    """G03 alone."""
-    keys = _scope(["provider_id"], scope)
-    agg = df.groupBy(*keys).agg(mean_double(F.sum(value), F.count(F.lit(1))).alias(name))
-    return df.join(agg, on=keys, how="left")
-
-
-def code_avg(df: DataFrame, value: str = "contract_rate", key: str = "service_code",
-             name: str = "service_code_avg_contract_rate", scope: str = "global", bounded: bool = True) -> DataFrame:
-    """Mean per service code; broadcast because codes come from a fixed catalogue."""
-    keys = _scope([key], scope)
-    agg = df.groupBy(*keys).agg(mean_double(F.sum(value), F.count(F.lit(1))).alias(name))
-    if bounded and scope == "global":
-        agg = F.broadcast(agg)
-    return df.join(agg, on=keys, how="left")
-
-
 def contract_ratios(df: DataFrame) -> DataFrame:
     """billed/max(contract,1), contract/max(allowed,1), provider/code mean ratio, each to 4 places."""
     pc = F.col("provider_avg_contract_rate") / F.greatest(F.col("service_code_avg_contract_rate"), F.lit(1.0))
@@ -89,69 +37,54 @@ def contract_ratios(df: DataFrame) -> DataFrame:
     })
 
 
-def _gid(all_cols: list[str], grouped: list[str]) -> int:
-    """grouping_id() of a grouping set: bit i (from the left) is 1 when column i is aggregated away."""
-    gid = 0
-    for c in all_cols:
-        gid = (gid << 1) | (0 if c in grouped else 1)
-    return gid
+def group_features(df: DataFrame, specs: list[tuple[list[str], dict[str, tuple[str, str]]]]) -> DataFrame:
+    """Counts and means over several key sets, joined back on the keys.
 
-
-def features_v6(df: DataFrame, scope: str = "global") -> DataFrame:
-    """G01-G05 for the v6 profile.
-
-    The four aggregates (signature count, provider-day count, provider mean, code
-    mean) come from one GROUPING SETS aggregate over a narrow projection, so the
-    upstream plan feeds a single Expand + partial aggregate instead of four; the
-    results are joined back (provider mean folded into the provider-day table, code
-    mean broadcast: its size is bounded by the fixed code catalogue).
-    """
-    sig = _scope(V6_SIGNATURE, scope)
-    day = _scope(["provider_id", "service_date"], scope)
-    prov = _scope(["provider_id"], scope)
-    code = _scope(["service_code"], scope)
-    cols = list(dict.fromkeys(sig))
-    narrow = df.select(*cols)
-    g = narrow.groupingSets([sig, day, prov, code], *cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("contract_rate").alias("_s"), F.grouping_id().alias("_gid"))
-
-    def part(keys: list[str]) -> DataFrame:
-        return g.filter(F.col("_gid") == _gid(cols, keys)).select(*keys, "_n", "_s")
-
-    sig_t = part(sig).select(*sig, F.col("_n").alias("duplicate_signature_count"))
-    prov_t = part(prov).select(*prov, mean_double(F.col("_s"), F.col("_n")).alias("provider_avg_contract_rate"))
-    day_t = part(day).select(*day, F.col("_n").alias("provider_day_claim_count")).join(prov_t, prov)
-    code_t = part(code).select(*code, mean_double(F.col("_s"), F.col("_n")).alias("service_code_avg_contract_rate"))
-    if scope == "global":
-        code_t = F.broadcast(code_t)
-    out = df.join(sig_t, sig, "left").join(day_t, day, "left").join(code_t, code, "left")
-    return contract_ratios(out)
-
-
-def group_features(df: DataFrame, value: str, specs: list[tuple[list[str], dict[str, str]]],
-                   broadcast_keys: list[list[str]] = ()) -> DataFrame:
-    """Counts / means of ``value`` over several key sets from one GROUPING SETS aggregate.
-
-    ``specs``: (keys, {output name: "count" | "mean"}).  Each key set's result is
-    joined back on its keys; key sets listed in ``broadcast_keys`` have a proven
-    small size (fixed code catalogues) and are broadcast.
+    ``specs``: (keys, {output name: (kind, column)}), kind ``count``, ``cents`` (mean of a cents column, as an
+    amount) or ``mean``.  Each key set is aggregated once, map-side first.  A key set that is part of a larger one
+    (the provider in the provider's day) is summed from that one's groups and joined to them, so the lines are
+    aggregated and joined once for both and never meet a table keyed by a hot provider alone.
     """
-    cols = list(dict.fromkeys(c for keys, _ in specs for c in keys))
-    sets = [keys for keys, _ in specs]
-    g = df.select(*cols, value).groupingSets(sets, *cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"), F.grouping_id().alias("_gid"))
+    sets = [k for k, _ in specs]
+    within = {tuple(k): next((o for o in sets if set(k) < set(o) and len(o) == len(k) + 1), k) for k in sets}
     out = df
-    for keys, outputs in specs:
-        part = g.filter(F.col("_gid") == _gid(cols, keys))
-        sel = [F.col("_n").alias(n) if how == "count" else mean_double(F.col("_s"), F.col("_n")).alias(n)
-               for n, how in outputs.items()]
-        part = part.select(*keys, *sel)
-        if keys in [list(b) for b in broadcast_keys]:
-            part = F.broadcast(part)
-        out = out.join(part, keys, "left")
+    for keys in (k for k in sets if within[tuple(k)] == k):
+        inside = [(k, o) for k, o in specs if within[tuple(k)] == keys]
+        wanted = [c for _, o in inside for _, c in o.values() if c]
+        table = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                      *[F.sum(c).alias(f"_sum_{c}") for c in dict.fromkeys(wanted)])
+        joined = table
+        for k, outputs in inside:
+            if k == keys:
+                joined = joined.withColumns({name: _figure(kind, c) for name, (kind, c) in outputs.items()})
+            else:
+                coarse = table.groupBy(*k).agg(F.sum("_n").alias("_n"), *[F.sum(f"_sum_{c}").alias(f"_sum_{c}")
+                                                                          for c in dict.fromkeys(wanted)])
+                coarse = coarse.select(*k, *[_figure(kind, c).alias(name) for name, (kind, c) in outputs.items()])
+                joined = joined.join(coarse, k)
+        names = [name for _, o in inside for name in o]
+        out = out.join(joined.select(*keys, *names), keys, "left")
     return out
 
 
+def _figure(kind: str, column: str) -> Column:
+    if kind == "count":
+        return F.col("_n")
+    if kind == "cents":
+        return mean_double(F.col(f"_sum_{column}"), F.col("_n"))
+    return F.col(f"_sum_{column}").cast("double") / F.col("_n").cast("double")
+
+
+def features_v6(df: DataFrame, scope: str = "global") -> DataFrame:
+    """G01-G05 for the v6 profile: signature, provider-day with the provider's mean, and service code."""
+    return contract_ratios(group_features(df, [
+        (_scope(V6_SIGNATURE, scope), {"duplicate_signature_count": ("count", "")}),
+        (_scope(["provider_id", "service_date"], scope), {"provider_day_claim_count": ("count", "")}),
+        (_scope(["provider_id"], scope), {"provider_avg_contract_rate": ("cents", "contract_rate")}),
+        (_scope(["service_code"], scope), {"service_code_avg_contract_rate": ("cents", "contract_rate")}),
+    ]))
+
+
 def allowed_ratios(billed: Column, allowed: Column, profile: str) -> Column:
     """billed/allowed -- fd no floor; v2 floor 1; v3 floor 1 and 0 when allowed = 0."""
     if profile == "fd":
@@ -160,14 +93,3 @@ def allowed_ratios(billed: Column, allowed: Column, profile: str) -> Column:
     if profile == "v3":
         return F.when(allowed == 0, F.lit(0.0)).otherwise(r)
     return r
-
-
-def provider_fraud_rate_proxy(df: DataFrame, label: str = "fraud_label") -> DataFrame:
-    """Mean label per provider (aggregate + join)."""
-    agg = df.groupBy("provider_id").agg(F.avg(F.col(label).cast("double")).alias("provider_fraud_rate"))
-    return df.join(agg, on="provider_id", how="left")
-
-
-def window_count(keys: list[str]) -> Column:
-    """Count over a window; used only where the key is bounded by construction."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys))

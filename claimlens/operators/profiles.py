@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.operators.features import group_features, provider_fraud_rate_proxy
+from claimlens.operators.features import group_features
 
 
 def _i(c: Column) -> Column:
@@ -89,17 +89,16 @@ def features_v2(df: DataFrame) -> DataFrame:
     df = df.withColumn("code_key", F.when(F.col("claim_family") == "institutional", F.col("revenue_code"))
                        .otherwise(F.col("service_code")))
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "revenue_code", "allowed_amount"]
-    df = group_features(df, "allowed_amount", [
-        (sig, {"duplicate_signature_count": "count"}),
-        (["provider_id", "service_date"], {"provider_day_claim_count": "count"}),
-        (["provider_id"], {"provider_avg_allowed": "mean"}),
-        (["code_key"], {"code_avg_allowed": "mean"}),
-    ], broadcast_keys=[["code_key"]])
-    df = df.withColumns({
+    df = group_features(df, [
+        (sig, {"duplicate_signature_count": ("count", "")}),
+        (["provider_id", "service_date"], {"provider_day_claim_count": ("count", "")}),
+        (["provider_id"], {"provider_avg_allowed": ("cents", "allowed_amount"), "provider_fraud_rate": ("mean", "fraud_label")}),
+        (["code_key"], {"code_avg_allowed": ("cents", "allowed_amount")}),
+    ])
+    return df.withColumns({
         "allowed_to_code_avg_ratio": _dollars("allowed_amount") / F.greatest(F.col("code_avg_allowed"), F.lit(1.0)),
         "billed_to_allowed_ratio": _dollars("billed_amount") / F.greatest(_dollars("allowed_amount"), F.lit(1.0)),
     })
-    return provider_fraud_rate_proxy(df)
 
 
 def rules_v2(df: DataFrame, p: RulesV2 = RulesV2()) -> DataFrame:
@@ -136,12 +135,12 @@ FD_RULES = ["rule_duplicate", "rule_excessive_units", "rule_provider_volume", "r
 def features_fd(df: DataFrame) -> DataFrame:
     """G01-G04 with the first script's keys; G06 without floors."""
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "allowed_amount"]
-    df = group_features(df, "allowed_amount", [
-        (sig, {"duplicate_signature_count": "count"}),
-        (["provider_id", "service_date"], {"provider_day_claim_count": "count"}),
-        (["provider_id"], {"provider_avg_allowed": "mean"}),
-        (["service_code"], {"procedure_avg_allowed": "mean"}),
-    ], broadcast_keys=[["service_code"]])
+    df = group_features(df, [
+        (sig, {"duplicate_signature_count": ("count", "")}),
+        (["provider_id", "service_date"], {"provider_day_claim_count": ("count", "")}),
+        (["provider_id"], {"provider_avg_allowed": ("cents", "allowed_amount")}),
+        (["service_code"], {"procedure_avg_allowed": ("cents", "allowed_amount")}),
+    ])
     return df.withColumns({
         "allowed_to_proc_avg_ratio": F.when(F.col("procedure_avg_allowed") > 0,
                                             _dollars("allowed_amount") / F.col("procedure_avg_allowed")),

@@ -25,3 +25,25 @@ def test_shaping_reads_only_used_lineitem_columns(spark):
     p = _plan(all_queries()["claims_from_star"](spark, SF_SMALL))
     li = [line for line in p.splitlines() if "FileScan parquet" in line and "l_orderkey" in line]
     assert li and all("l_returnflag" not in s and "l_tax" not in s for s in li)
+
+
+def test_features_aggregate_each_key_set_once(spark, lines):
+    from claimlens.operators.features import V6_SIGNATURE, group_features
+    base = lines.select("line_id", *V6_SIGNATURE)
+    p = _plan(group_features(base, [
+        (V6_SIGNATURE, {"duplicates": ("count", "")}),
+        (["provider_id", "service_date"], {"day_lines": ("count", "")}),
+        (["provider_id"], {"provider_mean": ("cents", "contract_rate")}),
+        (["service_code"], {"code_mean": ("cents", "contract_rate")})]))
+    initial = p.split("== Initial Plan ==")[-1]
+    assert "Expand" not in initial
+    # the lines themselves, the signature, the provider-day (read again for the provider's mean) and the code
+    assert initial.count("FileScan parquet") <= 5
+
+
+def test_exact_integer_rounding_beyond_doubles(spark):
+    from pyspark.sql import functions as F
+    from claimlens.functions.money import round_div
+    n = 2 ** 53 + 1
+    got = spark.range(1).select(round_div(F.lit(3 * n), 3).alias("a"), round_div(F.lit(-7), 2).alias("b")).first()
+    assert (got.a, got.b) == (n, -4)
