@@ -1,8 +1,8 @@
 """Sinks, manifest and sampling.
 
 Writers go to paths the caller names (on a cluster: shared storage); the
-summary CSV writer coalesces to one file only because a summary is small by
-construction (its row count is bounded by its group keys, not by the data).
+summary CSV writer makes one file only where the caller says that the summary's
+rows are bounded by a fixed catalogue.
 """
 
 from __future__ import annotations
@@ -15,13 +15,17 @@ from claimlens.operators.features import with_chunk_id
 
 
 def write_lines(df: DataFrame, path: str, chunk_size: int) -> None:
-    """The line table as parquet, one directory per chunk."""
-    with_chunk_id(df, chunk_size).write.mode("overwrite").partitionBy("chunk_id").parquet(path)
+    """The line table as parquet, one directory per chunk; clustered first, so a chunk has few files."""
+    with_chunk_id(df, chunk_size).repartitionByRange("chunk_id", "enc_key").write.mode("overwrite").partitionBy("chunk_id").parquet(path)
 
 
-def write_summary(df: DataFrame, path: str) -> None:
-    """One CSV file with a header (summaries only)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_summary(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """CSV with a header.
+
+    ``one_file`` is for summaries whose rows are bounded by a fixed catalogue (types, families, reasons); those
+    keyed by providers or members grow with the data and keep their partitions.
+    """
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def chunk_manifest(df: DataFrame, chunk_size: int) -> DataFrame:

@@ -23,6 +23,10 @@ from claimlens.operators.features import with_chunk_id
 from claimlens.session import checkpoint_dir
 
 
+#: Chunk files of one micro-batch.
+FILES_PER_TRIGGER = 8
+
+
 def provider_partials(df: DataFrame, chunk: str = "chunk_id") -> DataFrame:
     """Per (chunk, provider): lines, fraud, flagged, allowed sum, busiest day within the chunk."""
     day = df.groupBy(chunk, "provider_id", "service_date").agg(
@@ -72,9 +76,14 @@ def merge_detection(df: DataFrame, chunk: str = "chunk_id") -> DataFrame:
 
 
 def write_chunks(df: DataFrame, path: str, chunk_size: int) -> None:
-    """Write the line table as one parquet file per chunk (directory per chunk_id)."""
+    """Write the line table as chunk files, each chunk in one file (several chunks may share it)."""
     d = with_chunk_id(df, chunk_size)
-    d.repartition("chunk_id").write.mode("overwrite").partitionBy("chunk_id").parquet(path)
+    d.repartition("chunk_id").write.mode("overwrite").parquet(path)
+
+
+def write_partials(batch: DataFrame, batch_id: int, path: str) -> None:
+    """One micro-batch's partials, in a directory of its own: a replayed batch replaces what it wrote before."""
+    provider_partials(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def stream_provider_rollup(spark: SparkSession, lines: DataFrame, chunk_size: int) -> DataFrame:
@@ -85,10 +94,9 @@ def stream_provider_rollup(spark: SparkSession, lines: DataFrame, chunk_size: in
     schema = spark.read.parquet(src).schema
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        provider_partials(batch).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").partitionBy("batch_id").parquet(partials_path)
+        write_partials(batch, batch_id, partials_path)
 
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(src)
               .writeStream.foreachBatch(merge_batch).option("checkpointLocation", ckpt)
               .trigger(availableNow=True).start())
     stream.awaitTermination()

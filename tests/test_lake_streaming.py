@@ -57,3 +57,23 @@ def test_exact_quantile_matches_percentile(spark):
         got = exact_quantile(df, "x", p).collect()[0].q
         want = df.select(F.percentile("x", p)).collect()[0][0]
         assert abs(got - want) <= 1e-6 * max(1.0, abs(want)), p
+
+
+def test_replayed_batch_replaces_its_partials(spark, lines, tmp_path):
+    from claimlens.operators.features import with_chunk_id
+    from claimlens.streaming.incremental import merge_provider_partials, write_partials
+    batches = [with_chunk_id(lines, 512).filter(F.pmod("chunk_id", F.lit(2)) == k) for k in (0, 1)]
+    path = str(tmp_path / "partials")
+    for k, batch in enumerate(batches):
+        write_partials(batch, k, path)
+    once = sorted(map(tuple, merge_provider_partials(spark.read.parquet(path)).collect()))
+    write_partials(batches[1], 1, path)
+    assert sorted(map(tuple, merge_provider_partials(spark.read.parquet(path)).collect())) == once
+
+
+def test_isolation_forest_samples_and_scores(spark, lines):
+    from claimlens.operators.models import isolation_forest
+    few = isolation_forest(lines.limit(2000), n_trees=20, sample_size=64).toPandas()
+    assert len(few) == 2000 and few.anomaly_score.between(0, 1).all()
+    assert few.anomaly_score.min() < 0.5                       # ordinary points are below one half
+    assert few.anomaly.mean() <= 0.08 and few.anomaly.sum() > 0
