@@ -101,7 +101,7 @@ def seed_upcoding(df: DataFrame, p: SeedParams) -> DataFrame:
     df = df.withColumn("_m", F.col("_cand") & F.col("service_code").isin(*C.UPCODE_MAP) & (line_draw("upcode") < p.upcode_bp))
     m = F.col("_m")
     new_code = F.element_at(F.create_map(*[F.lit(x) for kv in C.UPCODE_MAP.items() for x in kv]), F.col("service_code"))
-    bases = {row[0]: C.cents(row[5]) for row in C.PROCEDURES}
+    bases = {row[0]: C.cents(row[2]) for row in C.PROCEDURES}
     new_base = None
     for t in sorted(set(C.UPCODE_MAP.values())):
         v = F.lit(bases[t])
@@ -175,7 +175,7 @@ def seed_expressions(cols: dict[str, Column], params: SeedParams) -> dict[str, C
         .otherwise(c["billed_amount"])
     units = F.when(m3, c["mue_limit"] + int_between(line_draw("units_amt"), 2, 7)).otherwise(c["units"])
     new_code = F.element_at(F.create_map(*[F.lit(x) for kv in C.UPCODE_MAP.items() for x in kv]), code)
-    bases = {row[0]: C.cents(row[5]) for row in C.PROCEDURES}
+    bases = {row[0]: C.cents(row[2]) for row in C.PROCEDURES}
     new_base = None
     for t in sorted(set(C.UPCODE_MAP.values())):
         new_base = (F.when(new_code == t, F.lit(bases[t])) if new_base is None

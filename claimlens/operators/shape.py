@@ -301,7 +301,7 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
     ).select(
         "*",
         F.format_string("EP%09d", F.col("enc_key")).alias("episode_id"),
-        F.when(F.col("linked_facility_claim") == 1, F.format_string("LE%09d", F.col("enc_key")))
+        F.when(F.col("linked_facility_claim") == 1, F.format_string("LE%09d%03d", F.col("enc_key"), F.col("claim_line_no")))
         .otherwise(F.col("_eid")).alias("encounter_id"),
         F.when(F.col("linked_facility_claim") == 1, F.col("_eid")).otherwise(F.lit("")).alias("parent_encounter_id"),
         claim_family(F.col("etype0")).alias("claim_family"),
@@ -310,7 +310,7 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
         _pick(C.DX_CODES, F.pmod(F.col("l_partkey"), F.lit(len(C.DX_CODES)))).alias("diagnosis_code"),
     ).drop("_eid", "_code0")
 
-    cat = F.broadcast(service_catalog_df(spark).drop("cat_description", "cat_family", "cat_specialty", "typical_units"))
+    cat = F.broadcast(service_catalog_df(spark))
     df = df.join(cat, df.service_code == cat.code, "left").drop("code")
     df = with_digests(df)
 

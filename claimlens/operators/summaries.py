@@ -198,9 +198,20 @@ def provider_summary_simple(df: DataFrame) -> DataFrame:
 
 
 def top_suspicious_providers(df: DataFrame, k: int = 10) -> DataFrame:
-    """First k of J13 with a full tiebreak."""
+    """First k of J13 by fraud rate, mean score and mean allowed amount (then provider)."""
     return provider_summary_simple(df).orderBy(
-        F.col("fraud_rate").desc(), F.col("avg_rule_score").desc(), F.col("lines").desc(), "provider_id").limit(k)
+        F.col("fraud_rate").desc(), F.col("avg_rule_score").desc(), F.col("avg_allowed").desc(), "provider_id").limit(k)
+
+
+def top_suspicious_providers_fd(df: DataFrame, k: int = 10) -> DataFrame:
+    """J14, the first script's order: fraud rate, mean allowed amount, busiest day (then provider)."""
+    return provider_summary_simple(df).orderBy(
+        F.col("fraud_rate").desc(), F.col("avg_allowed").desc(), F.col("max_day_volume").desc(), "provider_id").limit(k)
+
+
+def top_counts(df: DataFrame, col: str, k: int = 10) -> DataFrame:
+    """The k most frequent values of a column (ties by value)."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc(), col).limit(k)
 
 
 def fraud_breakdown_label(df: DataFrame) -> DataFrame:

@@ -132,7 +132,7 @@ def review_queue_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 _V3_CACHE: dict[tuple, DataFrame] = {}
 V3_TYPES = {
     "units": "int", "billed_amount": "cents", "allowed_amount": "cents", "paid_amount": "cents",
-    "zelis_edit_flag": "int", "pricing_error_flag": "int", "egregious_charge_flag": "int", "fraud_label": "int",
+    "coding_edit_flag": "int", "pricing_error_flag": "int", "egregious_charge_flag": "int", "fraud_label": "int",
     "duplicate_signature_count": "bigint", "provider_day_claim_count": "bigint", "provider_avg_allowed": "double",
     "code_avg_allowed": "double", "allowed_to_code_avg_ratio": "double", "billed_to_allowed_ratio": "double",
     "rule_score": "int", "rule_pred": "int",
@@ -152,7 +152,7 @@ def v3_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlens.plans.v3 import V3_RULES
     df = _v3(spark, sf_dir)
     cols = ["line_id", "claim_family", "encounter_type", "service_code", "units", "billed_amount", "allowed_amount",
-            "paid_amount", "claim_status", "zelis_edit_flag", "zelis_edit_type", "price_method", "source_system",
+            "paid_amount", "claim_status", "coding_edit_flag", "coding_edit_type", "price_method", "source_system",
             "pricing_error_flag", "egregious_charge_flag", "fraud_label", "fraud_type", "duplicate_signature_count",
             "provider_day_claim_count", "provider_avg_allowed", "code_avg_allowed", "allowed_to_code_avg_ratio",
             "billed_to_allowed_ratio"] + V3_RULES + ["rule_score", "rule_pred", "rule_primary_reason"]
@@ -201,6 +201,13 @@ def rules_v5_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("line_id", *V5_RULES, "rule_score", "flagged_for_review", "rule_primary_reason")
 
 
+def v5_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20: the 60-column v5 line table, with v5's own rules."""
+    from claimlens.operators.profiles import RulesV5, rules_v5
+    from claimlens.plans.v6 import V5_DROP
+    return final_projection(rules_v5(_lines(spark, sf_dir), RulesV5(volume_threshold=TEST_VOLUME)), drop=V5_DROP)
+
+
 def rule_reason_summary_v5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v5 reason summary: counts by the seeded reason and the v5 flag."""
     from claimlens.operators.profiles import RulesV5, rules_v5
@@ -354,7 +361,7 @@ def write_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlens.sources.sinks import write_summary
     path = _scratch(spark, "summary")
     summary = S.fraud_breakdown(_lines(spark, sf_dir))
-    write_summary(summary, path)
+    write_summary(summary, path, one_file=True)
     return spark.read.option("header", True).schema(summary.schema).csv(path)
 
 
@@ -363,7 +370,7 @@ def write_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_forest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M04 (rows-only check): test-split predictions of the balanced random forest."""
     from claimlens.operators.models import random_forest
-    return random_forest(_lines(spark, sf_dir), num_trees=50, max_depth=10)
+    return random_forest(_lines(spark, sf_dir), num_trees=200, max_depth=10)
 
 
 def isolation_forest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,6 +403,21 @@ def top_suspicious_providers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.top_suspicious_providers(_lines(spark, sf_dir))
 
 
+def top_suspicious_providers_fd_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J14 in the first script's order."""
+    return S.top_suspicious_providers_fd(_lines(spark, sf_dir))
+
+
+def top_fraud_types_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most frequent types."""
+    return S.top_counts(_lines(spark, sf_dir), "fraud_type")
+
+
+def top_rule_reasons_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most frequent reasons."""
+    return S.top_counts(_lines(spark, sf_dir), "rule_primary_reason_detected")
+
+
 def adjudicate_initial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjudication with a drawn trend, before seeding."""
     from claimlens.operators.edits import adjudicate_initial
@@ -462,6 +484,9 @@ def all_queries() -> dict[str, Query]:
                              "performance_table": performance_table_q, "stratified_split": stratified_split_q,
                              "dictionary_fields": dictionary_fields_q,
                              "top_suspicious_providers": top_suspicious_providers_q,
+                             "top_suspicious_providers_fd": top_suspicious_providers_fd_q,
+                             "top_fraud_types": top_fraud_types_q, "top_rule_reasons": top_rule_reasons_q,
+                             "v5_lines": v5_lines_q,
                              "adjudicate_initial": adjudicate_initial_q,
                              "features_chunk_scope": features_chunk_scope_q, "line_flags": line_flags_q,
                              "append_fixed_rate": append_fixed_rate_q}

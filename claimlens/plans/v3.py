@@ -86,7 +86,7 @@ def v3_base(shaped: DataFrame) -> DataFrame:
               .otherwise("core_claims"))
     df = df.withColumns({
         "paid_amount": F.when(denied, F.lit(0)).otherwise(_times("allowed_amount", "v3_paid", "0.80", "1.00")).cast("bigint"),
-        "zelis_edit_flag": flag, "zelis_edit_type": etype, "price_method": method, "source_system": source,
+        "coding_edit_flag": flag, "coding_edit_type": etype, "price_method": method, "source_system": source,
         "_bgp": _d("v3_bg_price") < 40, "_bge": _d("v3_bg_egr") < 30,
     })
     df = df.withColumn("allowed_amount", F.when(F.col("_bgp"), _times("allowed_amount", "v3_bg_price_amt", "1.35", "2.50"))
@@ -148,8 +148,8 @@ def seed_v3(df: DataFrame, propensity_mult: int = 1) -> DataFrame:
                            .when(mr, _times("allowed_amount", "v3_mr_a", "1.1", "2.2"))
                            .when(pe, _times("allowed_amount", "v3_pe_a", "1.5", "3.0"))
                            .otherwise(F.col("allowed_amount"))),
-        "zelis_edit_flag": F.when(unb, F.lit(1)).otherwise(F.col("zelis_edit_flag")),
-        "zelis_edit_type": F.when(unb, F.lit("NCCI_PTP_LIKE")).otherwise(F.col("zelis_edit_type")),
+        "coding_edit_flag": F.when(unb, F.lit(1)).otherwise(F.col("coding_edit_flag")),
+        "coding_edit_type": F.when(unb, F.lit("NCCI_PTP_LIKE")).otherwise(F.col("coding_edit_type")),
         "pricing_error_flag": F.when(pe, F.lit(1)).otherwise(F.col("pricing_error_flag")),
         "price_method": F.when(pe, F.lit("pricing_error")).otherwise(F.col("price_method")),
         "egregious_charge_flag": F.when(eg, F.lit(1)).otherwise(F.col("egregious_charge_flag")),
@@ -190,12 +190,12 @@ def features_v3(df: DataFrame) -> DataFrame:
     })
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "revenue_code", "ndc11",
            "allowed_amount"]
-    df = group_features(df, "allowed_amount", [
-        (sig, {"duplicate_signature_count": "count"}),
-        (["provider_id", "service_date"], {"provider_day_claim_count": "count"}),
-        (["provider_id"], {"provider_avg_allowed": "mean"}),
-        (["code_key"], {"code_avg_allowed": "mean"}),
-    ], broadcast_keys=[["code_key"]])
+    df = group_features(df, [
+        (sig, {"duplicate_signature_count": ("count", "")}),
+        (["provider_id", "service_date"], {"provider_day_claim_count": ("count", "")}),
+        (["provider_id"], {"provider_avg_allowed": ("cents", "allowed_amount")}),
+        (["code_key"], {"code_avg_allowed": ("cents", "allowed_amount")}),
+    ])
     allowed_d = F.col("allowed_amount").cast("double") / 100.0
     billed_d = F.col("billed_amount").cast("double") / 100.0
     return df.withColumns({
@@ -223,9 +223,9 @@ def rules_v3(df: DataFrame, high_charge_quantile: float = 0.98) -> DataFrame:
         & ((b * 2 > a * 5) | (F.col("claim_status") == "denied")),
         "rule_high_pharmacy_cost": (fam == "pharmacy") & ((F.col("allowed_to_code_avg_ratio") >= 1.8) | (units >= 90)
                                                           | (F.col("ndc11") == V3_FLAGGED_NDC)),
-        "rule_ncci_ptp_like": (F.col("zelis_edit_type") == "NCCI_PTP_LIKE")
+        "rule_ncci_ptp_like": (F.col("coding_edit_type") == "NCCI_PTP_LIKE")
         | (F.col("service_code").isin(*V3_PTP_CODES) & (F.col("claim_line_no") > 1)),
-        "rule_mue_like": (F.col("zelis_edit_type") == "MUE_LIKE") | ((fam == "institutional") & (units >= 20))
+        "rule_mue_like": (F.col("coding_edit_type") == "MUE_LIKE") | ((fam == "institutional") & (units >= 20))
         | ((fam == "professional") & (units >= 8)),
     })
     df = df.withColumns({r: F.col(r).cast("int") for r in V3_RULES})

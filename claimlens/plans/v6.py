@@ -45,9 +45,10 @@ V6_COLUMNS = [
     ("rule_primary_reason", "string"), ("rule_primary_reason_detected", "string"),
 ]
 
-# v5 keeps 60 of them (no strong hit, signals or detected reason).
+# v5 keeps 60 of them: no strong hit, signals or detected reason, and six of the eight rules.
 V5_DROP = {"strong_rule_hit", "pricing_error_signal", "egregious_charge_signal", "upcoding_signal",
-           "member_submit_outlier_signal", "rule_primary_reason_detected", "parent_encounter_id", "episode_id"}
+           "member_submit_outlier_signal", "rule_primary_reason_detected", "rule_upcoding_pattern",
+           "rule_member_submit_outlier"}
 
 
 @dataclass(frozen=True)

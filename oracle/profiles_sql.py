@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.v6_sql import with_lines
+from oracle.v6_sql import V6_OUT, v6_lines_select, with_lines
 
 VOLUME = 3
 CHUNK = 4096
@@ -145,15 +145,15 @@ SELECT line_id, CAST(applied_to_deductible + coinsurance_amount AS DOUBLE) AS me
        CAST(e AS DOUBLE) AS expected_contract_rate, CAST(GREATEST(contract_rate - e, 0) AS DOUBLE) AS pricing_error_amount,
        CASE WHEN contract_rate <> e THEN 1 ELSE 0 END AS contract_mismatch_flag
 FROM (SELECT *, {expected} AS e FROM lines)"""),
-        "top_suspicious_providers": with_lines("""
-SELECT a.*, p.max_day_volume FROM (
-  SELECT provider_id, provider_specialty, provider_class, COUNT(*) AS lines,
-         CAST(SUM(allowed_amount) AS DOUBLE) / COUNT(*) AS avg_allowed,
-         CAST(SUM(fraud_label) AS DOUBLE) / COUNT(*) AS fraud_rate, CAST(SUM(rule_score) AS DOUBLE) / COUNT(*) AS avg_rule_score
-  FROM lines GROUP BY ALL) a
-JOIN (SELECT provider_id, MAX(n) AS max_day_volume
-      FROM (SELECT provider_id, service_date, COUNT(*) AS n FROM lines GROUP BY ALL) GROUP BY 1) p USING (provider_id)
-ORDER BY fraud_rate DESC, avg_rule_score DESC, lines DESC, provider_id LIMIT 10"""),
+        "top_suspicious_providers": with_lines(TOP_PROVIDERS + """
+ORDER BY fraud_rate DESC, avg_rule_score DESC, avg_allowed DESC, provider_id LIMIT 10"""),
+        "top_suspicious_providers_fd": with_lines(TOP_PROVIDERS + """
+ORDER BY fraud_rate DESC, avg_allowed DESC, max_day_volume DESC, provider_id LIMIT 10"""),
+        "top_fraud_types": with_lines("""
+SELECT fraud_type, COUNT(*) AS count FROM lines GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
+        "top_rule_reasons": with_lines("""
+SELECT rule_primary_reason_detected, COUNT(*) AS count FROM lines GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
+        "v5_lines": v5_lines_sql(),
         "adjudicate_initial": "WITH " + shaped_ctes() + f"""
 SELECT enc_key AS order_key, CAST(claim_line_no AS INTEGER) AS claim_line_no, claim_status,
        CAST(contract_rate AS DOUBLE) AS contract_rate,
@@ -178,6 +178,28 @@ FROM lines"""),
     }
 
 
+TOP_PROVIDERS = """
+SELECT a.*, p.max_day_volume FROM (
+  SELECT provider_id, provider_specialty, provider_class, COUNT(*) AS lines,
+         CAST(SUM(allowed_amount) AS DOUBLE) / COUNT(*) AS avg_allowed,
+         CAST(SUM(fraud_label) AS DOUBLE) / COUNT(*) AS fraud_rate, CAST(SUM(rule_score) AS DOUBLE) / COUNT(*) AS avg_rule_score
+  FROM lines GROUP BY ALL) a
+JOIN (SELECT provider_id, MAX(n) AS max_day_volume
+      FROM (SELECT provider_id, service_date, COUNT(*) AS n FROM lines GROUP BY ALL) GROUP BY 1) p USING (provider_id)"""
+
+# Columns that v5 computes with its own rules.
+V5_OWN = ["rule_duplicate", "rule_provider_volume", "rule_egregious_billed", "rule_price_above_contract", "rule_external_edit",
+          "rule_denied_repeat", "rule_score", "flagged_for_review", "rule_primary_reason"]
+V5_ABSENT = {"rule_upcoding_pattern", "rule_member_submit_outlier", "strong_rule_hit", "pricing_error_signal",
+             "egregious_charge_signal", "upcoding_signal", "member_submit_outlier_signal", "rule_primary_reason_detected"}
+
+
+def v5_lines_sql() -> str:
+    cols = ", ".join(f"{'r' if c in V5_OWN else 'l'}.{c}" for c, _ in V6_OUT if c not in V5_ABSENT)
+    return (f"SELECT {cols} FROM ({with_lines(v6_lines_select())}) l "
+            f"JOIN ({with_lines(_v5_select())}) r USING (line_id)").replace("SELECT l.line_id", "SELECT line_id", 1)
+
+
 def profile_sql() -> dict[str, str]:
     return {
         **_more_sql(),

@@ -31,7 +31,7 @@ b1 AS (
     CASE WHEN claim_family = 'professional' AND service_code IN ('36415', '80048', '80053', '85025') AND claim_line_no > 1
          THEN 'NCCI_PTP_LIKE'
          WHEN (claim_family = 'professional' AND units >= 8) OR (claim_family = 'institutional' AND units >= 20)
-           OR (claim_family = 'pharmacy' AND units >= 90) THEN 'MUE_LIKE' ELSE 'none' END AS zelis_edit_type,
+           OR (claim_family = 'pharmacy' AND units >= 90) THEN 'MUE_LIKE' ELSE 'none' END AS coding_edit_type,
     CASE WHEN encounter_type = 'member_submitted' THEN 'manual_reprice' WHEN claim_family = 'pharmacy' THEN 'ingredient_plus_fee'
          WHEN claim_family = 'administrative' THEN 'administrative' ELSE 'contract_rate' END AS price_method0,
     CASE WHEN encounter_type = 'member_submitted' THEN 'member_portal' WHEN claim_family = 'institutional' THEN 'facility_837i'
@@ -43,7 +43,7 @@ b1 AS (
 b2 AS (
   SELECT * REPLACE (CASE WHEN bgp THEN {_t('allowed_amount', 'v3_bg_price_amt', '1.35', '2.50')} ELSE allowed_amount END
                     AS allowed_amount),
-    CASE WHEN zelis_edit_type <> 'none' THEN 1 ELSE 0 END AS zelis_edit_flag
+    CASE WHEN coding_edit_type <> 'none' THEN 1 ELSE 0 END AS coding_edit_flag
   FROM b1
 ),
 b3 AS (
@@ -92,8 +92,8 @@ c3 AS (
            WHEN hc THEN {_t('allowed_amount', 'v3_hc_a', '1.4', '2.6')} WHEN rf THEN {_t('allowed_amount', 'v3_rf_a', '1.2', '2.0')}
            WHEN mr THEN {_t('allowed_amount', 'v3_mr_a', '1.1', '2.2')} WHEN pe THEN {_t('allowed_amount', 'v3_pe_a', '1.5', '3.0')}
            ELSE allowed_amount END AS allowed_amount,
-      CASE WHEN unb THEN 1 ELSE zelis_edit_flag END AS zelis_edit_flag,
-      CASE WHEN unb THEN 'NCCI_PTP_LIKE' ELSE zelis_edit_type END AS zelis_edit_type,
+      CASE WHEN unb THEN 1 ELSE coding_edit_flag END AS coding_edit_flag,
+      CASE WHEN unb THEN 'NCCI_PTP_LIKE' ELSE coding_edit_type END AS coding_edit_type,
       CASE WHEN pe THEN 1 ELSE pricing_error_flag END AS pricing_error_flag,
       CASE WHEN pe THEN 'pricing_error' ELSE price_method END AS price_method,
       CASE WHEN eg THEN 1 ELSE egregious_charge_flag END AS egregious_charge_flag),
@@ -158,9 +158,9 @@ r0 AS (
          THEN 1 ELSE 0 END AS rule_member_submission_outlier,
     CASE WHEN claim_family = 'pharmacy' AND (allowed_to_code_avg_ratio >= 1.8 OR units >= 90 OR ndc11 = '00781-1506')
          THEN 1 ELSE 0 END AS rule_high_pharmacy_cost,
-    CASE WHEN zelis_edit_type = 'NCCI_PTP_LIKE' OR (service_code IN ('36415', '80048', '80053', '85025') AND claim_line_no > 1)
+    CASE WHEN coding_edit_type = 'NCCI_PTP_LIKE' OR (service_code IN ('36415', '80048', '80053', '85025') AND claim_line_no > 1)
          THEN 1 ELSE 0 END AS rule_ncci_ptp_like,
-    CASE WHEN zelis_edit_type = 'MUE_LIKE' OR (claim_family = 'institutional' AND units >= 20)
+    CASE WHEN coding_edit_type = 'MUE_LIKE' OR (claim_family = 'institutional' AND units >= 20)
            OR (claim_family = 'professional' AND units >= 8) THEN 1 ELSE 0 END AS rule_mue_like
   FROM e2
 ),
@@ -179,7 +179,7 @@ v3 AS (
 V3_OUT = [
     ("line_id", "VARCHAR"), ("claim_family", "VARCHAR"), ("encounter_type", "VARCHAR"), ("service_code", "VARCHAR"),
     ("units", "INTEGER"), ("billed_amount", "DOUBLE"), ("allowed_amount", "DOUBLE"), ("paid_amount", "DOUBLE"),
-    ("claim_status", "VARCHAR"), ("zelis_edit_flag", "INTEGER"), ("zelis_edit_type", "VARCHAR"),
+    ("claim_status", "VARCHAR"), ("coding_edit_flag", "INTEGER"), ("coding_edit_type", "VARCHAR"),
     ("price_method", "VARCHAR"), ("source_system", "VARCHAR"), ("pricing_error_flag", "INTEGER"),
     ("egregious_charge_flag", "INTEGER"), ("fraud_label", "INTEGER"), ("fraud_type", "VARCHAR"),
     ("duplicate_signature_count", "BIGINT"), ("provider_day_claim_count", "BIGINT"),

@@ -44,7 +44,7 @@ def ratio4(num: str, den: str, floor: str | None = "1.00") -> str:
 
 def catalog_values() -> str:
     rows = []
-    for code, _desc, fam, _spec, pos, base, _u, rev, mue in C.PROCEDURES:
+    for code, pos, base, rev, mue in C.PROCEDURES:
         rows.append(f"({q(code)}, {q(pos)}, CAST({base} AS DECIMAL(10,2)), "
                     f"{q(rev) if rev else 'NULL'}, {mue if mue is not None else 'NULL'}, NULL, NULL, NULL)")
     for ndc, name, dtype, base, days in C.DRUGS:
@@ -136,7 +136,7 @@ li5 AS (
 li6 AS (
   SELECT *,
     printf('EP%09d', enc_key) AS episode_id,
-    CASE WHEN linked_facility_claim = 1 THEN printf('LE%09d', enc_key) ELSE printf('E%09d', enc_key) END AS encounter_id,
+    CASE WHEN linked_facility_claim = 1 THEN printf('LE%09d%03d', enc_key, claim_line_no) ELSE printf('E%09d', enc_key) END AS encounter_id,
     CASE WHEN linked_facility_claim = 1 THEN printf('E%09d', enc_key) ELSE '' END AS parent_encounter_id,
     CASE WHEN linked_facility_claim = 1 THEN 'linked_' || lower(replace(provider_specialty, ' ', '_'))
          ELSE etype0 END AS encounter_type,
@@ -208,7 +208,7 @@ def seeded_ctes(mult: int = 5) -> str:
     cand = (f"{h(k, 'fraud')} < (CASE provider_class WHEN 'clean' THEN 5 WHEN 'low_risk' THEN 60 "
             f"WHEN 'medium_risk' THEN 200 WHEN 'bad_actor' THEN 800 ELSE 10 END) * {mult}")
     upmap = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in C.UPCODE_MAP.items())
-    bases = {r[0]: r[5] for r in C.PROCEDURES}
+    bases = {r[0]: r[2] for r in C.PROCEDURES}
     upbase = " ".join(f"WHEN {q(b)} THEN {bases[b]}" for b in sorted(set(C.UPCODE_MAP.values())))
     return f"""
 s0 AS (
