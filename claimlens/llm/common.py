@@ -16,7 +16,7 @@ __all__ = ["append_columns", "arrow_schema", "checkpoint_dir", "free_name", "mix
            "read_table", "letters", "ship_package", "stage_table", "text_bytes", "texts_of", "word_spans", "vocabulary_file"]
 
 #: Texts of one Arrow batch are handled in slices of about this many bytes, so memory follows the slice.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # Bytes that separate words: space and \x09-\x0D.
 SPACE = np.zeros(256, bool)
