@@ -8,8 +8,9 @@ distances to pivots bound them:
 * summaries: for each cell, its count and range of distances, the k + 1 nearest candidates' distances to the pivot, and
   the largest distance of its queries.  From these each query group gets a bound on the distance of its k-th neighbour,
   and for each candidate cell the range of distances to that pivot in which a neighbour can lie;
-* a query group is sent only to the cells whose range it meets (queries are the smaller side), and there it meets only
-  candidates in its range; cells are cut into blocks of at most ``block_rows``, queries into blocks of ``block_queries``;
+* a query group is sent only to the cells whose range it meets, and there it meets only candidates in its range; a cell's
+  candidates are sent only where some group's range holds them, once to each block of that cell's queries; cells are cut
+  into blocks of about ``block_rows``, their queries into blocks of about ``block_queries``;
 * each block is solved with one matrix product and gives at most k rows a query, merged by a ranking.
 
 Vectors that are null or hold null or non-finite components take no part, nor do rows with a null id.  Shorter vectors
@@ -128,19 +129,27 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
     slack = 1e-6 * (1 + math.sqrt(most or 0))
     ranges = [b for b in group_bounds(between, near, {i: r[0] for i, r in reach.items()}, k, slack)
               if b[2] <= sizes[b[1]][2] and b[3] >= sizes[b[1]][1]]
-    q_blocks = max(1, -(-sum(r[1] for r in reach.values()) // block_queries))
-    blocks = {j: max(1, -(-s[0] // block_rows)) for j, s in sizes.items()}
-    meet = spark.createDataFrame([(*b, blocks[b[1]]) for b in ranges],
-                                 "q_cell int, cell int, least double, greatest double, blocks int")
-    cells = spark.createDataFrame(list(blocks.items()), "cell int, blocks int")
-
-    # a candidate goes once to every block of queries, a query to every block of the cells that its group meets
-    left = (placed.join(F.broadcast(cells), "cell")
-            .select("cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
-                    F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"), "id", "v", "away"))
+    # what a cell's candidates must be sent to: its own meeting queries' blocks, and only those in some group's range
+    asking: dict[int, int] = {}
+    needed: dict[int, tuple[float, float]] = {}
+    for i, j, least, greatest in ranges:
+        asking[j] = asking.get(j, 0) + reach[i][1]
+        low, high = needed.get(j, (math.inf, -math.inf))
+        needed[j] = min(low, least), max(high, greatest)
+    blocks = {j: -(-sizes[j][0] // block_rows) for j in needed}
+    q_blocks = {j: -(-n // block_queries) for j, n in asking.items()}
+    meet = spark.createDataFrame([(*b, blocks[b[1]], q_blocks[b[1]]) for b in ranges],
+                                 "q_cell int, cell int, least double, greatest double, blocks int, q_blocks int")
+    cells = spark.createDataFrame([(j, blocks[j], q_blocks[j], *needed[j]) for j in needed],
+                                  "cell int, blocks int, q_blocks int, low double, high double")
+
+    # a candidate goes once to every block of its cell's queries, a query to every block of the cells that its group meets
+    left = (placed.join(F.broadcast(cells), "cell").where(F.col("away").between(F.col("low"), F.col("high")))
+            .select("cell", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"),
+                    F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "id", "v", "away"))
     right = (queries.join(F.broadcast(meet), "q_cell")
              .select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                     F.pmod(F.xxhash64("asked", F.lit("query")), F.lit(q_blocks)).cast("int").alias("q_block"),
+                     F.pmod(F.xxhash64("asked", F.lit("query")), F.col("q_blocks")).cast("int").alias("q_block"),
                      "asked", "vector", "q_cell", "least", "greatest"))
 
     def solve(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
