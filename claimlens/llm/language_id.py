@@ -165,7 +165,9 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_lan
     share = F.lit(0.0)
     for lang, count in counts.items():
         share = F.when(F.col(lang_col) == lang, min(1.0, rows_per_language / count)).otherwise(share)
-    chosen = labelled.where(F.pmod(F.xxhash64(id_col, F.lit("language")), F.lit(1 << 20)) < share * (1 << 20))
+    # by a hash of the row's place too, so that rows with one id are not all taken together
+    place = F.pmod(F.xxhash64(id_col, F.monotonically_increasing_id(), F.lit("language")), F.lit(1 << 40))
+    chosen = labelled.where(place < share * (1 << 40))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()

@@ -8,7 +8,7 @@ on a fifth of the rows.
 
 Null and empty texts have no indicator and get the score of the bias.  Without labelled rows of both classes the score is
 the share of label 1 (0.5 without any).  Rows are taken as they come and keep all their columns; a clashing name gets an
-underscore; repeated labels of a text count each.
+underscore; repeated labels of a text and repeated rows of an id count each, up to 2 x ``max_rows`` in all.
 """
 
 from __future__ import annotations
@@ -148,11 +148,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
                 found, before = indicators(texts.slice(first, n))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(1).slice(first, n),
-                    pa.array([found[a:b].astype("<i4").tobytes() for a, b in zip(before[:-1], before[1:])], pa.binary())],
-                    names=["label", "at"])
+                    pa.array([found[a:b].astype("<i4").tobytes() for a, b in zip(before[:-1], before[1:])], pa.binary()),
+                    batch.column(2).slice(first, n)], names=["label", "at", "h"])
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["label", "at"], kind="stable").head(2 * max_rows)
+        pdf = pdf.sort_values(["label", "at"], kind="stable")
         positive = pdf["label"].to_numpy() == 1
         if positive.all() or not positive.any():
             return pd.DataFrame({"v": [b""], "a": [0.0], "b": [20.0 if positive.all() else -20.0]})
@@ -169,8 +169,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         return pd.DataFrame({"v": [np.concatenate([ratio, w]).astype("<f8").tobytes()], "a": [a], "b": [b]})
 
     # max_rows ids and labels: small enough to broadcast, and their texts' indicators fit one task
-    sample = (docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"]).select(text_col, "_label")
-              .mapInArrow(features, "label int, at binary"))
+    sample = (docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
+              .select(text_col, "_label", F.xxhash64("_id", F.lit("quality")).alias("_h"))
+              .mapInArrow(features, "label int, at binary, h long")
+              .orderBy("h", "label", "at").limit(2 * max_rows))         # an id may have many rows
     model = sample.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(train, "v binary, a double, b double").first()
     if model is None:
         return {"v": None, "a": 0.0, "b": 0.0}

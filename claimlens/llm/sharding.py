@@ -9,8 +9,8 @@ order, until one is left.  Rows then look up the shard of their unit.
 Null texts count as empty.  Rows are taken as they come (repeated rows are one group, null ids stay null); an empty
 table gives no row; other columns are ignored.  A group larger than a fair share makes its shard that much larger: a
 group is never split, by definition of this law.  ``slot`` counts a shard's rows gapless from 0: rows are numbered
-inside small hash buckets of a shard and shifted by the number of rows in the buckets before, so no task sees a whole
-shard.
+inside buckets of a shard by a hash of their place in the staged table, so that equal rows are spread, too, and shifted
+by the number of rows in the buckets before: no task sees a whole shard.
 """
 
 from __future__ import annotations
@@ -66,7 +66,8 @@ def shard_by_bytes(df: DataFrame, id_col: str, text_col: str, shards: int = 24,
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = stage_table(df.select(
         F.col(id_col), (F.octet_length(text) + overhead).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("group")), "sharding")
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("group"),
+        F.monotonically_increasing_id().alias("_place")), "sharding")
     groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"))
     total = rows.agg(F.sum("size")).first()[0] or 0
     alone = F.col("bytes") >= max(1, total // units)
@@ -86,11 +87,11 @@ def shard_by_bytes(df: DataFrame, id_col: str, text_col: str, shards: int = 24,
     sharded = (rows.withColumn("_unit", F.pmod("group", F.lit(units)))
                .join(F.broadcast(large), "group", "left").join(F.broadcast(small), "_unit", "left")
                .select(id_col, "size", "text_crc32", F.coalesce("_own", "_bundled").alias("shard"),
-                       F.pmod(F.xxhash64(id_col, "text_crc32"), F.lit(buckets)).cast("int").alias("_bucket")))
+                       "_place", F.pmod(F.xxhash64("_place"), F.lit(buckets)).cast("int").alias("_bucket")))
     before = (sharded.groupBy("shard", "_bucket").count()
               .withColumn("_before", F.coalesce(F.sum("count").over(
                   Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .drop("count"))
-    inside = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy(id_col, "text_crc32"))
+    inside = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("_place"))
     return (sharded.withColumn("_row", inside).join(F.broadcast(before), ["shard", "_bucket"])
             .select(id_col, "size", "text_crc32", "shard", (F.col("_row") - 1 + F.col("_before")).cast("long").alias("slot")))

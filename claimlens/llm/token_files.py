@@ -149,8 +149,10 @@ def write_token_files(df: DataFrame, id_col: str, text_col: str, folder: str, vo
     spark = df.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
-    ordered = (df.select(id_col, text_col).withColumn("_tie", F.xxhash64(text_col))
-               .repartitionByRange(F.col(id_col), F.col("_tie")).sortWithinPartitions(id_col, "_tie"))
+    # the row's place comes last, so that many equal rows are spread over ranges
+    ordered = (df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+               .withColumns({"_tie": F.xxhash64("_text"), "_place": F.monotonically_increasing_id()})
+               .repartitionByRange("_id", "_tie", "_place").sortWithinPartitions("_id", "_tie", "_place"))
     schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("file", T.StringType()),
                            T.StructField("docs", T.LongType()), T.StructField("ids", T.LongType())])
     target = arrow_schema(schema)
