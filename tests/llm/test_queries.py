@@ -287,3 +287,51 @@ def test_null_ids_and_texts(spark):
                                  "doc_id long, text string")
     kept = sorted((r.doc_id is None, r.text or "") for r in simhash.deduplicate(docs, "doc_id", "text").collect())
     assert kept == [(False, ""), (True, "a b c"), (True, "other words are in here")]
+
+
+def test_many_rows_of_one_id(spark):
+    """A third of all rows with one id and one text: nothing is dropped, and samples stay within their bounds."""
+    from claimlens.llm import language_id, quality_classifier, sharding, token_files
+    rows = [(7, "the same words in every row of the id", "en")] * 400
+    rows += [(1000 + k, f"other words number {k} " * 5 if k % 2 else f"andere woorden nummer {k} " * 5, "en" if k % 2 else "nl")
+             for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = sharding.shard_by_bytes(docs, "doc_id", "text").collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert len(got) == 1200 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r.shard for r in got if r.doc_id == 7}) == 1
+    with open(vocabulary_file("word_bpe_49k.json"), "rb") as f:
+        vocabulary = f.read()
+    import tempfile
+    files = token_files.write_token_files(docs, "doc_id", "text", tempfile.mkdtemp(), vocabulary, False, 2)
+    back = sorted((r.start, r.n_tokens, r.doc_id) for r in token_files.read_token_files(files, "doc_id", docs.schema["doc_id"].dataType, 4).collect())
+    assert [d for _, _, d in back] == sorted(r[0] for r in rows)
+    assert [s for s, _, _ in back] == np.concatenate([[0], np.cumsum([n for _, n, _ in back])[:-1]]).tolist()
+    labels = spark.createDataFrame([(7, 1)] + [(1000 + k, 0) for k in range(100)], "doc_id long, quality int")
+    model = quality_classifier.fit(docs, labels, "doc_id", "text", "quality", max_rows=50)
+    assert quality_classifier.score(docs, "text", model).count() == 1200
+    found = language_id.predict(docs, "text", language_id.fit(docs, "doc_id", "text", "lang", rows_per_language=100))
+    assert found.where("lang = lang_pred").count() > 1100
+
+
+def test_knn_with_many_blocks(spark):
+    """Small blocks of candidates and queries give the rows that large ones give."""
+    from pyspark.sql import functions as F
+    from claimlens.llm import voronoi_knn
+    r = np.random.default_rng(12)
+    centres = r.normal(size=(6, 8))
+    rows = [(k, (centres[k % 6] + 0.1 * r.normal(size=8)).tolist()) for k in range(600)]
+    rows += [(1000 + k, rows[3][1]) for k in range(300)]             # a third with one vector
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    few, many = (sorted(map(tuple, voronoi_knn.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 7 == 0, pivots=8, **kw).collect()))
+                 for kw in ({}, {"block_rows": 40, "block_queries": 10}))
+    assert few == many and len(few) == 5 * len([i for i, _ in rows if i % 7 == 0])
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, a in fine:
+        if q % 7 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in fine if i != q)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
+    assert few == sorted(want)
