@@ -223,9 +223,35 @@ def rules_v2_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "provider_fraud_rate", *V2_RULES, "rule_score", "rule_pred", "rule_primary_reason")
 
 
-def rules_fd_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from claimlens.operators.profiles import FD_RULES, RulesFD, features_fd, rules_fd
+def _fd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G01-G04, G06 and R16 of the first script, with its model inputs (amounts as DOUBLE).
+
+    The star tables hold no provider risk score: the provider's contract discount stands in for it.
+    """
+    from claimlens.operators.profiles import RulesFD, features_fd, rules_fd
+    from claimlens.operators.shape import pos_flags
     df = rules_fd(features_fd(_seeded(spark, sf_dir)), RulesFD(volume_threshold=TEST_VOLUME))
+    telehealth, inpatient, _ = pos_flags(F.col("place_of_service"))
+    return df.withColumns({
+        "telehealth_flag": telehealth, "inpatient_flag": inpatient,
+        "provider_risk_score": F.col("contract_discount_rate").cast("double") / F.lit(100.0),
+        **{c: to_double(F.col(c)) for c in ("allowed_amount", "billed_amount", "paid_amount")}})
+
+
+def _fd_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model inputs, labels and rule prediction, written once: both models read them several times."""
+    from claimlens.session import stage_table
+    return stage_table(_fd_lines(spark, sf_dir).select("line_id", "fraud_label", "rule_pred", *V.FD_FEATURES), "fd-features")
+
+
+def feature_vector_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first script's 15 model inputs, null as 0."""
+    return V.feature_vector(_fd_lines(spark, sf_dir))
+
+
+def rules_fd_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimlens.operators.profiles import FD_RULES
+    df = _fd_lines(spark, sf_dir)
     return df.select("line_id", "duplicate_signature_count", "provider_day_claim_count", "provider_avg_allowed",
                      "procedure_avg_allowed", "allowed_to_proc_avg_ratio", "billed_to_allowed_ratio",
                      *FD_RULES, "rule_score", "rule_pred")
@@ -370,19 +396,20 @@ def write_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_forest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M04 (rows-only check): test-split predictions of the balanced random forest."""
     from claimlens.operators.models import random_forest
-    return random_forest(_lines(spark, sf_dir), num_trees=200, max_depth=10)
+    return random_forest(_fd_model_input(spark, sf_dir), num_trees=200, max_depth=10)
 
 
 def isolation_forest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M02 (rows-only check): isolation-forest scores and the 8 % anomaly flag."""
     from claimlens.operators.models import isolation_forest
-    return isolation_forest(_lines(spark, sf_dir))
+    return isolation_forest(_fd_model_input(spark, sf_dir))
 
 
 def performance_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V04 (rows-only check): rules, forest and isolation forest side by side."""
-    from claimlens.operators.models import performance_rows
-    return performance_rows(_lines(spark, sf_dir), random_forest_q(spark, sf_dir), isolation_forest_q(spark, sf_dir))
+    from claimlens.operators.models import isolation_forest, performance_rows, random_forest
+    lines = _fd_model_input(spark, sf_dir)
+    return performance_rows(lines, random_forest(lines, num_trees=200, max_depth=10), isolation_forest(lines))
 
 
 def stratified_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -469,7 +496,7 @@ def all_queries() -> dict[str, Query]:
                              "v3_provider_rollup": v3_provider_rollup, "v3_rule_metrics": v3_rule_metrics,
                              "v3_reason_summary": v3_reason_summary,
                              "rules_v5": rules_v5_q, "rule_reason_summary_v5": rule_reason_summary_v5,
-                             "rules_v2": rules_v2_q, "rules_fd": rules_fd_q,
+                             "rules_v2": rules_v2_q, "rules_fd": rules_fd_q, "feature_vector": feature_vector_q,
                              "merge_provider_partials": merge_provider_partials_q, "merge_counts": merge_counts_q,
                              "merge_confusion": merge_confusion_q, "merge_detection": merge_detection_q,
                              "stream_provider_rollup": stream_provider_rollup_q,

@@ -72,6 +72,26 @@ FROM (
             FROM ({_SEEDED_IDS})))))"""
 
 
+def _fd_features() -> str:
+    """The seeded lines with the first script's features."""
+    return f"""
+    SELECT *,
+      CASE WHEN procedure_avg_allowed > 0 THEN CAST(allowed_amount AS DOUBLE) / procedure_avg_allowed END
+        AS allowed_to_proc_avg_ratio,
+      CASE WHEN allowed_amount > 0 THEN CAST(billed_amount AS DOUBLE) / CAST(allowed_amount AS DOUBLE) END
+        AS billed_to_allowed_ratio
+    FROM (
+      SELECT *,
+        COUNT(*) OVER (PARTITION BY member_id, provider_id, service_date, diagnosis_code, service_code, allowed_amount)
+          AS duplicate_signature_count,
+        COUNT(*) OVER (PARTITION BY provider_id, service_date) AS provider_day_claim_count,
+        CAST(SUM(allowed_amount) OVER (PARTITION BY provider_id) AS DOUBLE) / COUNT(*) OVER (PARTITION BY provider_id)
+          AS provider_avg_allowed,
+        CAST(SUM(allowed_amount) OVER (PARTITION BY service_code) AS DOUBLE) / COUNT(*) OVER (PARTITION BY service_code)
+          AS procedure_avg_allowed
+      FROM ({_SEEDED_IDS}))"""
+
+
 def _fd() -> str:
     return f"""
 SELECT line_id_s AS line_id, duplicate_signature_count, provider_day_claim_count, provider_avg_allowed,
@@ -88,22 +108,20 @@ FROM (
     CASE WHEN provider_day_claim_count >= {VOLUME} THEN 1 ELSE 0 END AS rule_provider_volume,
     COALESCE(CASE WHEN allowed_to_proc_avg_ratio >= 2.0 THEN 1 ELSE 0 END, 0) AS rule_high_amount_ratio,
     COALESCE(CASE WHEN billed_to_allowed_ratio >= 1.5 THEN 1 ELSE 0 END, 0) AS rule_high_billed_allowed
-  FROM (
-    SELECT *,
-      CASE WHEN procedure_avg_allowed > 0 THEN CAST(allowed_amount AS DOUBLE) / procedure_avg_allowed END
-        AS allowed_to_proc_avg_ratio,
-      CASE WHEN allowed_amount > 0 THEN CAST(billed_amount AS DOUBLE) / CAST(allowed_amount AS DOUBLE) END
-        AS billed_to_allowed_ratio
-    FROM (
-      SELECT *,
-        COUNT(*) OVER (PARTITION BY member_id, provider_id, service_date, diagnosis_code, service_code, allowed_amount)
-          AS duplicate_signature_count,
-        COUNT(*) OVER (PARTITION BY provider_id, service_date) AS provider_day_claim_count,
-        CAST(SUM(allowed_amount) OVER (PARTITION BY provider_id) AS DOUBLE) / COUNT(*) OVER (PARTITION BY provider_id)
-          AS provider_avg_allowed,
-        CAST(SUM(allowed_amount) OVER (PARTITION BY service_code) AS DOUBLE) / COUNT(*) OVER (PARTITION BY service_code)
-          AS procedure_avg_allowed
-      FROM ({_SEEDED_IDS}))))"""
+  FROM ({_fd_features()}))"""
+
+
+def _fd_vector() -> str:
+    """The 15 model inputs."""
+    plain = ("units", "billed_amount", "allowed_amount", "paid_amount", "member_age", "chronic_score")
+    made = ("provider_day_claim_count", "duplicate_signature_count", "provider_avg_allowed", "procedure_avg_allowed",
+            "allowed_to_proc_avg_ratio", "billed_to_allowed_ratio")
+    cols = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in plain + made)
+    return f"""
+SELECT line_id_s AS line_id, fraud_label, {cols}, CAST(contract_discount_rate AS DOUBLE) AS provider_risk_score,
+       CASE WHEN place_of_service = '02' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS telehealth_flag,
+       CASE WHEN place_of_service = '21' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS inpatient_flag
+FROM ({_fd_features()})"""
 
 
 _CHUNKED = f"(SELECT *, enc_key // {CHUNK} AS chunk_id FROM lines)"
@@ -228,6 +246,7 @@ UNION ALL BY NAME SELECT line_id, claim_family FROM lines WHERE claim_family NOT
 SELECT rule_primary_reason, flagged_for_review, COUNT(*) AS count FROM ({_v5_select()}) GROUP BY ALL"""),
         "rules_v2": with_lines(_v2()),
         "rules_fd": with_lines(_fd()),
+        "feature_vector": with_lines(_fd_vector()),
         "merge_provider_partials": with_lines(PARTIALS),
         "stream_provider_rollup": with_lines(PARTIALS),
         "merge_counts": with_lines(f"SELECT fraud_type, COUNT(*) AS count FROM {_CHUNKED} GROUP BY ALL"),

@@ -71,9 +71,10 @@ def test_replayed_batch_replaces_its_partials(spark, lines, tmp_path):
     assert sorted(map(tuple, merge_provider_partials(spark.read.parquet(path)).collect())) == once
 
 
-def test_isolation_forest_samples_and_scores(spark, lines):
+def test_isolation_forest_samples_and_scores(spark):
     from claimlens.operators.models import isolation_forest
-    few = isolation_forest(lines.limit(2000), n_trees=20, sample_size=64).toPandas()
+    from claimlens.plans.queries import feature_vector_q
+    few = isolation_forest(feature_vector_q(spark, "/root/testdata/sf0.001").limit(2000), n_trees=20, sample_size=64).toPandas()
     assert len(few) == 2000 and few.anomaly_score.between(0, 1).all()
     assert few.anomaly_score.min() < 0.5                       # ordinary points are below one half
     assert few.anomaly.mean() <= 0.08 and few.anomaly.sum() > 0
