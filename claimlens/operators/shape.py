@@ -17,7 +17,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimlens.functions.draws import draw, draw_key, line_draw, weighted_category, with_digests
+from claimlens.functions.draws import draw, draw_key, line_draw, uniform_e6, weighted_category, with_digests
 from claimlens.functions.money import round_div, scale
 from claimlens.sources import catalogs as C
 
@@ -181,6 +181,26 @@ def contract_rate(allowed: Column, specialty: Column, discount_e2: Column) -> Co
     return scale(allowed, 100 - d, 100)
 
 
+# FIXED VALUES: rate factor of each contract (1e-2) and the share of it paid on member-submitted lines.
+CONTRACT_FACTORS = {"COMM_A": 100, "COMM_B": 92, "COMM_C": 85, "MEDICARE_LIKE": 78, "OON": 55}
+MEMBER_SUBMITTED_SHARE = ("0.85", "1.00")
+
+
+def contract_reprice(billed: Column, contract_id: Column, etype: Column, h: Column) -> tuple[Column, Column]:
+    """P10: (contract that applies, contracted allowed amount).
+
+    Member-submitted lines are out of network and get a drawn share of that rate; negative billed amounts (reversals)
+    pass through unscaled; an unknown contract gives null.
+    """
+    member = F.coalesce(etype == "member_submitted", F.lit(False))
+    contract = F.when(member, F.lit("OON")).otherwise(contract_id)
+    factor = F.lit(None).cast("bigint")
+    for name, e2 in CONTRACT_FACTORS.items():
+        factor = F.when(contract == name, F.lit(e2).cast("bigint")).otherwise(factor)
+    share = F.when(member, uniform_e6(h, *MEMBER_SUBMITTED_SHARE)).otherwise(F.lit(1_000_000).cast("bigint"))
+    return contract, F.when(billed < 0, billed).otherwise(round_div(billed * factor * share, 100_000_000))
+
+
 def billed_amount(allowed: Column, contract: Column, family: Column, qty: Column) -> Column:
     """max(allowed, contract) x multiplier; institutional 1.8..4.5, else 1.15..2.8 (by quantity)."""
     q = qty.cast("bigint")

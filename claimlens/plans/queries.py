@@ -478,6 +478,23 @@ def line_flags_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         clip_units(F.col("units")).alias("clipped_units"))
 
 
+# The star tables hold no contract: a member's plan stands for the network that it buys.
+PLAN_CONTRACT = {"gold": "COMM_A", "silver": "COMM_B", "bronze": "COMM_C", "self_funded": "MEDICARE_LIKE"}
+
+
+def contract_reprice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: contract and contracted allowed amount of every line."""
+    from claimlens.functions.draws import draw
+    from claimlens.operators.shape import contract_reprice
+    plan = F.lit(None).cast("string")
+    for name, contract in PLAN_CONTRACT.items():
+        plan = F.when(F.col("plan_type") == name, F.lit(contract)).otherwise(plan)
+    contract, allowed = contract_reprice(F.col("billed_amount"), plan, F.col("encounter_type"), draw(F.col("line_key"), "reprice"))
+    return _seeded(spark, sf_dir).select("line_id", contract.alias("contract_rate_id"),
+                                         to_double(F.col("billed_amount")).alias("billed_amount"),
+                                         to_double(allowed).alias("contracted_allowed"))
+
+
 def append_fixed_rate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first script's appended anomaly copies (appended rows only)."""
     from claimlens.operators.seed_fd import append_fixed_rate
@@ -516,7 +533,8 @@ def all_queries() -> dict[str, Query]:
                              "v5_lines": v5_lines_q,
                              "adjudicate_initial": adjudicate_initial_q,
                              "features_chunk_scope": features_chunk_scope_q, "line_flags": line_flags_q,
-                             "append_fixed_rate": append_fixed_rate_q}
+                             "append_fixed_rate": append_fixed_rate_q,
+                             "contract_reprice": contract_reprice_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

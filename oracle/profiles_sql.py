@@ -124,6 +124,24 @@ SELECT line_id_s AS line_id, fraud_label, {cols}, CAST(contract_discount_rate AS
 FROM ({_fd_features()})"""
 
 
+def _reprice() -> str:
+    """P10 over the seeded lines."""
+    from oracle.v6_sql import money, unif
+    return f"""
+SELECT line_id_s AS line_id, contract_rate_id, CAST(billed_amount AS DOUBLE) AS billed_amount,
+       CAST(CASE WHEN billed_amount < 0 THEN billed_amount ELSE {money('billed_amount * factor * share')} END AS DOUBLE)
+         AS contracted_allowed
+FROM (
+  SELECT *, CAST(CASE contract_rate_id WHEN 'COMM_A' THEN 1.00 WHEN 'COMM_B' THEN 0.92 WHEN 'COMM_C' THEN 0.85
+                                       WHEN 'MEDICARE_LIKE' THEN 0.78 WHEN 'OON' THEN 0.55 END AS DECIMAL(3,2)) AS factor,
+         CASE WHEN encounter_type = 'member_submitted' THEN {unif('line_key', 'reprice', '0.85', '1.00')}
+              ELSE CAST(1 AS DECIMAL(10,6)) END AS share
+  FROM (SELECT *, CASE WHEN encounter_type = 'member_submitted' THEN 'OON' WHEN plan_type = 'gold' THEN 'COMM_A'
+                       WHEN plan_type = 'silver' THEN 'COMM_B' WHEN plan_type = 'bronze' THEN 'COMM_C'
+                       WHEN plan_type = 'self_funded' THEN 'MEDICARE_LIKE' END AS contract_rate_id
+        FROM ({_SEEDED_IDS})))"""
+
+
 _CHUNKED = f"(SELECT *, enc_key // {CHUNK} AS chunk_id FROM lines)"
 
 PARTIALS = f"""
@@ -247,6 +265,7 @@ SELECT rule_primary_reason, flagged_for_review, COUNT(*) AS count FROM ({_v5_sel
         "rules_v2": with_lines(_v2()),
         "rules_fd": with_lines(_fd()),
         "feature_vector": with_lines(_fd_vector()),
+        "contract_reprice": with_lines(_reprice()),
         "merge_provider_partials": with_lines(PARTIALS),
         "stream_provider_rollup": with_lines(PARTIALS),
         "merge_counts": with_lines(f"SELECT fraud_type, COUNT(*) AS count FROM {_CHUNKED} GROUP BY ALL"),

@@ -111,3 +111,15 @@ def test_hash_quota_matches_brute_force(spark):
     want = rk.join(n, "g").filter(F.col("r") <= F.floor(F.col("count") * 0.3))
     want = {(r.k, r.g) for r in want.collect()}
     assert got == want and len(got) > 0
+
+
+def test_contract_reprice_edges(spark):
+    from claimlens.operators.shape import contract_reprice
+    rows = [(10_000, "COMM_B", "professional"), (-10_000, "COMM_B", "professional"), (0, "OON", "professional"),
+            (10_000, "COMM_A", "member_submitted"), (10_000, "OTHER", "professional"), (10_001, "COMM_C", None),
+            (None, "COMM_A", "professional")]
+    df = spark.createDataFrame(rows, "billed long, contract string, etype string")
+    contract, allowed = contract_reprice(F.col("billed"), F.col("contract"), F.col("etype"), F.lit(5000).cast("bigint"))
+    got = [tuple(r) for r in df.select(contract.alias("c"), allowed.alias("a")).collect()]
+    assert got == [("COMM_B", 9200), ("COMM_B", -10_000), ("OON", 0), ("OON", 5088), ("OTHER", None), ("COMM_C", 8501),
+                   ("COMM_A", None)]
