@@ -5,8 +5,8 @@ candidate v gets the further component sqrt(M - v.v), M the largest squared leng
 distances to pivots bound them:
 
 * candidates and queries go to the cell of their nearest pivot (a bounded sample gives the pivots);
-* summaries: for each cell, its count and range of distances, the k + 1 nearest candidates' distances to the pivot, and
-  the largest distance of its queries.  From these each query group gets a bound on the distance of its k-th neighbour,
+* summaries: for each cell, its count and range of distances, the k + 1 nearest distinct ids with their least distances to
+  the pivot, and the largest distance of its queries.  From these each query group gets a bound on the distance of its k-th neighbour,
   and for each candidate cell the range of distances to that pivot in which a neighbour can lie;
 * a query group is sent only to the cells whose range it meets, and there it meets only candidates in its range; a cell's
   candidates are sent only where some group's range holds them, once to each block of that cell's queries; cells are cut
@@ -49,13 +49,17 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
-def group_bounds(between: np.ndarray, nearest: dict[int, list[float]], reach: dict[int, float], k: int,
+def group_bounds(between: np.ndarray, nearest: dict[int, list[tuple[int, float]]], reach: dict[int, float], k: int,
                  slack: float) -> list[tuple[int, int, float, float]]:
     """(query cell, candidate cell, least, greatest distance to the pivot at which a neighbour can lie)."""
     out = []
     for i, far in reach.items():
-        upper = sorted(far + between[i, j] + d for j, ds in nearest.items() for d in ds)
-        bound = upper[k] if len(upper) > k else math.inf          # one of the k + 1 may be the query's own row
+        least: dict[int, float] = {}                              # of each id over all cells
+        for j, some in nearest.items():
+            for id_, d in some:
+                least[id_] = min(least.get(id_, math.inf), far + between[i, j] + d)
+        upper = sorted(least.values())
+        bound = upper[k] if len(upper) > k else math.inf          # one of the k + 1 ids may be the query's own
         for j in nearest:
             out.append((i, j, float(between[i, j] - far - bound - slack), float(between[i, j] + far + bound + slack)))
     return out
@@ -118,13 +122,14 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
     reach = {r[0]: (r[1], r[2]) for r in queries.groupBy("q_cell").agg(F.max("q_away"), F.count("*")).collect()}
     if not reach:
         return empty
-    # summaries: at most `pivots` cells, k + 1 distances each
+    # summaries: at most `pivots` cells, k + 1 ids each (no row of a query's id is its neighbour, so an id counts once)
     sizes = {r[0]: r[1:] for r in placed.groupBy("cell").agg(F.count("*"), F.min("away"), F.max("away")).collect()}
-    order = Window.partitionBy("cell").orderBy("away")
-    first = placed.select("cell", "away").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
-    near: dict[int, list[float]] = {}
+    order = Window.partitionBy("cell").orderBy("away", "id")
+    first = (placed.groupBy("cell", "id").agg(F.min("away").alias("away"))
+             .withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1))
+    near: dict[int, list[tuple[int, float]]] = {}
     for r in first.collect():
-        near.setdefault(r[0], []).append(r[1])
+        near.setdefault(r["cell"], []).append((r["id"], r["away"]))
     between = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
     slack = 1e-6 * (1 + math.sqrt(most or 0))
     ranges = [b for b in group_bounds(between, near, {i: r[0] for i, r in reach.items()}, k, slack)

@@ -335,3 +335,37 @@ def test_knn_with_many_blocks(spark):
             scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in fine if i != q)[:5]
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
     assert few == sorted(want)
+
+
+def brute_knn(rows, is_query, k=5, scale=256):
+    """(query, rank, neighbour, score) where a query's vector is the least of its id's and no row of its id is a candidate."""
+    fine, asked, want = [(i, [math.floor(scale * x) for x in v]) for i, v in rows], {}, []
+    for i, v in fine:
+        if is_query(i):
+            asked[i] = min(asked.get(i, v), v)
+    for q, a in asked.items():
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in fine if i != q)[:k]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("copies", [2, 6, 300])
+def test_knn_of_a_query_id_with_many_rows(spark, copies):
+    """A query's own rows, up to a third of all, do not tighten the bound on its neighbours."""
+    from pyspark.sql import functions as F
+    from claimlens.llm import voronoi_knn
+    r = np.random.default_rng(5)
+    centres = 4 * r.normal(size=(6, 8))
+    rows = [(k, (centres[k % 6] + 0.1 * r.normal(size=8)).tolist()) for k in range(1, 601)]
+    rows += [(0, (9 * r.normal(size=8)).tolist())] * copies       # far from all others, in a cell of its own
+    rows += [(700, (centres[0] + 0.01 * r.normal(size=8)).tolist()) for _ in range(min(copies, 6))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = voronoi_knn.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 700 == 0, pivots=12).collect()
+    assert sorted(map(tuple, got)) == brute_knn(rows, lambda i: i % 700 == 0)
+
+
+def test_knn_bound_counts_an_id_once():
+    from claimlens.llm.voronoi_knn import group_bounds
+    between = np.array([[0.0, 10.0], [10.0, 0.0]])
+    ranges = group_bounds(between, {0: [(7, 0.0)], 1: [(7, 0.5), (8, 1.0), (9, 2.0)]}, {0: 0.0}, 2, 0.0)
+    assert ranges == [(0, 0, -12.0, 12.0), (0, 1, -2.0, 22.0)]
