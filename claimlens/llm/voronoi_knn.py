@@ -10,7 +10,8 @@ distances to pivots bound them:
   and for each candidate cell the range of distances to that pivot in which a neighbour can lie;
 * a query group is sent only to the cells whose range it meets, and there it meets only candidates in its range; a cell's
   candidates are sent only where some group's range holds them, once to each block of that cell's queries; cells are cut
-  into blocks of about ``block_rows``, their queries into blocks of about ``block_queries``;
+  into blocks of about ``block_rows`` by a hash of the row's number (so equal rows spread, too), their queries into blocks
+  of about ``block_queries``;
 * each block is solved with one matrix product and gives at most k rows a query, merged by a ranking.
 
 Vectors that are null or hold null or non-finite components take no part, nor do rows with a null id.  Shorter vectors
@@ -65,6 +66,13 @@ def group_bounds(between: np.ndarray, nearest: dict[int, list[tuple[int, float]]
     return out
 
 
+def candidate_blocks(placed: DataFrame, cells: DataFrame) -> DataFrame:
+    """Each candidate in its cell's range, once for every block of the cell's queries; equal rows go to different blocks."""
+    return (placed.join(F.broadcast(cells), "cell").where(F.col("away").between(F.col("low"), F.col("high")))
+            .select("cell", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("block"),
+                    F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "id", "v", "away"))
+
+
 def top_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to the smaller id."""
     if len(scores) > k:
@@ -81,7 +89,7 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
     ship_package(spark)
     usable = df.where(F.col(id_col).isNotNull() & _usable(F.col(vector_col)))
     rows = stage_table(usable.select(F.col(id_col).cast("long").alias("id"), _quantised(F.col(vector_col), scale).alias("v"),
-                                     is_query.alias("q")), "vectors")
+                                     is_query.alias("q"), F.monotonically_increasing_id().alias("row")), "vectors")
     squared = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
     n, most, width, largest = rows.agg(F.count("*"), F.max(squared), F.max(F.size("v")), F.max(F.expr(
         "array_max(transform(v, x -> abs(x)))"))).first()
@@ -113,10 +121,10 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
             q_cell, q_away = nearest(query)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(away),
                                               pa.array(q_cell.astype(np.int32)), pa.array(q_away)],
-                                             names=["id", "v", "q", "cell", "away", "q_cell", "q_away"])
+                                             names=["id", "v", "q", "row", "cell", "away", "q_cell", "q_away"])
 
-    placed = stage_table(rows.mapInArrow(assign, "id long, v array<long>, q boolean, cell int, away double, q_cell int, q_away double"),
-                         "cells")
+    placed = stage_table(rows.mapInArrow(assign, "id long, v array<long>, q boolean, row long, cell int, away double, q_cell int, "
+                                                 "q_away double"), "cells")
     queries = (placed.where("q").groupBy(F.col("id").alias("asked")).agg(F.min(F.struct("v", "q_cell", "q_away")).alias("s"))
                .select("asked", F.col("s.v").alias("vector"), F.col("s.q_cell").alias("q_cell"), F.col("s.q_away").alias("q_away")))
     reach = {r[0]: (r[1], r[2]) for r in queries.groupBy("q_cell").agg(F.max("q_away"), F.count("*")).collect()}
@@ -149,9 +157,7 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
                                   "cell int, blocks int, q_blocks int, low double, high double")
 
     # a candidate goes once to every block of its cell's queries, a query to every block of the cells that its group meets
-    left = (placed.join(F.broadcast(cells), "cell").where(F.col("away").between(F.col("low"), F.col("high")))
-            .select("cell", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"),
-                    F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "id", "v", "away"))
+    left = candidate_blocks(placed, cells)
     right = (queries.join(F.broadcast(meet), "q_cell")
              .select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                      F.pmod(F.xxhash64("asked", F.lit("query")), F.col("q_blocks")).cast("int").alias("q_block"),

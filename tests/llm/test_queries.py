@@ -369,3 +369,23 @@ def test_knn_bound_counts_an_id_once():
     between = np.array([[0.0, 10.0], [10.0, 0.0]])
     ranges = group_bounds(between, {0: [(7, 0.0)], 1: [(7, 0.5), (8, 1.0), (9, 2.0)]}, {0: 0.0}, 2, 0.0)
     assert ranges == [(0, 0, -12.0, 12.0), (0, 1, -2.0, 22.0)]
+
+
+def test_knn_blocks_of_equal_rows(spark, monkeypatch):
+    """Rows equal in id and vector, a third of all, are spread over their cell's blocks, and the neighbours are right."""
+    from pyspark.sql import functions as F
+    from claimlens.llm import voronoi_knn
+    r = np.random.default_rng(6)
+    rows = [(k, r.normal(size=8).tolist()) for k in range(1, 601)] + [(0, [3.0] * 8)] * 300
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    grouped, sizes = type(vectors.groupBy("vec_id")), []
+    cogroup = grouped.cogroup
+
+    def measured(left, right):
+        sizes.extend(x["count"] for x in left.count().collect())
+        return cogroup(left, right)
+
+    monkeypatch.setattr(grouped, "cogroup", measured)
+    got = voronoi_knn.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0, pivots=4, block_rows=40).collect()
+    assert sorted(map(tuple, got)) == brute_knn(rows, lambda i: i % 20 == 0)
+    assert max(sizes) <= 80                                       # about block_rows; equal rows in one block would be 300
