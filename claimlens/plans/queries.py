@@ -223,14 +223,33 @@ def rules_v2_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "provider_fraud_rate", *V2_RULES, "rule_score", "rule_pred", "rule_primary_reason")
 
 
-def _fd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G01-G04, G06 and R16 of the first script, with its model inputs (amounts as DOUBLE).
+_FD: dict[tuple, DataFrame] = {}
+
+
+def _fd_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first script's whole set: adjudicated base lines and the copies of F19-F21 (written once per session)."""
+    from claimlens.operators.edits import adjudicate_initial
+    from claimlens.operators.seed_fd import FD_CARRIED, base_and_copies
+    from claimlens.session import stage_table
+    from claimlens.sources.tables import read_table
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FD:
+        base = stage_table(adjudicate_initial(shaped_lines(spark, sf_dir)).select(
+            "enc_key", "claim_line_no", "line_key", "provider_id", "service_code", "units", "base_cents",
+            "allowed_amount", "billed_amount", "paid_amount", *FD_CARRIED), "fd-base")
+        _FD[key] = stage_table(base_and_copies(base, read_table(spark, sf_dir, "supplier", ["s_suppkey"])), "fd-claims")
+    return _FD[key]
+
+
+def _fd_lines(spark: SparkSession, sf_dir: str, claims: DataFrame | None = None) -> DataFrame:
+    """G01-G04, G06 and R16 of the first script, with its model inputs (amounts as DOUBLE), on the seeded lines or ``claims``.
 
     The star tables hold no provider risk score: the provider's contract discount stands in for it.
     """
     from claimlens.operators.profiles import RulesFD, features_fd, rules_fd
     from claimlens.operators.shape import pos_flags
-    df = rules_fd(features_fd(_seeded(spark, sf_dir)), RulesFD(volume_threshold=TEST_VOLUME))
+    claims = _seeded(spark, sf_dir) if claims is None else claims
+    df = rules_fd(features_fd(claims), RulesFD(volume_threshold=TEST_VOLUME))
     telehealth, inpatient, _ = pos_flags(F.col("place_of_service"))
     return df.withColumns({
         "telehealth_flag": telehealth, "inpatient_flag": inpatient,
@@ -239,9 +258,9 @@ def _fd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fd_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model inputs, labels and rule prediction, written once: both models read them several times."""
+    """Model inputs, labels and rule prediction of base lines and copies, written once: both models read them several times."""
     from claimlens.session import stage_table
-    return stage_table(_fd_lines(spark, sf_dir).select("line_id", "fraud_label", "rule_pred", *V.FD_FEATURES), "fd-features")
+    return stage_table(_fd_lines(spark, sf_dir, _fd_claims(spark, sf_dir)).select("line_id", "fraud_label", "rule_pred", *V.FD_FEATURES), "fd-features")
 
 
 def feature_vector_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,14 +268,27 @@ def feature_vector_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.feature_vector(_fd_lines(spark, sf_dir))
 
 
-def rules_fd_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feature_vector_appended_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M01 on the first script's set, base lines and appended copies."""
+    return V.feature_vector(_fd_lines(spark, sf_dir, _fd_claims(spark, sf_dir)))
+
+
+def _rules_fd_columns(df: DataFrame, *more: str) -> DataFrame:
     from claimlens.operators.profiles import FD_RULES
-    df = _fd_lines(spark, sf_dir)
-    return df.select("line_id", "duplicate_signature_count", "provider_day_claim_count", "provider_avg_allowed",
+    return df.select("line_id", *more, "duplicate_signature_count", "provider_day_claim_count", "provider_avg_allowed",
                      "procedure_avg_allowed", "allowed_to_proc_avg_ratio", "billed_to_allowed_ratio",
                      *FD_RULES, "rule_score", "rule_pred")
 
 
+def rules_fd_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rules_fd_columns(_fd_lines(spark, sf_dir))
+
+
+def rules_fd_appended_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R16 on the first script's set, base lines and appended copies."""
+    return _rules_fd_columns(_fd_lines(spark, sf_dir, _fd_claims(spark, sf_dir)), "fraud_type", "fraud_label")
+
+
 def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlens.operators.features import with_chunk_id
     return with_chunk_id(_lines(spark, sf_dir), CHUNK_SIZE)
@@ -534,6 +566,7 @@ def all_queries() -> dict[str, Query]:
                              "adjudicate_initial": adjudicate_initial_q,
                              "features_chunk_scope": features_chunk_scope_q, "line_flags": line_flags_q,
                              "append_fixed_rate": append_fixed_rate_q,
+                             "rules_fd_appended": rules_fd_appended_q, "feature_vector_appended": feature_vector_appended_q,
                              "contract_reprice": contract_reprice_q}
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})

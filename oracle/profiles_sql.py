@@ -332,3 +332,36 @@ UNION ALL SELECT {cols}, {money_cols} FROM upc
 UNION ALL SELECT {cols}, {money_cols} FROM unb
 UNION ALL SELECT {cols}, {money_cols} FROM pro
 """
+
+
+def _appended_ctes() -> str:
+    """fd_all: the shaped and first adjudicated lines, and the copies with what they keep from their source lines."""
+    from oracle.v6_sql import shaped_ctes
+
+    kept = ("member_id", "service_date", "diagnosis_code", "place_of_service", "member_age", "chronic_score",
+            "contract_discount_rate")
+    amounts = ("allowed_amount", "billed_amount", "paid_amount")
+    return "WITH " + shaped_ctes() + f""",
+first_paid AS ({_more_sql()["adjudicate_initial"]}),
+fd_base AS (SELECT s.*, CAST(f.paid_amount AS DECIMAL(18,2)) AS paid_amount
+            FROM shaped2 s JOIN first_paid f ON f.order_key = s.enc_key AND f.claim_line_no = s.claim_line_no),
+fd_copies AS ({append_fixed_rate_sql()}),
+fd_all AS (
+  SELECT printf('L%09d_%08d', enc_key, claim_line_no) AS line_id_s, 'none' AS fraud_type, 0 AS fraud_label, provider_id,
+         service_code, units, {", ".join(amounts + kept)} FROM fd_base
+  UNION ALL
+  SELECT 'L' || c.claim_id, c.fraud_type, c.fraud_label, c.provider_id, c.service_code, c.units,
+         CAST(c.allowed_amount AS DECIMAL(18,2)), CAST(c.billed_amount AS DECIMAL(18,2)),
+         CASE WHEN c.fraud_type = 'duplicate_billing' THEN b.paid_amount ELSE CAST(c.paid_amount AS DECIMAL(18,2)) END,
+         {", ".join("b." + c for c in kept)}
+  FROM fd_copies c JOIN fd_base b USING (line_key)
+)"""
+
+
+def appended_sql() -> dict[str, str]:
+    """The first script's rules and model inputs on base lines and appended copies."""
+    def over(sql: str) -> str:
+        return _appended_ctes() + sql.replace(_SEEDED_IDS, "SELECT * FROM fd_all")
+
+    return {"rules_fd_appended": over(_fd().replace("line_id_s AS line_id,", "line_id_s AS line_id, fraud_type, fraud_label,", 1)),
+            "feature_vector_appended": over(_fd_vector())}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from claimlens.plans.queries import LINE_PROJECTIONS
 from oracle.lake_sql import lake_sql
-from oracle.profiles_sql import append_fixed_rate_sql, profile_sql
+from oracle.profiles_sql import append_fixed_rate_sql, appended_sql, profile_sql
 from oracle.summaries_sql import SUMMARY_SQL
 from oracle.v3_sql import v3_over, v3_select
 from oracle.v6_sql import V6_OUT, scored_ctes, shaped_ctes, v6_lines_select, with_lines
@@ -67,6 +67,7 @@ FROM lines WHERE flagged_for_review = 1"""),
     out.update(profile_sql())
     out.update(lake_sql())
     out["append_fixed_rate"] = append_fixed_rate_sql()
+    out.update(appended_sql())
     out.update({name: with_lines(sql) for name, sql in SUMMARY_SQL.items()})
     _ = scored_ctes
     return out

@@ -78,3 +78,17 @@ def test_isolation_forest_samples_and_scores(spark):
     assert len(few) == 2000 and few.anomaly_score.between(0, 1).all()
     assert few.anomaly_score.min() < 0.5                       # ordinary points are below one half
     assert few.anomaly.mean() <= 0.08 and few.anomaly.sum() > 0
+
+
+def test_first_script_detects_its_own_copies(spark):
+    """Features, rules and models of the first script see the base lines and all five kinds of appended copies."""
+    from claimlens.plans import queries as Q
+    folder = "/root/testdata/sf0.001"
+    base, copies = Q.claims_from_star(spark, folder).count(), Q.append_fixed_rate_q(spark, folder).count()
+    rows = Q.rules_fd_appended_q(spark, folder).toPandas()
+    assert len(rows) == base + copies and rows["line_id"].is_unique
+    assert set(rows["fraud_type"]) == {"none", "duplicate_billing", "excessive_units", "upcoding", "unbundling", "provider_outlier"}
+    assert (rows.loc[rows["fraud_type"] == "duplicate_billing", "rule_duplicate"] == 1).all()
+    assert (rows.loc[rows["fraud_type"] == "excessive_units", "rule_excessive_units"] == 1).all()
+    inputs = Q._fd_model_input(spark, folder)                     # what both forests and the table read
+    assert (inputs.count(), inputs.where("fraud_label = 1").count()) == (base + copies, copies)
