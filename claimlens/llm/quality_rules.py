@@ -117,9 +117,12 @@ def _symbols(s, base, which):
 
 def _lines(s, base, which):
     """More than three in ten lines with a word repeat an earlier line."""
-    data = s.flat
-    lines = s.of_texts(data == 0x0A)[which] + 1
-    return 10 * base["n_dup_lines"][which] > 3 * lines
+    words, bounds = s.words_of(which)
+    line = np.cumsum(s.flat == 0x0A)[s.first[words]]
+    first = np.ones(len(words), np.int64)                        # the words that are the first of their line
+    first[1:] = line[1:] != line[:-1]
+    first[bounds[:-1][np.diff(bounds) > 0]] = 1
+    return 10 * base["n_dup_lines"][which] > 3 * run_sums(first, bounds)
 
 
 def _word_length(s, base, which):

@@ -172,3 +172,21 @@ def test_grams_do_not_cross_texts():
     alone, _, _ = grams(pa.array(["ab cd"]))
     assert letter.tolist() == [False, True, False, True] and found[before[3]:].tolist() == alone.tolist()
     assert before[1] == 0 and len(alone) == 9                    # " ab cd": five pairs and four triples
+
+
+def test_line_rule_counts_lines_with_a_word():
+    """More than three in ten of the lines that have a word repeat an earlier line; blank lines do not count."""
+    r = random.Random(4)
+    texts = ["\n\n".join(f"line {k} of ten has words" for k in [*range(10), *range(dups)]) for dups in (3, 4, 5, 9)]
+    texts += ["".join(r.choice(["one two", "three", "x y z", "\n", "\n", "\n \n", "\x0b\n"]) for _ in range(r.randint(40, 80))) + " w" * 20
+              for _ in range(400)]
+    s = quality_rules.TextSlice(pa.array(texts))
+    base = quality_rules.base_figures(s)
+    want = []
+    for text in texts:
+        lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+        want.append(10 * (len(lines) - len(set(lines))) > 3 * len(lines))
+    assert want[:4] == [False, False, True, True] and len(set(want[4:])) == 2
+    which = np.flatnonzero(base["n_words"] >= quality_rules.MIN_WORDS)
+    assert quality_rules._lines(s, base, which).tolist() == [want[i] for i in which]
+    assert quality_rules._lines(s, base, which[1::3]).tolist() == [want[i] for i in which[1::3]]
