@@ -2,13 +2,14 @@
 
 Indicators of a text: its words and word pairs (lower-cased; a word after itself is one mark), and the 4-grams of its
 shape, where letters are a or A, digits 0, and signs and white space stand for themselves.  Both are hashed.  The
-classifier is fitted in one task on at most ``max_rows`` labelled rows (a documented bound, chosen by a hash of the id):
-log-count ratios, dual coordinate descent on the scaled and normalised indicators, and a logistic scale of the margins
-on a fifth of the rows.
+log-count ratios count all labelled rows.  The classifier is fitted in one task on the rows of at most ``max_rows``
+distinct ids and labels (a documented bound, chosen by a hash of the id): dual coordinate descent on the scaled and
+normalised indicators, and a logistic scale of the margins on a fifth of the rows.
 
 Null and empty texts have no indicator and get the score of the bias.  Without labelled rows of both classes the score is
 the share of label 1 (0.5 without any).  Rows are taken as they come and keep all their columns; a clashing name gets an
-underscore; repeated labels of a text and repeated rows of an id count each, up to 2 x ``max_rows`` in all.
+underscore; repeated labels of a text and repeated rows of an id count each in the ratios; the sample has a label once and
+up to 2 x ``max_rows`` rows in all, first one of every id, then a second one, and so on.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import LOWER, append_columns, row_slices, run_sums, ship_package, text_bytes, texts_of, word_spans
 
@@ -90,13 +91,41 @@ class Indicators:
         return np.concatenate(out), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def log_count_ratios(rows: list[np.ndarray], positive: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-    p, q = np.full(FEATURES, smooth), np.full(FEATURES, smooth)
-    for at, is_positive in zip(rows, positive):
-        (p if is_positive else q)[at] += 1
+def log_count_ratios(p: np.ndarray, q: np.ndarray, smooth: float = 1.0) -> np.ndarray:
+    """Of the rows with each feature in class 1 and in class 0."""
+    p, q = p + smooth, q + smooth
     return np.log((p / p.sum()) / (q / q.sum()))
 
 
+def class_counts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of class 1, rows of class 0 with each feature) over all labelled rows; ``labels`` has _id and _label.
+
+    Labels are counted by id before they meet the texts, so repeated ones multiply no rows; texts are not sorted.  At most
+    FEATURES rows reach the driver.
+    """
+    by_id = labels.groupBy("_id").agg(F.count_if(F.col("_label") == 1).alias("_p"), F.count_if(F.col("_label") == 0).alias("_q"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        indicators, counts = Indicators(), np.zeros((2, FEATURES))
+        for batch in batches:
+            texts = texts_of(batch.column(0))
+            times = [batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2)]
+            for first, n in row_slices(texts):
+                found, before = indicators(texts.slice(first, n))
+                for total, t in zip(counts, times):
+                    total += np.bincount(found, np.repeat(t[first:first + n], np.diff(before)), FEATURES)
+        used = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(c[used].astype(np.int64)) for c in counts)],
+                                         names=["feature", "p", "q"])
+
+    table = (docs.join(by_id.hint("shuffle_hash"), docs[id_col] == by_id["_id"]).select(text_col, "_p", "_q")
+             .mapInArrow(run, "feature int, p long, q long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+             .toPandas())
+    p, q = np.zeros(FEATURES), np.zeros(FEATURES)
+    p[table["feature"].to_numpy(np.int64)], q[table["feature"].to_numpy(np.int64)] = table["p"], table["q"]
+    return p, q
+
+
 def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], sign: np.ndarray, cost: np.ndarray,
                  epochs: int = 12) -> np.ndarray:
     """Hinge-loss weights by dual coordinate descent; the last weight belongs to a constant feature."""
@@ -136,8 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     """Model from labelled rows; ``labels`` has id_col and label_col (0 or 1, others are ignored)."""
     spark = docs.sparkSession
     ship_package(spark)
-    chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-              .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
+    labelled = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+                .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")))
+    ratios = spark.sparkContext.broadcast(log_count_ratios(*class_counts(docs, labelled, id_col, text_col)))
+    chosen = (labelled.distinct()
               .orderBy(F.xxhash64("_id", F.lit("quality")), "_id", "_label").limit(max_rows))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             return pd.DataFrame({"v": [b""], "a": [0.0], "b": [20.0 if positive.all() else -20.0]})
         rows = [np.frombuffer(x, "<i4") for x in pdf["at"]]
         held = np.arange(len(rows)) % 5 == 4
-        ratio = log_count_ratios([r for r, h in zip(rows, held) if not h], positive[~held])
+        ratio = ratios.value
         values = [ratio[r] / (np.linalg.norm(ratio[r]) + 1e-12) for r in rows]
         share = positive[~held].mean()
         cost = np.where(positive, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
@@ -169,10 +200,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         return pd.DataFrame({"v": [np.concatenate([ratio, w]).astype("<f8").tobytes()], "a": [a], "b": [b]})
 
     # max_rows ids and labels: small enough to broadcast, and their texts' indicators fit one task
+    nth = F.row_number().over(Window.partitionBy("h", "label").orderBy("at"))
     sample = (docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
               .select(text_col, "_label", F.xxhash64("_id", F.lit("quality")).alias("_h"))
               .mapInArrow(features, "label int, at binary, h long")
-              .orderBy("h", "label", "at").limit(2 * max_rows))         # an id may have many rows
+              .withColumn("nth", nth).where(F.col("nth") <= 2 * max_rows)
+              .orderBy("nth", "h", "label", "at").limit(2 * max_rows).drop("nth"))   # an id may have many rows
     model = sample.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(train, "v binary, a double, b double").first()
     if model is None:
         return {"v": None, "a": 0.0, "b": 0.0}

@@ -389,3 +389,41 @@ def test_knn_blocks_of_equal_rows(spark, monkeypatch):
     got = voronoi_knn.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0, pivots=4, block_rows=40).collect()
     assert sorted(map(tuple, got)) == brute_knn(rows, lambda i: i % 20 == 0)
     assert max(sizes) <= 80                                       # about block_rows; equal rows in one block would be 300
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """300 labelled texts, and the id among them that a sample by hash takes first."""
+    from pyspark.sql import functions as F
+    rows = [(k, f"good plain words number {k} of the text" if k % 2 else f"BAD!! words ## {k} $$ of it") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    first = docs.orderBy(F.xxhash64("doc_id", F.lit("quality"))).first().doc_id
+    return docs, dict(rows), first
+
+
+def test_log_count_ratios_of_all_labelled_rows(spark, labelled):
+    from collections import Counter
+    from claimlens.llm import quality_classifier as Q
+    import pyarrow as pa
+    docs, texts, first = labelled
+    labels = [(k, k % 2) for k in texts] + [(first, 1 - first % 2)] * 3 + [(5000, 1), (None, 0)]
+    model = Q.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "doc_id", "text", "quality", max_rows=40)
+    counts, indicators = (Counter(), Counter()), Q.Indicators()
+    for k, label in labels:
+        if k in texts:
+            counts[label].update(indicators(pa.array([texts[k]]))[0].tolist())
+    q, p = (np.array([c[f] for f in range(Q.FEATURES)]) + 1.0 for c in counts)
+    assert model["v"][:Q.FEATURES] == pytest.approx(np.log(p / p.sum()) - np.log(q / q.sum()), rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("hot", ["labels", "docs"])
+def test_quality_sample_with_a_hot_id(spark, labelled, hot):
+    """An id with an early hash and many labels or rows does not fill the sample: both classes are learned."""
+    from claimlens.llm import quality_classifier as Q
+    docs, texts, first = labelled
+    labels = [(k, k % 2) for k in texts] + [(first, first % 2)] * (150 if hot == "labels" else 0)
+    if hot == "docs":
+        docs = docs.unionByName(spark.createDataFrame([(first, texts[first])] * 150, "doc_id long, text string"))
+    model = Q.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "doc_id", "text", "quality", max_rows=50)
+    got = Q.score(docs.dropDuplicates(["doc_id"]), "text", model).collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in got) > 0.95 * len(got)
