@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from . import language_id, maxent_lm, quality_classifier
 from .common import checkpoint_dir, read_table, vocabulary_file
+from .merkle import leaf_digest, manifest
 from .packing import pack
+from .periodic_runs import periodic_runs
 from .piece_bpe import encode_and_decode
 from .quality_rules import apply_rules
 from .sharding import shard_by_bytes
@@ -89,6 +92,38 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def plant_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with the contract's made-up repetition (one text in ten, by its id; none where the id is null)."""
+    if doc_id is None or not words:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    unit = words[a:a + p]
+    return words[:a] + (unit * ((n - a) // p + 1))[:n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = periodic_runs(docs, "doc_id", "text", least_words=6, least_periods=4, prepare=plant_period)
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0,
+                      leaf_digest("doc_id", "source", "lang", "n_chars", F.replace("text", F.lit("\n"), F.lit(""))))
+    return manifest(docs, "doc_id", "source", leaf_digest("doc_id", "source", "lang", "n_chars", "text"), tampered)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -100,7 +135,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": op3_packing, "op4_sharding": op4_sharding, "op5_quality_rules": op5_quality_rules,
         "op6_piece_bpe": op6_piece_bpe, "op7_token_files": op7_token_files,
         "op8_maxent_lm": op8_maxent_lm, "op9_quality_classifier": op9_quality_classifier,
-        "op10_language_id": op10_language_id, "pipeline": pipeline,
+        "op10_language_id": op10_language_id, "op11_periodic_runs": op11_periodic_runs,
+        "op13_merkle_manifest": op13_merkle_manifest, "pipeline": pipeline,
     }
 
 
