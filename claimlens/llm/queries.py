@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from . import language_id, maxent_lm, quality_classifier
+from . import language_id, maxent_lm, minhash, quality_classifier
 from .common import checkpoint_dir, read_table, vocabulary_file
 from .merkle import leaf_digest, manifest
 from .packing import pack
@@ -117,6 +117,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return minhash.near_duplicates(docs, "doc_id", "text", size=3, percent=85)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0,
@@ -136,7 +141,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_piece_bpe": op6_piece_bpe, "op7_token_files": op7_token_files,
         "op8_maxent_lm": op8_maxent_lm, "op9_quality_classifier": op9_quality_classifier,
         "op10_language_id": op10_language_id, "op11_periodic_runs": op11_periodic_runs,
-        "op13_merkle_manifest": op13_merkle_manifest, "pipeline": pipeline,
+        "op12_minhash": op12_minhash, "op13_merkle_manifest": op13_merkle_manifest, "pipeline": pipeline,
     }
 
 
