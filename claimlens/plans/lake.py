@@ -72,8 +72,8 @@ def fee_schedule(code: Column, specialty: Column, pos: Column) -> Column:
 def bad_provider_pick(providers: DataFrame, rate: float = BAD_PROVIDER_RATE) -> DataFrame:
     """Exactly max(1, floor(n * rate)) providers, without replacement (smallest hash)."""
     g = providers.withColumn("_all", F.lit(1))
-    quota = g.groupBy("_all").agg(F.greatest(F.floor(F.count(F.lit(1)) * F.lit(rate)), F.lit(1)).cast("bigint").alias("_q"))
-    return select_by_hash_quota(g, ["_all"], quota, F.col("provider_id"), "lake_bad", "is_bad_provider").drop("_all")
+    quota = lambda n: F.greatest(F.floor(n * F.lit(rate)), F.lit(1))
+    return select_by_hash_quota(g, ["_all"], quota, F.col("provider_id"), "lake_bad", "is_bad_provider", share=rate).drop("_all")
 
 
 def lake_providers(spark: SparkSession, sf_dir: str) -> DataFrame:

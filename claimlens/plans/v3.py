@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.draws import draw, int_between, uniform_e6, weighted_category
 from claimlens.functions.money import scale
 from claimlens.functions.quantile import exact_quantile
-from claimlens.functions.sampling import select_by_hash_quota
+from claimlens.functions.sampling import hash32, hash_cut_offs, is_taken
 from claimlens.functions.scalar import attach
 from claimlens.operators.edits import V3_PTP_CODES, v3_edit_type
 from claimlens.operators.features import group_features
@@ -168,16 +168,18 @@ def seed_v3(df: DataFrame, propensity_mult: int = 1) -> DataFrame:
 
 
 def seed_v3_duplicates(df: DataFrame, share: float = V3_DUPLICATE_SHARE) -> DataFrame:
-    """exactly floor(share * n) duplicate-mode lines (smallest hash) are copied under new line numbers."""
-    df = df.withColumn("_dupgrp", F.coalesce((F.col("_mode") == "duplicate").cast("int"), F.lit(0)))
-    quota = df.groupBy("_dupgrp").agg(
-        F.when(F.col("_dupgrp") == 1, F.floor(F.count(F.lit(1)) * F.lit(share))).otherwise(F.lit(0))
-        .cast("bigint").alias("_q"))
-    df = select_by_hash_quota(df, ["_dupgrp"], quota, F.col("line_key"), "v3_dup_pick", "_dup_sel")
-    df = df.withColumn("_copy", F.explode(F.when(F.col("_dup_sel") == 1, F.array(F.lit(0), F.lit(1)))
-                                          .otherwise(F.array(F.lit(0)))))
+    """exactly floor(share * n) duplicate-mode lines (smallest hash) are copied under new line numbers.
+
+    The cut-off comes from the duplicate-mode lines alone; the lines themselves are not moved.
+    """
+    is_duplicate = F.coalesce(F.col("_mode") == "duplicate", F.lit(False))
+    h, k = hash32(F.col("line_key"), "v3_dup_pick"), F.col("line_key").cast("string")
+    keyed = df.where(is_duplicate).select(F.lit(1).alias("_all"), h.alias("_h"), k.alias("_k"))
+    cut = hash_cut_offs(keyed, ["_all"], lambda n: F.floor(n * F.lit(share)), F.lit(share)).first()      # one row
+    taken = is_duplicate & is_taken(h, k, F.lit(cut["_cut_h"]), F.lit(cut["_cut_k"])) if cut else F.lit(False)
+    df = df.withColumn("_copy", F.explode(F.when(taken, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return df.withColumn("claim_line_no", F.when(F.col("_copy") == 1, F.col("claim_line_no") + 200)
-                         .otherwise(F.col("claim_line_no"))).drop("_copy", "_dup_sel", "_dupgrp", "_mode")
+                         .otherwise(F.col("claim_line_no"))).drop("_copy", "_mode")
 
 
 def features_v3(df: DataFrame) -> DataFrame:
@@ -242,8 +244,7 @@ def rules_v3(df: DataFrame, high_charge_quantile: float = 0.98) -> DataFrame:
 def v3_lines(spark: SparkSession, sf_dir: str, propensity_mult: int = 5) -> DataFrame:
     """The scored v3 line table (internal form, money in cents)."""
     df = seed_v3(v3_base(shaped_lines(spark, sf_dir)), propensity_mult)
-    df = seed_v3_duplicates(df)
     df = stage_table(df.drop(*[c for c in df.columns if c.startswith("_md5_")]), "v3-seeded")
-    df = features_v3(df)
+    df = features_v3(seed_v3_duplicates(df))
     df = rules_v3(df)
     return df.withColumn("line_id", F.format_string("L%09d_%08d", F.col("enc_key"), F.col("claim_line_no")))

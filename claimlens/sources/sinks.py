@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.functions.sampling import quota_cap, select_by_hash_quota
+from claimlens.functions.sampling import select_by_hash_quota, smallest_per_group
 from claimlens.operators.features import with_chunk_id
+from claimlens.session import stage_table
 
 
 def write_lines(df: DataFrame, path: str, chunk_size: int) -> None:
@@ -42,14 +43,13 @@ def sample_per_chunk(df: DataFrame, chunk_size: int, per_chunk: int, total: int,
                      salt: str = "sample") -> DataFrame:
     """At most ``per_chunk`` rows of each chunk, then at most ``total`` of those, by smallest hash.
 
-    Exact quotas without a global sort (functions.sampling); the sample itself is
-    the feature, so the caps are its parameters.
+    One scan of the lines: a task keeps the first ``per_chunk`` rows of each chunk before the exchange.  What is left is
+    written once; the second step is a cut-off over it.  The sample itself is the feature, so the caps are its parameters.
     """
-    d = with_chunk_id(df, chunk_size)
-    d = select_by_hash_quota(d, ["chunk_id"], quota_cap(d, ["chunk_id"], per_chunk), F.col(key), salt, "_in_chunk")
-    d = d.filter(F.col("_in_chunk") == 1).drop("_in_chunk").withColumn("_all", F.lit(1))
-    d = select_by_hash_quota(d, ["_all"], quota_cap(d, ["_all"], total), F.col(key), salt + "_total", "_in_total")
-    return d.filter(F.col("_in_total") == 1).drop("_in_total", "_all")
+    first = stage_table(smallest_per_group(with_chunk_id(df, chunk_size), ["chunk_id"], per_chunk, F.col(key), salt), "chunk-samples")
+    first = select_by_hash_quota(first.withColumn("_all", F.lit(1)), ["_all"], lambda n: F.least(n, F.lit(total)), F.col(key),
+                                 salt + "_total", "_in_total")
+    return first.where("_in_total = 1").drop("_in_total", "_all")
 
 
 def union_lines(*parts: DataFrame) -> DataFrame:
