@@ -2,9 +2,11 @@
 
 Counts and means over hot keys (a provider may hold a large share of all lines)
 are computed as hash aggregates -- map-side partial aggregation makes a hot key
-cheap -- and joined back.  The joins stay plain equi joins: AQE turns them into
-broadcast joins when the aggregate is measured small at run time, and splits
-skewed partitions of the line side when it is not.
+cheap -- and joined back.  Signatures are nearly unique, so only those that occur
+more than once are kept and joined; tables with few keys (codes) are counted and
+broadcast.  Other joins stay plain equi joins: AQE turns them into broadcast joins
+when the aggregate is measured small at run time, and splits skewed partitions of
+the line side when it is not.
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.functions.money import mean_double, ratio4
+from claimlens.functions.money import int_div, mean_double, ratio4
+from claimlens.functions.scalar import join_groups
+from claimlens.session import stage_table
 
 V6_SIGNATURE = ["member_id", "provider_id", "service_date", "service_code", "contract_rate"]
 
@@ -24,7 +28,7 @@ def _scope(keys: list[str], scope: str) -> list[str]:
 
 def with_chunk_id(df: DataFrame, chunk_size: int, key: str = "enc_key") -> DataFrame:
     """chunk id = encounter ordinal div chunk size."""
-    return df.withColumn("chunk_id", (F.col(key) / F.lit(chunk_size)).cast("bigint"))
+    return df.withColumn("chunk_id", int_div(F.col(key), chunk_size))
 
 
 def contract_ratios(df: DataFrame) -> DataFrame:
@@ -37,17 +41,34 @@ def contract_ratios(df: DataFrame) -> DataFrame:
     })
 
 
-def group_features(df: DataFrame, specs: list[tuple[list[str], dict[str, tuple[str, str]]]]) -> DataFrame:
+def duplicate_counts(df: DataFrame, signature: list[str], name: str) -> DataFrame:
+    """Rows with the same signature.
+
+    Most signatures occur once, and their lines need no partner: only repeated signatures are kept, written once and
+    joined (broadcast if they are few), instead of a table as large as the lines.
+    """
+    repeated = df.groupBy(*signature).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
+    out = join_groups(df, stage_table(repeated, "signatures"), signature, "left")
+    return out.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("bigint")))
+
+
+def group_features(df: DataFrame, specs: list[tuple[list[str], dict[str, tuple[str, str]]]], few: tuple[str, ...] = ()) -> DataFrame:
     """Counts and means over several key sets, joined back on the keys.
 
-    ``specs``: (keys, {output name: (kind, column)}), kind ``count``, ``cents`` (mean of a cents column, as an
-    amount) or ``mean``.  Each key set is aggregated once, map-side first.  A key set that is part of a larger one
-    (the provider in the provider's day) is summed from that one's groups and joined to them, so the lines are
-    aggregated and joined once for both and never meet a table keyed by a hot provider alone.
+    ``specs``: (keys, {output name: (kind, column)}), kind ``repeats`` (a signature's count, alone in its set),
+    ``count``, ``cents`` (mean of a cents column, as an amount) or ``mean``.  Each key set is aggregated once, map-side
+    first.  A key set that is part of a larger one (the provider in the provider's day) is summed from that one's groups
+    and joined to them, so the lines are aggregated and joined once for both and never meet a table keyed by a hot
+    provider alone.  Sets of the keys named in ``few`` have few groups: their table is written, counted and broadcast.
     """
+    out = df
+    for keys, outputs in specs:
+        for name, (kind, _) in outputs.items():
+            if kind == "repeats":
+                out = duplicate_counts(out, keys, name)
+    specs = [(k, o) for k, o in specs if all(kind != "repeats" for kind, _ in o.values())]
     sets = [k for k, _ in specs]
     within = {tuple(k): next((o for o in sets if set(k) < set(o) and len(o) == len(k) + 1), k) for k in sets}
-    out = df
     for keys in (k for k in sets if within[tuple(k)] == k):
         inside = [(k, o) for k, o in specs if within[tuple(k)] == keys]
         wanted = [c for _, o in inside for _, c in o.values() if c]
@@ -63,7 +84,10 @@ def group_features(df: DataFrame, specs: list[tuple[list[str], dict[str, tuple[s
                 coarse = coarse.select(*k, *[_figure(kind, c).alias(name) for name, (kind, c) in outputs.items()])
                 joined = joined.join(coarse, k)
         names = [name for _, o in inside for name in o]
-        out = out.join(joined.select(*keys, *names), keys, "left")
+        if few and set(few) & set(keys):
+            out = join_groups(out, stage_table(joined.select(*keys, *names), "few-keys"), keys, "left")
+        else:
+            out = out.join(joined.select(*keys, *names), keys, "left")
     return out
 
 
@@ -78,11 +102,11 @@ def _figure(kind: str, column: str) -> Column:
 def features_v6(df: DataFrame, scope: str = "global") -> DataFrame:
     """G01-G05 for the v6 profile: signature, provider-day with the provider's mean, and service code."""
     return contract_ratios(group_features(df, [
-        (_scope(V6_SIGNATURE, scope), {"duplicate_signature_count": ("count", "")}),
+        (_scope(V6_SIGNATURE, scope), {"duplicate_signature_count": ("repeats", "")}),
         (_scope(["provider_id", "service_date"], scope), {"provider_day_claim_count": ("count", "")}),
         (_scope(["provider_id"], scope), {"provider_avg_contract_rate": ("cents", "contract_rate")}),
         (_scope(["service_code"], scope), {"service_code_avg_contract_rate": ("cents", "contract_rate")}),
-    ]))
+    ], few=("service_code",)))
 
 
 def allowed_ratios(billed: Column, allowed: Column, profile: str) -> Column:

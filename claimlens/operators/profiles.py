@@ -90,11 +90,11 @@ def features_v2(df: DataFrame) -> DataFrame:
                        .otherwise(F.col("service_code")))
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "revenue_code", "allowed_amount"]
     df = group_features(df, [
-        (sig, {"duplicate_signature_count": ("count", "")}),
+        (sig, {"duplicate_signature_count": ("repeats", "")}),
         (["provider_id", "service_date"], {"provider_day_claim_count": ("count", "")}),
         (["provider_id"], {"provider_avg_allowed": ("cents", "allowed_amount"), "provider_fraud_rate": ("mean", "fraud_label")}),
         (["code_key"], {"code_avg_allowed": ("cents", "allowed_amount")}),
-    ])
+    ], few=("code_key",))
     return df.withColumns({
         "allowed_to_code_avg_ratio": _dollars("allowed_amount") / F.greatest(F.col("code_avg_allowed"), F.lit(1.0)),
         "billed_to_allowed_ratio": _dollars("billed_amount") / F.greatest(_dollars("allowed_amount"), F.lit(1.0)),
@@ -136,11 +136,11 @@ def features_fd(df: DataFrame) -> DataFrame:
     """G01-G04 with the first script's keys; G06 without floors."""
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "allowed_amount"]
     df = group_features(df, [
-        (sig, {"duplicate_signature_count": ("count", "")}),
+        (sig, {"duplicate_signature_count": ("repeats", "")}),
         (["provider_id", "service_date"], {"provider_day_claim_count": ("count", "")}),
         (["provider_id"], {"provider_avg_allowed": ("cents", "allowed_amount")}),
         (["service_code"], {"procedure_avg_allowed": ("cents", "allowed_amount")}),
-    ])
+    ], few=("service_code",))
     return df.withColumns({
         "allowed_to_proc_avg_ratio": F.when(F.col("procedure_avg_allowed") > 0,
                                             _dollars("allowed_amount") / F.col("procedure_avg_allowed")),

@@ -86,64 +86,86 @@ def encounter_level(df: DataFrame) -> DataFrame:
         F.max("fraud_label").alias("encounter_fraud"), F.max("flagged_for_review").alias("encounter_flag"))
 
 
-def _level_rates(df: DataFrame) -> DataFrame:
-    """One row: fraud and flag rates at line, claim and encounter level."""
-    line = df.agg(_mean_int("fraud_label").alias("line_fraud_rate"), _mean_int("flagged_for_review").alias("line_flag_rate"))
-    claim = claim_level(df).agg(_mean_int("claim_fraud").alias("claim_fraud_rate"), _mean_int("claim_flag").alias("claim_flag_rate"))
-    enc = encounter_level(df).agg(_mean_int("encounter_fraud").alias("encounter_fraud_rate"),
-                                  _mean_int("encounter_flag").alias("encounter_flag_rate"))
-    return combine(line, claim, enc)  # three one-row frames
+def level_totals(df: DataFrame, **line_sums: Column) -> DataFrame:
+    """One row: lines, claims and encounters with their labels and flags, from one nested pass over the lines.
 
+    Lines are summed by claim (encounter, provider, family), claims by encounter, encounters in all.  For each level
+    ``<level>_n`` counts its units, ``_f`` those with a label, ``_p`` those with a flag, ``_fp`` those with both;
+    ``line_sums`` adds sums of 0/1 columns over the lines.
+    """
+    y, p = F.col("fraud_label"), F.col("flagged_for_review")
+    both = lambda a, b: (F.col(a) * F.col(b)).cast("bigint")
+    line = ["line_n", "line_f", "line_p", "line_fp", *line_sums]
+    claims = df.select("encounter_id", "provider_id", "claim_family", y, p, *[c.cast("int").alias(k) for k, c in line_sums.items()]) \
+        .groupBy("encounter_id", "provider_id", "claim_family").agg(
+            F.count(F.lit(1)).alias("line_n"), F.sum(y).alias("line_f"), F.sum(p).alias("line_p"), F.sum(y * p).alias("line_fp"),
+            *[F.sum(k).alias(k) for k in line_sums], F.max(y).alias("f"), F.max(p).alias("p"))
+    encounters = claims.groupBy("encounter_id").agg(
+        *[F.sum(k).alias(k) for k in line], F.count(F.lit(1)).alias("claim_n"), F.sum("f").alias("claim_f"), F.sum("p").alias("claim_p"),
+        F.sum(both("f", "p")).alias("claim_fp"), F.max("f").alias("f"), F.max("p").alias("p"))
+    return encounters.agg(
+        *[F.sum(k).alias(k) for k in [*line, "claim_n", "claim_f", "claim_p", "claim_fp"]], F.count(F.lit(1)).alias("encounter_n"),
+        F.sum("f").alias("encounter_f"), F.sum("p").alias("encounter_p"), F.sum(both("f", "p")).alias("encounter_fp"))
 
-def _distinct_count(df: DataFrame, col: str, name: str) -> DataFrame:
-    return df.select(col).distinct().agg(F.count(F.lit(1)).alias(name))
 
+def _share(part: str, whole: str) -> Column:
+    return F.col(part).cast("double") / F.col(whole).cast("double")
 
-def dataset_metrics(df: DataFrame) -> DataFrame:
-    """14 named metrics in long form (rates rounded to 6)."""
-    base = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        _rate(F.col("claim_status") == "denied").alias("denial_rate"),
-        _rate(F.col("claim_family") == "pharmacy").alias("pharmacy_share"),
-        _rate(F.col("claim_family") == "institutional").alias("institutional_share"),
-        _mean_int("linked_facility_claim").alias("linked_facility_professional_share"),
-    )
-    one = combine(base, _distinct_count(df, "member_id", "unique_members"),
-                  _distinct_count(df, "provider_id", "unique_providers"),
-                  _distinct_count(df, "encounter_id", "unique_encounters"), _level_rates(df))
-    names = ["rows", "unique_members", "unique_providers", "unique_encounters",
-             "line_fraud_rate", "line_flag_rate", "claim_fraud_rate", "claim_flag_rate",
-             "encounter_fraud_rate", "encounter_flag_rate",
-             "denial_rate", "pharmacy_share", "institutional_share", "linked_facility_professional_share"]
+
+LEVELS = ("line", "claim", "encounter")
+
+
+def _level_rates() -> list[Column]:
+    """Fraud and flag rates at line, claim and encounter level from :func:`level_totals`."""
+    return [_share(f"{v}_{k}", f"{v}_n").alias(f"{v}_{name}_rate") for v in LEVELS for k, name in (("f", "fraud"), ("p", "flag"))]
+
+
+def distinct_counts(df: DataFrame, **columns: str) -> DataFrame:
+    """One row with the distinct values (null is one) of several columns, in one pass: pairs (column, value) are grouped once."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("_k"), F.col(c).cast("string").alias("_v")) for name, c in columns.items()])
+    seen = df.select(F.inline(pairs)).distinct()
+    return seen.agg(*[F.count_if(F.col("_k") == name).alias(name) for name in columns])
+
+
+def _line_shares() -> dict[str, Column]:
+    return {"denial_rate": F.col("claim_status") == "denied", "pharmacy_share": F.col("claim_family") == "pharmacy",
+            "institutional_share": F.col("claim_family") == "institutional",
+            "linked_facility_professional_share": F.col("linked_facility_claim")}
+
+
+def _long_metrics(one: DataFrame, names: list[str]) -> DataFrame:
+    """(metric, value) rows; counts as they are, rates rounded to 6."""
     counts = {"rows", "unique_members", "unique_providers", "unique_encounters"}
     stack = ", ".join(f"'{n}', " + (f"CAST({n} AS DOUBLE)" if n in counts else f"ROUND({n}, 6)") for n in names)
     return one.selectExpr(f"stack({len(names)}, {stack}) AS (metric, value)")
 
 
+def dataset_metrics(df: DataFrame) -> DataFrame:
+    """14 named metrics in long form (rates rounded to 6); two scans, for the levels and for the distinct counts."""
+    shares = _line_shares()
+    totals = level_totals(df, **shares).select(
+        F.col("line_n").alias("rows"), F.col("encounter_n").alias("unique_encounters"), *_level_rates(),
+        *[_share(name, "line_n").alias(name) for name in shares])
+    one = combine(totals, distinct_counts(df, unique_members="member_id", unique_providers="provider_id"))
+    return _long_metrics(one, [
+        "rows", "unique_members", "unique_providers", "unique_encounters",
+        *[f"{v}_{name}_rate" for v in LEVELS for name in ("fraud", "flag")], *shares])
+
+
 def dataset_metrics_v5(df: DataFrame) -> DataFrame:
     """The 10-metric v5 form."""
-    base = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        _mean_int("fraud_label").alias("fraud_rate"),
-        _mean_int("flagged_for_review").alias("flag_rate"),
-        _rate(F.col("claim_status") == "denied").alias("denial_rate"),
-        _rate(F.col("claim_family") == "pharmacy").alias("pharmacy_share"),
-        _rate(F.col("claim_family") == "institutional").alias("institutional_share"),
-        _mean_int("linked_facility_claim").alias("linked_facility_professional_share"),
-    )
-    one = combine(base, _distinct_count(df, "member_id", "unique_members"),
-                  _distinct_count(df, "provider_id", "unique_providers"),
-                  _distinct_count(df, "encounter_id", "unique_encounters"))
-    names = ["rows", "unique_members", "unique_providers", "unique_encounters", "fraud_rate", "flag_rate",
-             "denial_rate", "pharmacy_share", "institutional_share", "linked_facility_professional_share"]
-    counts = {"rows", "unique_members", "unique_providers", "unique_encounters"}
-    stack = ", ".join(f"'{n}', " + (f"CAST({n} AS DOUBLE)" if n in counts else f"ROUND({n}, 6)") for n in names)
-    return one.selectExpr(f"stack({len(names)}, {stack}) AS (metric, value)")
+    shares = _line_shares()
+    base = df.agg(F.count(F.lit(1)).alias("rows"), _mean_int("fraud_label").alias("fraud_rate"),
+                  _mean_int("flagged_for_review").alias("flag_rate"),
+                  *[(F.sum(c.cast("int")).cast("double") / F.count(F.lit(1)).cast("double")).alias(name) for name, c in shares.items()])
+    one = combine(base, distinct_counts(df, unique_members="member_id", unique_providers="provider_id",
+                                        unique_encounters="encounter_id"))
+    return _long_metrics(one, ["rows", "unique_members", "unique_providers", "unique_encounters", "fraud_rate", "flag_rate", *shares])
 
 
 def calibration_summary(df: DataFrame) -> DataFrame:
     """Is the review queue larger than the true anomaly set, per level?"""
-    r = _level_rates(df)
+    r = level_totals(df).select(*_level_rates())
     rows = r.selectExpr(
         "stack(3, 'line', line_fraud_rate, line_flag_rate, 'claim', claim_fraud_rate, claim_flag_rate, "
         "'encounter', encounter_fraud_rate, encounter_flag_rate) AS (level, fraud_rate, flag_rate)")
@@ -256,9 +278,11 @@ def provider_rollup(df: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- N rows
 
-def _distinct_per(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
-    """count(distinct col) per keys as a two-level aggregate (skew-safe)."""
-    return df.select(*keys, col).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+def distinct_per(df: DataFrame, keys: list[str], **columns: str) -> DataFrame:
+    """Distinct non-null values of several columns per key, in one pass: (keys, column, value) are grouped once (skew-safe)."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("_k"), F.col(c).cast("string").alias("_v")) for name, c in columns.items()])
+    seen = df.select(*keys, F.inline(pairs)).distinct()
+    return seen.groupBy(*keys).agg(*[F.count_if((F.col("_k") == name) & F.col("_v").isNotNull()).alias(name) for name in columns])
 
 
 def family_profile(df: DataFrame) -> DataFrame:
@@ -274,7 +298,7 @@ def family_profile(df: DataFrame) -> DataFrame:
         _mean_int("fraud_label").alias("fraud_rate"),
         _rate(F.col("claim_status") == "denied").alias("denial_rate"),
     )
-    return agg.join(_distinct_per(d, ["claim_family"], "claim_key", "claim_count"), "claim_family")
+    return agg.join(distinct_per(d, ["claim_family"], claim_count="claim_key"), "claim_family")
 
 
 def provider_profile(df: DataFrame) -> DataFrame:
@@ -291,8 +315,7 @@ def provider_profile(df: DataFrame) -> DataFrame:
         F.min("service_date").alias("first_service_date"),
         F.max("service_date").alias("last_service_date"),
     )
-    return (agg.join(_distinct_per(d, keys, "claim_key", "claim_count"), keys)
-            .join(_distinct_per(d, keys, "member_id", "member_count"), keys))
+    return agg.join(distinct_per(d, keys, claim_count="claim_key", member_count="member_id"), keys)
 
 
 def fraud_profile(df: DataFrame) -> DataFrame:
@@ -304,9 +327,7 @@ def fraud_profile(df: DataFrame) -> DataFrame:
         _money_mean("billed_amount").alias("avg_billed"),
         _money_mean("paid_amount").alias("avg_paid"),
     )
-    for col, name in (("claim_key", "claim_count"), ("provider_id", "provider_count"), ("member_id", "member_count")):
-        agg = agg.join(_distinct_per(d, keys, col, name), keys)
-    return agg
+    return agg.join(distinct_per(d, keys, claim_count="claim_key", provider_count="provider_id", member_count="member_id"), keys)
 
 
 def reason_precision(df: DataFrame) -> DataFrame:
@@ -330,11 +351,8 @@ def relationship_profile(df: DataFrame) -> DataFrame:
         _money_sum("paid_amount").alias("paid_total"),
         _money_mean("paid_amount").alias("avg_paid"),
     )
-    types = (d.filter(F.col("fraud_type") != "none").select(*keys, "fraud_type").distinct()
-             .groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_fraud_types")))
-    return (agg.join(_distinct_per(d, keys, "claim_key", "claim_count"), keys)
-            .join(types, keys, "left")
-            .withColumn("distinct_fraud_types", F.coalesce("distinct_fraud_types", F.lit(0)).cast("bigint")))
+    d = d.withColumn("_type", F.when(F.col("fraud_type") != "none", F.col("fraud_type")))
+    return agg.join(distinct_per(d, keys, claim_count="claim_key", distinct_fraud_types="_type"), keys)
 
 
 def status_profile(df: DataFrame) -> DataFrame:
@@ -361,8 +379,8 @@ def dataset_profile(df: DataFrame) -> DataFrame:
         _money_mean("allowed_amount").alias("avg_allowed"),
         _money_mean("paid_amount").alias("avg_paid"),
     )
-    one = combine(base, _distinct_count(d, "claim_key", "claims"), _distinct_count(df, "encounter_id", "encounters"),
-                  _distinct_count(df, "member_id", "members"), _distinct_count(df, "provider_id", "providers"))
+    one = combine(base, distinct_counts(d, claims="claim_key", encounters="encounter_id", members="member_id",
+                                        providers="provider_id"))
     names = ["lines", "claims", "encounters", "members", "providers", "fraud_rate", "denial_rate", "paid_rate",
              "avg_billed", "avg_allowed", "avg_paid"]
     stack = ", ".join(f"'{n}', ROUND(CAST({n} AS DOUBLE), 6)" for n in names)

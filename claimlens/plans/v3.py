@@ -193,11 +193,11 @@ def features_v3(df: DataFrame) -> DataFrame:
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "revenue_code", "ndc11",
            "allowed_amount"]
     df = group_features(df, [
-        (sig, {"duplicate_signature_count": ("count", "")}),
+        (sig, {"duplicate_signature_count": ("repeats", "")}),
         (["provider_id", "service_date"], {"provider_day_claim_count": ("count", "")}),
         (["provider_id"], {"provider_avg_allowed": ("cents", "allowed_amount")}),
         (["code_key"], {"code_avg_allowed": ("cents", "allowed_amount")}),
-    ])
+    ], few=("code_key",))
     allowed_d = F.col("allowed_amount").cast("double") / 100.0
     billed_d = F.col("billed_amount").cast("double") / 100.0
     return df.withColumns({
