@@ -1,7 +1,9 @@
 """Earlier rule profiles on the same line table: v5 (R13), v2 (R15) and the first script.
 
 Each profile is its thresholds plus column expressions; features come from one
-grouping-sets aggregate per profile (``features.group_features``).
+aggregate per key set (``features.group_features``).  Flags may be of any type.
+
+FIXED VALUES: thresholds and reason names are output values.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.operators.features import group_features
+from claimlens.operators.shape import flag
 
 
 def _i(c: Column) -> Column:
@@ -49,7 +52,7 @@ def rules_v5(df: DataFrame, p: RulesV5 = RulesV5()) -> DataFrame:
         "rule_provider_volume": _i(F.col("provider_day_claim_count") >= p.volume_threshold),
         "rule_egregious_billed": _i(F.col("billed_to_contract_ratio") >= p.egregious_ratio),
         "rule_price_above_contract": _i(F.col("contract_to_allowed_ratio") >= p.price_ratio),
-        "rule_external_edit": F.coalesce(F.col("external_edit_flag").cast("int"), F.lit(0)),
+        "rule_external_edit": flag(df, "external_edit_flag"),
         "rule_denied_repeat": _i((F.col("claim_status") == "denied")
                                  & F.col("provider_class").isin("medium_risk", "bad_actor")),
     })

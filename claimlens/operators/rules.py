@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.operators.shape import flag
 from claimlens.sources import catalogs as C
 
 RISKY = ("medium_risk", "bad_actor")
@@ -47,6 +48,9 @@ V6_REASONS = [
 ]
 
 
+SIGNALS = ("pricing_error", "egregious_charge", "upcoding", "member_submit_outlier")
+
+
 def _i(c: Column) -> Column:
     return c.cast("int")
 
@@ -71,14 +75,14 @@ def rule_denied_repeat() -> Column:
     return _i((F.col("claim_status") == "denied") & F.col("provider_class").isin(*RISKY))  # R06
 
 
-def rule_upcoding_pattern(t: float) -> Column:                                          # R07
+def rule_upcoding_pattern(df: DataFrame, t: float) -> Column:                           # R07
     pattern = F.col("service_code").isin(*C.TOP_LEVEL_CODES) & (F.col("provider_to_code_ratio") >= t)
-    return _i((F.coalesce(F.col("upcoding_signal"), F.lit(0)) == 1) | pattern)
+    return _i((flag(df, "upcoding_signal") == 1) | pattern)
 
 
-def rule_member_submit_outlier(t: float) -> Column:                                     # R08
+def rule_member_submit_outlier(df: DataFrame, t: float) -> Column:                      # R08
     pattern = (F.col("claim_family") == "member_submitted") & (F.col("billed_to_contract_ratio") >= t)
-    return _i((F.coalesce(F.col("member_submit_outlier_signal"), F.lit(0)) == 1) | pattern)
+    return _i((flag(df, "member_submit_outlier_signal") == 1) | pattern)
 
 
 def primary_reason(pairs=V6_REASONS, default: str = "no_rule") -> Column:
@@ -97,13 +101,12 @@ def apply_rules_v6(df: DataFrame, p: RulesV6 = RulesV6()) -> DataFrame:
         "rule_provider_volume": rule_provider_volume(p.volume_threshold),
         "rule_egregious_billed": rule_egregious_billed(p.egregious_ratio),
         "rule_price_above_contract": rule_price_above_contract(p.price_ratio),
-        "rule_external_edit": F.coalesce(F.col("external_edit_flag").cast("int"), F.lit(0)),   # R05
+        "rule_external_edit": flag(df, "external_edit_flag"),                                   # R05
         "rule_denied_repeat": rule_denied_repeat(),
-        "rule_upcoding_pattern": rule_upcoding_pattern(p.upcoding_ratio),
-        "rule_member_submit_outlier": rule_member_submit_outlier(p.member_ratio),
+        "rule_upcoding_pattern": rule_upcoding_pattern(df, p.upcoding_ratio),
+        "rule_member_submit_outlier": rule_member_submit_outlier(df, p.member_ratio),
     })
-    strong = F.greatest(F.col("rule_duplicate"), F.col("pricing_error_signal"), F.col("egregious_charge_signal"),
-                        F.col("upcoding_signal"), F.col("member_submit_outlier_signal"))       # R09
+    strong = F.greatest(F.col("rule_duplicate"), *[flag(df, f"{s}_signal") for s in SIGNALS])    # R09
     score = sum((F.col(c) for c in V6_RULES[1:]), F.col(V6_RULES[0]))                          # R10
     df = df.withColumns({"strong_rule_hit": strong.cast("int"), "rule_score": score.cast("int")})
     secondary = (((F.col("rule_egregious_billed") == 1) & F.col("provider_class").isin(*RISKY))

@@ -14,11 +14,13 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlens.functions.draws import draw, draw_key, line_draw, uniform_e6, weighted_category, with_digests
 from claimlens.functions.money import round_div, scale
+from claimlens.operators.numbering import GIANT, exchange_by_encounter
 from claimlens.sources import catalogs as C
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount"]
@@ -236,8 +238,19 @@ def claim_key(encounter: Column, provider: Column, family: Column) -> Column:
 
 
 def safe_flag(c: Column) -> Column:
-    """Bad or missing values -> 0, small int."""
-    return F.coalesce(c.cast("string").try_cast("int"), F.lit(0)).cast("int")
+    """A number as text or not, truncated; bad, missing or non-finite values -> 0."""
+    number = c.cast("string").try_cast("double")
+    fits = F.abs(number) < F.lit(2.0 ** 31)                       # false for infinities, null or false for NaN below
+    return F.when(fits & ~F.isnan(number), number.try_cast("int")).otherwise(F.lit(0)).cast("int")
+
+
+def flag(df: DataFrame, name: str) -> Column:
+    """P19 on a column of ``df``, whatever its type; 0 where the table has no such column."""
+    if name not in df.columns:
+        return F.lit(0)
+    if isinstance(df.schema[name].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)):
+        return F.coalesce(F.col(name).cast("int"), F.lit(0))
+    return safe_flag(F.col(name))
 
 
 def service_code(etype: Column, specialty: Column, partkey: Column) -> Column:
@@ -262,11 +275,12 @@ LINKED_NAMES = [s for s, _ in C.LINKED_SPECIALTIES]
 
 # ----------------------------------------------------------------------------- K03
 
-def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame], giant: int = GIANT) -> DataFrame:
     """Shaped, priced and adjudication-ready claim lines (before seeding).
 
     Internal columns kept for downstream operators: ``enc_key`` (order key),
-    ``line_key`` (draw key), ``mue_limit``, ``qty``.
+    ``line_key`` (draw key), ``mue_limit``, ``qty``.  Encounters of more than ``giant`` lines are
+    numbered in parts (see operators.numbering); they are looked for while the plan is built.
     """
     li, orders, customer = tables["lineitem"], tables["orders"], tables["customer"]
     members = members_from_customer(customer)
@@ -275,10 +289,9 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
     # The per-encounter windows need the lines clustered by order key anyway; placing that one
     # exchange right after the join shuffles the narrow joined rows (not the wide computed
     # ones) and runs all per-line expression work after it, in parallel.
-    base = li.join(enc, F.col("l_orderkey") == F.col("o_orderkey")).repartition("l_orderkey")
-
-    by_enc = Window.partitionBy("l_orderkey")
-    ordered = by_enc.orderBy(*LINE_ORDER)
+    joined = li.join(enc, F.col("l_orderkey") == F.col("o_orderkey"))
+    encounters = exchange_by_encounter(joined, li.select("l_orderkey", *LINE_ORDER[:2]), "l_orderkey", LINE_ORDER, giant)
+    base = encounters.lines
     spec = specialty_from_key(F.col("l_suppkey"))
     cls = class_from_key(F.col("l_suppkey"))
     ek = F.col("l_orderkey").cast("string")
@@ -287,9 +300,13 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
     pre = base.select(
         "*", spec.alias("_spec"), cls.alias("_cls"), etype0.alias("etype0"),
     ).withColumn("_code0", service_code(F.col("etype0"), F.col("_spec"), F.col("l_partkey")))
+    # X01 context: does the encounter bill a panel?  Seeding never rewrites panel codes
+    # (upcoding only shifts E&M levels), so this equals the check on the seeded codes.
+    pre = encounters.flags(pre, enc_has_facility=F.col("etype0").isin("ed_facility", "inpatient_facility"),
+                           enc_has_panel=F.col("_code0").isin("80053", "85025"))
     df = pre.select(
         F.col("l_orderkey").alias("enc_key"),
-        F.row_number().over(ordered).cast("int").alias("claim_line_no"),
+        encounters.line_number().alias("claim_line_no"),
         "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("int").alias("qty"),
         F.round(F.col("l_discount") * 100).cast("int").alias("disc_e2"),
@@ -302,10 +319,7 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
         provider_propensity(F.col("_cls")).alias("provider_fraud_propensity"),
         provider_discount(F.col("_spec")).alias("contract_discount_rate"),
         "etype0",
-        F.max(F.col("etype0").isin("ed_facility", "inpatient_facility").cast("int")).over(by_enc).alias("enc_has_facility"),
-        # X01 context: does the encounter bill a panel?  Seeding never rewrites panel codes
-        # (upcoding only shifts E&M levels), so this equals the check on the seeded codes.
-        F.max(F.col("_code0").isin("80053", "85025").cast("int")).over(by_enc).alias("enc_has_panel"),
+        "enc_has_facility", "enc_has_panel",
         F.col("_code0").alias("_code0"),
     )
 

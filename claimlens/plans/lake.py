@@ -9,12 +9,14 @@ Money is integer cents inside, DOUBLE at output.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.functions.draws import draw, weighted_category
 from claimlens.functions.money import round_div, scale, to_double
 from claimlens.functions.sampling import select_by_hash_quota
+from claimlens.operators.numbering import exchange_by_encounter
+from claimlens.operators.shape import LINE_ORDER
 from claimlens.sources.catalogs import cents
 from claimlens.sources.tables import read_table
 
@@ -131,10 +133,9 @@ def lake_lines_base(spark: SparkSession, sf_dir: str, header: DataFrame) -> Data
     """Lines priced with the fee schedule (P07) and member cost share."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                                 "l_extendedprice", "l_discount", "l_shipdate"])
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-                                                 "l_extendedprice", "l_quantity", "l_discount")
     d = li.join(header.drop("fraud_type"), F.col("l_orderkey") == F.col("claim_id"))
-    d = d.withColumn("line_num", F.row_number().over(w).cast("int"))
+    claims = exchange_by_encounter(d, li.select("l_orderkey", *LINE_ORDER[:2]), "l_orderkey", LINE_ORDER)
+    d = claims.drop_parts(claims.lines.withColumn("line_num", claims.line_number()))
     lk = F.concat_ws("|", F.col("claim_id").cast("string"), F.col("line_num").cast("string"))
     d = d.withColumn("_lk", lk)
     noise = F.lit(80) + F.round(F.col("l_discount") * 100).cast("int") * 4
@@ -309,8 +310,17 @@ def build_lake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def write_lake(tables: dict[str, DataFrame], path: str) -> None:
-    """Hive-partitioned by (year, month), snappy; appends never delete existing partitions."""
+def write_lake(tables: dict[str, DataFrame], path: str, replace_months: bool = False) -> None:
+    """Hive-partitioned by (year, month), snappy.
+
+    By default rows are appended, as the reference does.  With ``replace_months`` a month that the tables hold replaces
+    what was written for it (dynamic partition overwrite) and other months stay, so a job that is run again, or whose
+    input was mended, leaves every row once.
+    """
     for name in ("header", "lines", "dx", "labels"):
-        (tables[name].write.mode("append").option("compression", "snappy")
-         .partitionBy("year", "month").parquet(f"{path}/{name}"))
+        writer = tables[name].write.option("compression", "snappy").partitionBy("year", "month")
+        if replace_months:
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        else:
+            writer = writer.mode("append")
+        writer.parquet(f"{path}/{name}")

@@ -568,6 +568,8 @@ def all_queries() -> dict[str, Query]:
                              "append_fixed_rate": append_fixed_rate_q,
                              "rules_fd_appended": rules_fd_appended_q, "feature_vector_appended": feature_vector_appended_q,
                              "contract_reprice": contract_reprice_q}
+    from claimlens.plans.extra import extra_queries
+    out.update(extra_queries())
     out.update({name: _projection(cols) for name, cols in LINE_PROJECTIONS.items()})
     out.update({name: _summary(fn) for name, fn in SUMMARIES.items()})
     return out

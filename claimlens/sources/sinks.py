@@ -39,6 +39,18 @@ def chunk_manifest(df: DataFrame, chunk_size: int) -> DataFrame:
                     F.lit("parquet").alias("format"), "rows", "min_service_date", "max_service_date")
 
 
+def file_manifest(lines: DataFrame) -> DataFrame:
+    """K08 of files as they are: one row per file of a written line table, for lines read with a ``file`` column.
+
+    Chunk number (from the directory), file name, format, rows, first and last service date.
+    """
+    name = F.element_at(F.split("file", "/"), -1)
+    g = lines.groupBy("file").agg(F.count(F.lit(1)).alias("row_count"), F.min("service_date").alias("min_service_date"),
+                                  F.max("service_date").alias("max_service_date"))
+    return g.select(F.regexp_extract("file", "/chunk_id=([0-9]+)/", 1).cast("bigint").alias("chunk_number"), name.alias("file_name"),
+                    F.element_at(F.split(name, "[.]"), -1).alias("format"), "row_count", "min_service_date", "max_service_date")
+
+
 def sample_per_chunk(df: DataFrame, chunk_size: int, per_chunk: int, total: int, key: str = "line_id",
                      salt: str = "sample") -> DataFrame:
     """At most ``per_chunk`` rows of each chunk, then at most ``total`` of those, by smallest hash.

@@ -7,6 +7,8 @@ pruned; filters written downstream are pushed into the scan by Catalyst.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -30,9 +32,12 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def read_lines(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read every chunk file of a line table as one DataFrame."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+def read_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None, file_column: str | None = None) -> DataFrame:
+    """Every chunk file of a written line table as one DataFrame, under a declared schema.
+
+    A column that a file lacks (an earlier profile wrote it) is null; columns that the schema does not name are not
+    read; no file is opened to infer types.  ``file_column``: a column for the file that each row came from.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
+    return df if file_column is None else df.withColumn(file_column, F.col("_metadata.file_path"))

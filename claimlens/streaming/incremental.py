@@ -5,15 +5,19 @@ aggregates are computed per chunk and merged by key; every merge is a sum or a
 max, so the result does not depend on the order or grouping of chunks, and a
 re-run of one chunk's micro-batch is idempotent when its partial is replaced.
 
-I05 runs the same rollup as a Structured Streaming query over chunk files as
-they arrive: each micro-batch appends its partials to a parquet table in the
-shared checkpoint folder (``foreachBatch``), and the final totals are one
-aggregate over that table.  Nothing is collected to the driver.
+I05 runs the rollups as Structured Streaming queries over chunk files as they
+arrive.  The provider rollup writes each micro-batch's partials into a directory
+of its own (``foreachBatch``, overwritten when the batch is replayed), and its
+totals are one aggregate over them.  The rollups by type (I02-I04) have few keys:
+they are stateful aggregates, kept in the query's state store and written in
+whole after each batch (complete mode).  Both go on from the checkpoint after a
+restart.  Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,3 +105,47 @@ def stream_provider_rollup(spark: SparkSession, lines: DataFrame, chunk_size: in
               .trigger(availableNow=True).start())
     stream.awaitTermination()
     return merge_provider_partials(spark.read.parquet(partials_path))
+
+
+# Running totals by few keys: what the state store holds, and what is reported from it.
+def counts_state(df: DataFrame, key: str = "fraud_type") -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+
+
+def confusion_state(df: DataFrame, label: str = "fraud_label", pred: str = "flagged_for_review") -> DataFrame:
+    y, p = F.col(label) == 1, F.col(pred) == 1
+    return df.groupBy().agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
+                            F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"))
+
+
+def detection_state(df: DataFrame) -> DataFrame:
+    return df.groupBy("fraud_type").agg(F.count(F.lit(1)).alias("n"), F.sum("flagged_for_review").alias("caught"),
+                                        F.sum("rule_score").alias("score_sum"))
+
+
+def detection_report(state: DataFrame) -> DataFrame:
+    """The mean score and the recall, taken once from the running sums."""
+    return state.select("fraud_type", "n", "caught", (F.col("score_sum").cast("double") / F.col("n")).alias("avg_rule_score"),
+                        (F.col("caught") / F.col("n")).alias("recall"))
+
+
+def stream_totals(spark: SparkSession, source: str, folder: str, state: Callable[[DataFrame], DataFrame],
+                  files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """I05 for I02-I04: totals over all chunk files in ``source``, going on from what ``folder`` holds.
+
+    ``folder`` keeps the checkpoint with the state store, and the totals after each batch in a directory of its own
+    (a replayed batch replaces it).  Returns the totals after the last batch.
+    """
+    schema = spark.read.parquet(source).schema
+    totals = f"{folder}/totals"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{totals}/batch_id={batch_id}")
+
+    stream = (state(spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source))
+              .writeStream.outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", f"{folder}/checkpoint")
+              .trigger(availableNow=True).start())
+    stream.awaitTermination()
+    written = spark.read.parquet(totals)
+    last = written.agg(F.max("batch_id")).first()[0]
+    return written.where(F.col("batch_id") == last).drop("batch_id")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from claimlens.plans.queries import LINE_PROJECTIONS
+from oracle.extra_sql import extra_sql
 from oracle.lake_sql import lake_sql
 from oracle.profiles_sql import append_fixed_rate_sql, appended_sql, profile_sql
 from oracle.summaries_sql import SUMMARY_SQL
 from oracle.v3_sql import v3_over, v3_select
-from oracle.v6_sql import V6_OUT, scored_ctes, shaped_ctes, v6_lines_select, with_lines
+from oracle.v6_sql import V6_OUT, shaped_ctes, v6_lines_select, with_lines
 
 DUCK_TYPES = dict(V6_OUT)
 
@@ -69,5 +70,5 @@ FROM lines WHERE flagged_for_review = 1"""),
     out["append_fixed_rate"] = append_fixed_rate_sql()
     out.update(appended_sql())
     out.update({name: with_lines(sql) for name, sql in SUMMARY_SQL.items()})
-    _ = scored_ctes
+    out.update(extra_sql())
     return out
