@@ -150,7 +150,9 @@ class PieceTokenizer:
         self.library = Tokenizer.from_str(vocabulary.decode())
         self.spaced = spaced
         letters = _byte_letters()
-        spelled = {i: "".join(letters[b] for b in chr(i).encode()) for i in (*range(0x80), *range(0xC0, 0x250))}
+        plain = [chr(i) for i in (*range(0x80), *range(0xC0, 0x250))]
+        # lower-casing leads out of that range for some letters
+        spelled = {ord(c): "".join(letters[b] for b in c.encode()) for p in plain for c in (p, *p.lower())}
         merge = self.library.model.tokenize
 
         def encode(pieces: list[str]) -> list[list[int]]:
