@@ -18,7 +18,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -124,11 +123,12 @@ def pack(df: DataFrame, id_col: str, text_col: str, vocabulary: bytes, spaced: b
 
     staged = stage_table(df.select(id_col, text_col).mapInArrow(run, schema), "packing")
     names = [f.name for f in fields]
+    merged = arrow_schema(T.StructType(fields))
 
-    def merge(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values(["lane", "sequence_id", "offset"], kind="stable")
-        docs, starts, totals = left[id_col].tolist(), left["start"].tolist(), left["doc_tokens"].tolist()
-        data = [np.frombuffer(x, "<u4") for x in left["ids"]]
+    def merge(key: tuple, left: pa.Table) -> pa.Table:
+        left = left.sort_by([("lane", "ascending"), ("sequence_id", "ascending"), ("offset", "ascending")])
+        docs, starts, totals = (left[c].to_pylist() for c in (id_col, "start", "doc_tokens"))
+        data = [np.frombuffer(x, "<u4") for x in left["ids"].to_pylist()]
         rest = sum(map(len, data))
         sizes = [capacity] * (rest // capacity) + power_cuts(rest % capacity)
         rows: list[list] = [[] for _ in fields]
@@ -142,9 +142,9 @@ def pack(df: DataFrame, id_col: str, text_col: str, vocabulary: bytes, spaced: b
                 used += take
                 if used == len(data[piece]):
                     piece, used = piece + 1, 0
-            _columns(window, ((1 << 30) + int(key[0]) << 32) + k, keep_ids, rows)
-        return pd.DataFrame({n: pd.Series(v, dtype=object if n in (id_col, "ids") else "int64") for n, v in zip(names, rows)})
+            _columns(window, ((1 << 30) + key[0].as_py() << 32) + k, keep_ids, rows)
+        return pa.table([pa.array(v, target.field(n).type) for n, v in zip(names, rows)], schema=merged)
 
     leftovers = (staged.where("open").withColumn("_group", F.floor(F.col("lane") / merge_lanes))
-                 .groupBy("_group").applyInPandas(merge, T.StructType(fields)))
+                 .groupBy("_group").applyInArrow(merge, T.StructType(fields)))
     return staged.where("not open").select(*names).unionByName(leftovers)
