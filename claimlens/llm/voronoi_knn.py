@@ -6,13 +6,15 @@ distances to pivots bound them:
 
 * candidates and queries go to the cell of their nearest pivot (a bounded sample gives the pivots);
 * summaries: for each cell, its count and range of distances, the k + 1 nearest distinct ids with their least distances to
-  the pivot, and the largest distance of its queries.  From these each query group gets a bound on the distance of its k-th neighbour,
-  and for each candidate cell the range of distances to that pivot in which a neighbour can lie;
-* a query group is sent only to the cells whose range it meets, and there it meets only candidates in its range; a cell's
-  candidates are sent only where some group's range holds them, once to each block of that cell's queries; cells are cut
-  into blocks of about ``block_rows`` by a hash of the row's number (so equal rows spread, too), their queries into blocks
-  of about ``block_queries``;
-* each block is solved with one matrix product and gives at most k rows a query, merged by a ranking.
+  the pivot, and the largest distance of its queries.  From these each query, by its own distance to its pivot, gets a
+  bound on the distance of its k-th neighbour, and for each candidate cell the range of distances to that pivot in which
+  a neighbour can lie;
+* a query is sent only to the cells whose range it meets; there its distance to the cell's pivot is known, and it meets
+  only candidates whose own distance differs from that by its bound at most; a cell's candidates are sent only where some
+  group's range holds them, once to each block of that cell's queries; cells are cut into blocks of about ``block_rows``
+  by a hash of the row's number (so equal rows spread, too), their queries into blocks of about ``block_queries``;
+* each block is solved with matrix products (exact: doubles while these have no rounding, then longs, then Python's
+  integers) and gives at most k rows a query, merged by a ranking.  A score beyond a long is an error.
 
 Vectors that are null or hold null or non-finite components take no part, nor do rows with a null id.  Shorter vectors
 are filled with zeros.  Rows with a query's id are no candidates for it; queries with equal ids are one query (the least
@@ -51,18 +53,24 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
 
 
 def group_bounds(between: np.ndarray, nearest: dict[int, list[tuple[int, float]]], reach: dict[int, float], k: int,
-                 slack: float) -> list[tuple[int, int, float, float]]:
-    """(query cell, candidate cell, least, greatest distance to the pivot at which a neighbour can lie)."""
+                 slack: float) -> list[tuple[int, int, float, float, float, float]]:
+    """(query cell, candidate cell, least, greatest, apart, bound) for every pair of cells.
+
+    A query ``q`` away from its pivot has its k nearest within ``q + bound``, and its distance to the other pivot is
+    within ``q`` of ``apart``; least and greatest are the distances to that pivot at which any query of the cell can
+    have a neighbour.
+    """
     out = []
     for i, far in reach.items():
-        least: dict[int, float] = {}                              # of each id over all cells
+        near: dict[int, float] = {}                               # of each id over all cells
         for j, some in nearest.items():
             for id_, d in some:
-                least[id_] = min(least.get(id_, math.inf), far + between[i, j] + d)
-        upper = sorted(least.values())
+                near[id_] = min(near.get(id_, math.inf), between[i, j] + d)
+        upper = sorted(near.values())
         bound = upper[k] if len(upper) > k else math.inf          # one of the k + 1 ids may be the query's own
         for j in nearest:
-            out.append((i, j, float(between[i, j] - far - bound - slack), float(between[i, j] + far + bound + slack)))
+            apart, wide = float(between[i, j]), float(2 * far + bound + slack)
+            out.append((i, j, apart - wide, apart + wide, apart, float(bound + slack)))
     return out
 
 
@@ -83,21 +91,24 @@ def top_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int = 5, scale: int = 256,
-          pivots: int = 32, sample_rows: int = 512, block_rows: int = 8192, block_queries: int = 4096) -> DataFrame:
-    """query_id, rank (from 1), vec_id and score of each query's k highest inner products."""
+          pivots: int | None = None, block_rows: int = 8192, block_queries: int = 4096) -> DataFrame:
+    """query_id, rank (from 1), vec_id and score of each query's k highest inner products.
+
+    ``pivots``: a quarter of the root of the number of rows, 32 at least and 512 at most, if not given; they are taken
+    from 16 rows each.
+    """
     spark = df.sparkSession
     ship_package(spark)
     usable = df.where(F.col(id_col).isNotNull() & _usable(F.col(vector_col)))
     rows = stage_table(usable.select(F.col(id_col).cast("long").alias("id"), _quantised(F.col(vector_col), scale).alias("v"),
                                      is_query.alias("q"), F.monotonically_increasing_id().alias("row")), "vectors")
-    squared = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    n, most, width, largest = rows.agg(F.count("*"), F.max(squared), F.max(F.size("v")), F.max(F.expr(
-        "array_max(transform(v, x -> abs(x)))"))).first()
+    squared = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))   # longs would overflow
+    n, most, width = rows.agg(F.count("*"), F.max(squared), F.max(F.size("v"))).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not n:
         return empty
     width = max(1, width)
-    exact = width * float(largest or 0) ** 2 < 2 ** 52            # then a product of doubles has no rounding
+    pivots = pivots or min(512, max(32, math.isqrt(n) // 4))
     padded = F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v")))
     rows = rows.withColumn("v", padded)
 
@@ -105,7 +116,7 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
         v = v.astype(float)
         return np.concatenate([v, np.sqrt(np.maximum(0.0, most - (v * v).sum(axis=1)))[:, None]], axis=1)
 
-    some = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toPandas()   # a bounded sample
+    some = rows.orderBy(F.xxhash64("id"), "id").limit(16 * pivots).select("v").toPandas()   # a bounded sample
     points = choose_pivots(lifted(np.array(some["v"].tolist())), pivots)
 
     def nearest(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,41 +156,55 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
     # what a cell's candidates must be sent to: its own meeting queries' blocks, and only those in some group's range
     asking: dict[int, int] = {}
     needed: dict[int, tuple[float, float]] = {}
-    for i, j, least, greatest in ranges:
+    for i, j, least, greatest, *_ in ranges:
         asking[j] = asking.get(j, 0) + reach[i][1]
         low, high = needed.get(j, (math.inf, -math.inf))
         needed[j] = min(low, least), max(high, greatest)
     blocks = {j: -(-sizes[j][0] // block_rows) for j in needed}
     q_blocks = {j: -(-n // block_queries) for j, n in asking.items()}
-    meet = spark.createDataFrame([(*b, blocks[b[1]], q_blocks[b[1]]) for b in ranges],
-                                 "q_cell int, cell int, least double, greatest double, blocks int, q_blocks int")
+    meet = spark.createDataFrame([(*b[:2], *b[4:], *sizes[b[1]][1:], blocks[b[1]], q_blocks[b[1]]) for b in ranges],
+                                 "q_cell int, cell int, apart double, bound double, first double, last double, blocks int, q_blocks int")
     cells = spark.createDataFrame([(j, blocks[j], q_blocks[j], *needed[j]) for j in needed],
                                   "cell int, blocks int, q_blocks int, low double, high double")
 
     # a candidate goes once to every block of its cell's queries, a query to every block of the cells that its group meets
     left = candidate_blocks(placed, cells)
-    right = (queries.join(F.broadcast(meet), "q_cell")
+    # for a query of its own: where a neighbour's distance to the cell's pivot can be
+    wide = 2 * F.col("q_away") + F.col("bound")
+    right = (queries.join(F.broadcast(meet), "q_cell").where((F.col("apart") - wide <= F.col("last")) & (F.col("apart") + wide >= F.col("first")))
              .select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                      F.pmod(F.xxhash64("asked", F.lit("query")), F.col("q_blocks")).cast("int").alias("q_block"),
-                     "asked", "vector", "q_cell", "least", "greatest"))
+                     "asked", "vector", (F.col("q_away") + F.col("bound")).alias("within")))
 
     def solve(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(candidates) and len(asked):
-            ids, away = candidates["id"].to_numpy(), candidates["away"].to_numpy()
-            kind = float if exact else np.int64
-            matrix = np.array(candidates["v"].tolist()).astype(kind)
-            for _, group in asked.groupby("q_cell"):
-                inside = np.flatnonzero((away >= group["least"].iloc[0]) & (away <= group["greatest"].iloc[0]))
-                for a in range(0, len(group), 256):
-                    part = group.iloc[a:a + 256]
-                    scores = (np.array(part["vector"].tolist()).astype(kind) @ matrix[inside].T).astype(np.int64)
-                    for q, s in zip(part["asked"], scores):
-                        other = np.flatnonzero(ids[inside] != q)
-                        top = other[top_rows(s[other], ids[inside][other], k)]
-                        out["query_id"] += [q] * len(top)
-                        out["vec_id"] += ids[inside][top].tolist()
-                        out["score"] += s[top].tolist()
+            order = np.argsort(candidates["away"].to_numpy(), kind="stable")
+            ids, away = candidates["id"].to_numpy()[order], candidates["away"].to_numpy()[order]
+            matrix, vectors = (np.array(x.tolist()) for x in (candidates["v"], asked["vector"]))
+            matrix = matrix[order]
+            # products of doubles have no rounding, longs no overflow, else Python's integers (a score beyond longs is an error)
+            largest = width * float(np.abs(matrix).max(initial=0)) * float(np.abs(vectors).max(initial=0))
+            kind = float if largest < 2 ** 52 else np.int64 if largest < 2 ** 62 else object
+            matrix = matrix.astype(kind)
+            # a neighbour's distance to the pivot differs from the query's by their distance at most
+            point = points[candidates["cell"].iloc[0]]
+            to_pivot = np.sqrt(((vectors - point[:-1]) ** 2).sum(axis=1) + point[-1] ** 2)
+            within = asked["within"].to_numpy()
+            starts = np.searchsorted(away, to_pivot - within, side="left")
+            ends = np.searchsorted(away, to_pivot + within, side="right")
+            turn = np.argsort(starts, kind="stable")
+            for a in range(0, len(turn), 256):
+                part = turn[a:a + 256]
+                low, high = int(starts[part].min()), int(ends[part].max())
+                scores = (vectors[part].astype(kind) @ matrix[low:high].T).astype(np.int64)
+                for n, row in zip(part, scores):
+                    own = np.arange(starts[n], ends[n])
+                    own = own[ids[own] != asked["asked"].iloc[n]]
+                    top = own[top_rows(row[own - low], ids[own], k)]
+                    out["query_id"] += [int(asked["asked"].iloc[n])] * len(top)
+                    out["vec_id"] += ids[top].tolist()
+                    out["score"] += row[top - low].tolist()
         return pd.DataFrame(out, dtype="int64")
 
     keys = ["cell", "block", "q_block"]
