@@ -145,6 +145,14 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return best[1]
 
 
+def usual_score(scaled: np.ndarray, share: float = 0.01) -> float:
+    """What the best language's probability reaches for all but a share of the calibration rows; an even share without rows."""
+    if not len(scaled):
+        return 1 / scaled.shape[1]
+    p = np.exp(scaled - scaled.max(axis=1, keepdims=True))
+    return float(np.quantile(p.max(axis=1) / p.sum(axis=1), share))
+
+
 def _values(found: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Features and values of one text: relative frequency times inverse document frequency, and a constant."""
     at, counts = np.unique(found, return_counts=True)
@@ -188,15 +196,17 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_lan
         held = np.arange(len(rows)) % 5 == 4
         w = follow_the_leader([r for r, h in zip(rows, held) if not h], labels[~held], len(langs))
         logits = np.array([x @ w[at] for (at, x), h in zip(rows, held) if h]).reshape(-1, len(langs))
-        return pd.DataFrame({"w": [w.astype("<f4").tobytes()], "scale": [temperature(logits, labels[held])]})
+        scale = temperature(logits, labels[held])
+        return pd.DataFrame({"w": [w.astype("<f4").tobytes()], "scale": [scale], "usual": [usual_score(logits * scale)]})
 
     sample = chosen.select(text_col, F.col(lang_col).cast("string")).mapInArrow(features, "lang string, at binary, x binary")
     # at most rows_per_language rows a language: one task
-    model = sample.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(train, "w binary, scale double").first()
+    model = sample.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(train, "w binary, scale double, usual double").first()
     if model is None:
         return None
     w = np.frombuffer(model["w"], "<f4").reshape(FEATURES + 1, len(langs))
-    return {"langs": langs, "w": w[:-1] * (100.0 * idf[:, None]), "bias": w[-1].astype(float), "scale": model["scale"]}
+    return {"langs": langs, "w": w[:-1] * (100.0 * idf[:, None]), "bias": w[-1].astype(float), "scale": model["scale"],
+            "usual": model["usual"]}
 
 
 def predict(df: DataFrame, text_col: str, model: dict | None) -> DataFrame:
