@@ -1,17 +1,23 @@
 """Language-model scoring with a hashed maximum-entropy model and a class-factored softmax.
 
-Tokens are the words of a text, lower-cased (A-Z), and one end.  The FREQUENT most frequent training words have a
-bucket each, all others share ``TAILS`` buckets by a hash; buckets are dealt to CLASSES classes of MEMBERS members.
+Tokens are the words of a text, lower-cased (A-Z), and one end.  The most frequent training words (an exact top of the
+counts) have a bucket each, all others share a quarter as many by a hash; buckets are dealt to classes, as many classes as
+members of one.
 
     P(word | context) = P(class | context) P(member | class, context) P(word | bucket)
 
 The first two are softmaxes over weights of hashed features: the word before, the word before that (a skip), the pair of
-them, and a constant; the member's also knows the class.  The third is the add-one share of the word in a shared bucket
-(one unseen word included), so the probabilities of all words sum to one.
+them, and a constant; the member's also knows the class.  Features are hashed from the words themselves, so that n-grams
+of all words are learned, whatever their bucket.  The third is the add-one share of the word in a shared bucket (one
+unseen word included), so the probabilities of all words sum to one.
+
+Sizes follow the counted vocabulary (:func:`sizes_for`): buckets and feature slots grow with the root of the number of
+distinct training words; a parameter bounds the weights that a worker holds.
 
 Training: each of ``rounds`` rounds takes its share of the training rows; every task starts from the model so far, makes
-Adagrad updates on sparse batches, and returns the change of its weights; the changes are averaged by tokens in two
-steps.  Counts cover all training rows.  Scoring needs the counts of all words: those of the ``known_words`` most
+Adagrad updates on sparse batches, and returns the changes of its weights with how often each feature slot was met; Spark
+sums them by blocks of slots in two steps, each slot's change weighted by its tokens, so that a slot that few tasks met
+learns as fast as others.  Counts cover all training rows.  Scoring needs the counts of all words: those of the ``known_words`` most
 frequent ones are broadcast (a documented bound), the rest meet the counts in a join on the word; rare words cannot be
 hot keys.
 
@@ -21,8 +27,10 @@ are taken as they come (repeated rows are scored each); other columns are ignore
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -33,15 +41,45 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import LOWER, SPACE, arrow_schema, row_slices, run_sums, ship_package, stage_table, text_bytes, texts_of, word_spans
 
-CLASSES, MEMBERS = 32, 32
-FREQUENT = 24 * CLASSES                                           # buckets of one word
-TAILS = CLASSES * MEMBERS - FREQUENT                              # buckets that words share
-BUCKETS = CLASSES * MEMBERS
-FEATURES = 1 << 13
 _TOKENS_AT_ONCE = 32768
 _SLICE = 8 << 20
 
 
+class Sizes(NamedTuple):
+    """``side`` classes of ``side`` members; 2 ** ``bits`` feature slots."""
+
+    side: int
+    bits: int
+
+    @property
+    def buckets(self) -> int:
+        return self.side ** 2
+
+    @property
+    def frequent(self) -> int:                                    # buckets of one word
+        return self.side ** 2 * 3 // 4
+
+    @property
+    def tails(self) -> int:                                       # buckets that words share
+        return self.side ** 2 - self.frequent
+
+    @property
+    def features(self) -> int:
+        return 1 << self.bits
+
+
+def sizes_for(distinct: int, most_weights: int = 1 << 26) -> Sizes:
+    """Sizes for a vocabulary: buckets and slots in proportion to its root, in powers of two.
+
+    ``most_weights``: what a worker holds at most (a parameter; slots are halved until they fit).
+    """
+    words = math.log2(max(16, distinct))
+    side, bits = 1 << int((words + 2) // 4), math.ceil(words / 2) + 4
+    while bits > 8 and 2 * side << bits > most_weights:
+        bits -= 1
+    return Sizes(side, bits)
+
+
 def slice_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(number of each word, the distinct words, words before each text) of lower-cased texts."""
     flat, offsets = text_bytes(texts)
@@ -69,70 +107,67 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame, most: int) -> list:
-    """The rows of counts at or above the least level of n that at most ``most`` words reach, most frequent first.
-
-    Levels are sixteenths of a power of two, so the table of words by level is small whatever the corpus.
-    """
-    level = F.floor(16 * F.log2("n")).cast("int")
-    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
-    least, taken = None, 0
-    for at, words in sizes:
-        if taken + words > most:
-            break
-        least, taken = at, taken + words
-    if least is None:
-        return []
-    return sorted(counts.where(level >= least).collect(), key=lambda r: (-r["n"], r["word"]))
+    """The ``most`` rows of counts with the greatest n (ties by word), greatest first."""
+    return counts.orderBy(F.desc("n"), "word").limit(most).collect()
 
 
 class Buckets:
     """Buckets and counts of words by the broadcast list of frequent words."""
 
-    def __init__(self, words: list[str], counts: list[int], tail_share: np.ndarray):
+    def __init__(self, sizes: Sizes, words: list[str], counts: list[int], tail_share: np.ndarray):
+        self.sizes = sizes
         self.words, self.counts = pa.array(words, pa.string()), np.append(np.array(counts, np.int64), 0)
         self.tail_share = tail_share                              # log10 of a shared bucket's tokens + words + 1
-        rank = np.arange(FREQUENT)
-        self.of_rank = (rank % CLASSES) * MEMBERS + rank // CLASSES
+        rank = np.arange(sizes.frequent)
+        self.of_rank = (rank % sizes.side) * sizes.side + rank // sizes.side
         self.end = self(pa.array([""]))
 
-    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(bucket, rank or -1, log10 of the shared bucket's size) of each word."""
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bucket, rank or -1, log10 of the shared bucket's size, 32-bit hash) of each word."""
+        side, frequent = self.sizes.side, self.sizes.frequent
         rank = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        tail = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words)) % TAILS
-        own = (rank >= 0) & (rank < FREQUENT)
-        bucket = np.where(own, self.of_rank[np.where(own, rank, 0)],
-                          tail % CLASSES * MEMBERS + FREQUENT // CLASSES + tail // CLASSES)
-        return bucket, rank, np.where(own, 0.0, self.tail_share[tail])
+        identity = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words))
+        tail = identity % self.sizes.tails
+        own = (rank >= 0) & (rank < frequent)
+        bucket = np.where(own, self.of_rank[np.where(own, rank, 0)], tail % side * side + frequent // side + tail // side)
+        return bucket, rank, np.where(own, 0.0, self.tail_share[tail]), identity
 
 
-def contexts(buckets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets one and two places before each token; BUCKETS before a text's first."""
-    one = np.full(len(buckets), BUCKETS, np.int64)
-    one[1:] = buckets[:-1]
+def contexts(identities: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words (by hash) one and two places before each token; -1 before a text's first."""
+    one = np.full(len(identities), -1, np.int64)
+    one[1:] = identities[:-1]
     starts = bounds[:-1]                                          # every text has a token, its end
-    one[starts] = BUCKETS
-    two = np.full(len(buckets), BUCKETS, np.int64)
+    one[starts] = -1
+    two = np.full(len(identities), -1, np.int64)
     two[1:] = one[:-1]
-    two[starts] = BUCKETS
+    two[starts] = -1
     return one, two
 
 
-def _hashed(kind: int, a: np.ndarray, b: np.ndarray | int = 0) -> np.ndarray:
+def _hashed(bits: int, kind: int, a: np.ndarray, b: np.ndarray | int = 0) -> np.ndarray:
     h = a.astype(np.uint32) * np.uint32(0x9E3779B1) + np.asarray(b).astype(np.uint32) * np.uint32(0x85EBCA77)
     h += np.uint32(kind * 0x27D4EB2F & 0xFFFFFFFF)
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
-    return (h >> np.uint32(32 - 13)).astype(np.int64)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0x297A2D39)
+    return (h >> np.uint32(32 - bits)).astype(np.int64)
 
 
 class Model:
-    """Weights of classes (FEATURES + 1 columns) and members (FEATURES + CLASSES columns), one row for each outcome."""
+    """Weights of classes (features + 1 columns) and members (features + classes columns), one row for each outcome.
+
+    ``met`` counts how often each column was trained.
+    """
 
-    def __init__(self, flat: np.ndarray | None = None):
-        n = CLASSES * (FEATURES + 1)
-        self.flat = np.zeros(n + MEMBERS * (FEATURES + CLASSES), np.float32) if flat is None else flat.copy()
-        self.of_class = self.flat[:n].reshape(CLASSES, FEATURES + 1)
-        self.of_member = self.flat[n:].reshape(MEMBERS, FEATURES + CLASSES)
+    def __init__(self, sizes: Sizes, flat: np.ndarray | None = None):
+        side, features = sizes.side, sizes.features
+        self.sizes, n = sizes, side * (features + 1)
+        self.flat = np.zeros(n + side * (features + side), np.float32) if flat is None else flat.copy()
+        self.of_class = self.flat[:n].reshape(side, features + 1)
+        self.of_member = self.flat[n:].reshape(side, features + side)
+        self.met = np.zeros(features + 1, np.int64), np.zeros(features + side, np.int64)
 
     def _forward(self, table: np.ndarray, features: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log probability of the target, probabilities of all outcomes by row) of each token."""
@@ -146,16 +181,16 @@ class Model:
         return right - np.log(total), np.divide(logits, total, out=logits)
 
     def _features(self, cls: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        constant = np.full(len(cls), FEATURES)
-        return ([_hashed(1, one), _hashed(2, two), _hashed(3, one, two), constant],
-                [_hashed(4, one, cls), FEATURES + cls])
+        bits, features = self.sizes.bits, self.sizes.features
+        return ([_hashed(bits, 1, one), _hashed(bits, 2, two), _hashed(bits, 3, one, two), np.full(len(cls), features)],
+                [_hashed(bits, 4, one, cls), features + cls])
 
     def log_probabilities(self, buckets: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural log of P(class) P(member) of each token."""
         out = np.empty(len(buckets))
         for a in range(0, len(buckets), _TOKENS_AT_ONCE):
             some = slice(a, a + _TOKENS_AT_ONCE)
-            cls, member = np.divmod(buckets[some], MEMBERS)
+            cls, member = np.divmod(buckets[some], self.sizes.side)
             by_class, by_member = self._features(cls, one[some], two[some])
             out[some] = self._forward(self.of_class, by_class, cls)[0]
             out[some] += self._forward(self.of_member, by_member, member)[0]
@@ -165,10 +200,12 @@ class Model:
         """Adagrad updates, one for each batch of tokens; ``squares`` holds the sums of squared gradients."""
         for a in range(0, len(buckets), _TOKENS_AT_ONCE):
             some = slice(a, a + _TOKENS_AT_ONCE)
-            cls, member = np.divmod(buckets[some], MEMBERS)
+            cls, member = np.divmod(buckets[some], self.sizes.side)
             by_class, by_member = self._features(cls, one[some], two[some])
-            for table, sums, features, target in ((self.of_class, squares.of_class, by_class, cls),
-                                                  (self.of_member, squares.of_member, by_member, member)):
+            for table, sums, met, features, target in ((self.of_class, squares.of_class, self.met[0], by_class, cls),
+                                                       (self.of_member, squares.of_member, self.met[1], by_member, member)):
+                for f in features:
+                    met += np.bincount(f, minlength=len(met))
                 _, p = self._forward(table, features, target)
                 p[target, np.arange(len(target))] -= 1
                 for outcome, wrong in enumerate(p):
@@ -180,51 +217,61 @@ class Model:
                     table[outcome] -= rate * slope / np.sqrt(sums[outcome] + 1.0)
 
 
-def _tokens(texts: pa.Array, buckets: Buckets) -> tuple[np.ndarray, np.ndarray, tuple, np.ndarray, np.ndarray]:
-    """(word numbers, words before each text, figures of the distinct words, buckets with ends, tokens before each text)."""
+def _tokens(texts: pa.Array, buckets: Buckets) -> tuple[np.ndarray, np.ndarray, tuple, tuple, np.ndarray]:
+    """(word numbers, words before each text, figures of the distinct words, buckets and contexts with ends, tokens before each text)."""
     codes, words, bounds = slice_words(texts)
     figures = buckets(words)
-    stream = np.insert(figures[0][codes], bounds[1:], buckets.end[0][0])
-    return codes, bounds, (words, *figures), stream, bounds + np.arange(len(bounds))
+    stream, identities = (np.insert(figures[k][codes], bounds[1:], buckets.end[k][0]) for k in (0, 3))
+    at = bounds + np.arange(len(bounds))
+    return codes, bounds, (words, *figures), (stream, *contexts(identities, at)), at
 
 
-def train(docs: DataFrame, text_col: str, share: Column, rounds: int, buckets, rate: float = 0.3, blocks: int = 32) -> Model:
+def train(docs: DataFrame, text_col: str, share: Column, rounds: int, sizes: Sizes, buckets, rate: float = 0.3,
+          blocks: int = 32) -> Model:
     """The model after ``rounds`` rounds over the rows with share 0, 1, ...; ``buckets`` is a broadcast of Buckets' arguments."""
     spark = docs.sparkSession
-    model = Model()
+    model = Model(sizes)
     for k in range(rounds):
-        start = spark.sparkContext.broadcast(model.flat)          # a fixed number of weights
+        start = spark.sparkContext.broadcast(model.flat)          # bounded by sizes_for
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lookup, own, squares, tokens = Buckets(*buckets.value), Model(start.value), Model(), 0
+            lookup, own, squares, tokens = Buckets(*buckets.value), Model(sizes, start.value), Model(sizes), 0
             for batch in batches:
                 texts = texts_of(batch.column(0))
                 for first, n in row_slices(texts, _SLICE):
-                    _, _, _, stream, bounds = _tokens(texts.slice(first, n), lookup)
-                    own.train(squares, stream, *contexts(stream, bounds), rate)
-                    tokens += len(stream)
+                    _, _, _, stream, _ = _tokens(texts.slice(first, n), lookup)
+                    own.train(squares, *stream, rate)
+                    tokens += len(stream[0])
             if tokens:
-                parts = np.array_split((own.flat - start.value) * tokens, blocks)
-                lane = TaskContext.get().partitionId() % 64
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(blocks, dtype=np.int32)), pa.array(np.full(blocks, lane, np.int32)),
-                    pa.array(np.full(blocks, tokens, np.int64)), pa.array([p.astype("<f4").tobytes() for p in parts], pa.binary())],
-                    names=["block", "lane", "tokens", "change"])
+                # each table by blocks of its columns: how often these were met, and their changes
+                before, lane = Model(sizes, start.value), TaskContext.get().partitionId() % 64
+                for table, (new, old, met) in enumerate(((own.of_class, before.of_class, own.met[0]),
+                                                         (own.of_member, before.of_member, own.met[1]))):
+                    changes, counts = np.array_split(new - old, blocks, axis=1), np.array_split(met, blocks)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.arange(blocks, dtype=np.int32) + table * blocks), pa.array(np.full(blocks, lane, np.int32)),
+                        pa.array([c.astype("<f4").tobytes() for c in counts], pa.binary()),
+                        pa.array([c.astype("<f2").tobytes() for c in changes], pa.binary())], names=["block", "lane", "met", "change"])
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(len(pdf["change"].iloc[0]) // 4)
-            for x in pdf["change"]:
-                total += np.frombuffer(x, "<f4")
+            met, change = 0.0, 0.0
+            for m, c in zip(pdf["met"], pdf["change"]):
+                m = np.frombuffer(m, "<f4").astype(np.float64)
+                change = change + np.frombuffer(c, "<f2").astype(np.float64).reshape(-1, len(m)) * m
+                met = met + m
+            mean = (change / np.maximum(1.0, met)).astype("<f2")
             return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "lane": np.zeros(1, np.int32),
-                                 "tokens": [int(pdf["tokens"].sum())], "change": [total.astype("<f4").tobytes()]})
+                                 "met": [met.astype("<f4").tobytes()], "change": [mean.tobytes()]})
 
-        schema = "block int, lane int, tokens long, change binary"
+        schema = "block int, lane int, met binary, change binary"
         sums = (docs.where(share == k).select(text_col).mapInArrow(run, schema)
                 .groupBy("block", "lane").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema))
-        found = sums.orderBy("block").collect()                   # `blocks` rows, the weights once
+        found = sums.orderBy("block").collect()                   # the weights once
         if found:
-            change = np.concatenate([np.frombuffer(r["change"], "<f4") / max(1, r["tokens"]) for r in found])
-            model = Model(model.flat + change.astype(np.float32))
+            parts = [np.frombuffer(r["change"], "<f2").astype(np.float32).reshape(sizes.side, -1) for r in found]
+            model = Model(sizes, model.flat)
+            model.of_class += np.concatenate(parts[:blocks], axis=1)
+            model.of_member += np.concatenate(parts[blocks:], axis=1)
     return model
 
 
@@ -235,16 +282,17 @@ def score(df: DataFrame, id_col: str, text_col: str, is_training: Column, rounds
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), is_training.alias("_training"))
     known = docs.where("_training")
     counts = stage_table(count_words(known, "_text"), "word-counts")
-    top = frequent_words(counts, known_words)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = [r["word"] for r in top[:FREQUENT]]
+    sizes = sizes_for(distinct)
+    top = frequent_words(counts, max(known_words, sizes.frequent))
+    frequent = [r["word"] for r in top[:sizes.frequent]]
     tails = (counts.join(F.broadcast(spark.createDataFrame([(w,) for w in frequent], "word string")), "word", "left_anti")
-             .groupBy((F.crc32(F.encode("word", "UTF-8")) % TAILS).alias("tail")).agg((F.sum("n") + F.count("*")).alias("size")))
-    sizes = np.ones(TAILS)
-    for r in tails.collect():                                     # TAILS rows
-        sizes[r["tail"]] += r["size"]
-    buckets = spark.sparkContext.broadcast(([r["word"] for r in top], [r["n"] for r in top], np.log10(sizes)))
-    model = train(known, "_text", F.pmod(F.xxhash64("_id", F.lit("round")), F.lit(rounds)), rounds, buckets)
+             .groupBy((F.crc32(F.encode("word", "UTF-8")) % sizes.tails).alias("tail")).agg((F.sum("n") + F.count("*")).alias("size")))
+    shared = np.ones(sizes.tails)
+    for r in tails.collect():                                     # as many rows as shared buckets
+        shared[r["tail"]] += r["size"]
+    buckets = spark.sparkContext.broadcast((sizes, [r["word"] for r in top], [r["n"] for r in top], np.log10(shared)))
+    model = train(known, "_text", F.pmod(F.xxhash64("_id", F.lit("round")), F.lit(rounds)), rounds, sizes, buckets)
     weights = spark.sparkContext.broadcast(model.flat)
 
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("_id", df.schema[id_col].dataType),
@@ -254,20 +302,20 @@ def score(df: DataFrame, id_col: str, text_col: str, is_training: Column, rounds
     target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, own = Buckets(*buckets.value), Model(weights.value)
+        lookup, own = Buckets(*buckets.value), Model(sizes, weights.value)
         row = TaskContext.get().partitionId() << 40
         log_counts, end = np.log10(lookup.counts + 1.0), lookup.end
         for batch in batches:
             texts = texts_of(batch.column(1))
             for first, n in row_slices(texts, _SLICE):
-                codes, bounds, (words, bucket, rank, tail), stream, at = _tokens(texts.slice(first, n), lookup)
-                modelled = run_sums(own.log_probabilities(stream, *contexts(stream, at)), at) / np.log(10) - end[2][0]
+                codes, bounds, (words, _, rank, tail, _), stream, at = _tokens(texts.slice(first, n), lookup)
+                modelled = run_sums(own.log_probabilities(*stream), at) / np.log(10) - end[2][0]
                 modelled -= run_sums(tail[codes], bounds)
                 counted = run_sums(log_counts[rank][codes], bounds) + log_counts[end[1][0]]
                 hits = run_sums((rank >= 0)[codes].astype(np.int64), bounds) + int(end[1][0] >= 0)
-                shared = ((rank < 0) | (rank >= FREQUENT))[codes]  # words in shared buckets have their counts, too
-                modelled += run_sums(np.where(shared, log_counts[rank][codes], 0.0), bounds)
-                if not 0 <= end[1][0] < FREQUENT:
+                in_tail = ((rank < 0) | (rank >= sizes.frequent))[codes]      # words in shared buckets have their counts, too
+                modelled += run_sums(np.where(in_tail, log_counts[rank][codes], 0.0), bounds)
+                if not 0 <= end[1][0] < sizes.frequent:
                     modelled += log_counts[end[1][0]]
                 rows = np.arange(row, row + n)
                 row += n

@@ -33,6 +33,22 @@ def test_ids_equal_the_tokenizers_library(name, spaced):
         assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:])] == want[first:first + 1500]
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_ids_of_every_letter(name, spaced):
+    """U+0080 to U+024F, and what these become in lower case, one by one, alone and inside a word."""
+    from tokenizers import Tokenizer
+    with open(vocabulary_file(name), "rb") as f:
+        ours = PieceTokenizer(f.read(), spaced)
+    library = Tokenizer.from_file(vocabulary_file(name))
+    letters = [chr(i) for i in range(0x80, 0x250)]
+    letters += sorted({c for x in letters for c in x.lower()} - set(letters))
+    texts = [t for c in letters for t in (c, f"wor{c}d {c}", f"{c}'s 1{c}")]
+    ids, before = ours.encode(pa.array(texts))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:])]
+    assert [t for t, x, y in zip(texts, got, want) if x != y] == []
+
+
 def test_piece_ids_equal_the_sentencepiece_library():
     import sentencepiece
     with open(vocabulary_file("piece_bpe_32k.model"), "rb") as f:
@@ -143,19 +159,27 @@ def test_token_file_round_trip_and_checksums():
 
 def test_model_probabilities_sum_to_one():
     r = np.random.default_rng(5)
-    stream = r.integers(0, maxent_lm.BUCKETS, 4000)
-    one, two = maxent_lm.contexts(stream, np.array([0, 1500, 4000]))
-    assert one[0] == one[1500] == two[1501] == maxent_lm.BUCKETS
-    model = maxent_lm.Model()
+    sizes = maxent_lm.sizes_for(70_000)
+    stream, identities = r.integers(0, sizes.buckets, 4000), r.integers(0, 1 << 32, 4000)
+    one, two = maxent_lm.contexts(identities, np.array([0, 1500, 4000]))
+    assert one[0] == one[1500] == two[1501] == -1 and one[1] == identities[0]
+    model = maxent_lm.Model(sizes)
     before = model.log_probabilities(stream, one, two).sum()
     for _ in range(3):
-        model.train(maxent_lm.Model(), stream, one, two, 0.3)
+        model.train(maxent_lm.Model(sizes), stream, one, two, 0.3)
     assert model.log_probabilities(stream, one, two).sum() > before
-    n = maxent_lm.BUCKETS
+    n = sizes.buckets
     p = np.exp(model.log_probabilities(np.arange(n), np.full(n, one[7]), np.full(n, two[7])))
     assert abs(p.sum() - 1) < 1e-4
 
 
+def test_sizes_follow_the_vocabulary():
+    sizes = [maxent_lm.sizes_for(10 ** k) for k in range(0, 10)]
+    assert all(a.buckets <= b.buckets and a.bits <= b.bits for a, b in zip(sizes, sizes[1:6]))
+    assert sizes[9].buckets > 30 * sizes[3].buckets and sizes[6].features > 16 * sizes[3].features
+    assert all(2 * s.side << s.bits <= 1 << 26 for s in sizes) and all(s.frequent + s.tails == s.buckets for s in sizes)
+
+
 def test_classifier_parts():
     found, before = quality_classifier.Indicators()(pa.array(["", "ab AB ab", "ab AB ab"]))
     assert before.tolist()[:2] == [0, 0] and found[before[1]:before[2]].tolist() == found[before[2]:].tolist()
