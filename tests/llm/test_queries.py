@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from claimlens.llm.common import vocabulary_file
 from claimlens.llm.queries import llm_queries
@@ -188,7 +189,7 @@ def test_quality_rules(spark, tiny, texts):
         want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, repeat)
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
         assert r["base_failed"] == (len(words) < 20 or 100 * repeat > 30 * len(words))
-        bad = r["base_failed"] or 10 * want[2] > len(words) or 10 * dup > 3 * len(lines) \
+        bad = r["base_failed"] or 10 * want[2] > len(words) or 10 * dup > 3 * sum(bool(words_of(x)) for x in lines) \
             or not 2 * len(words) <= want[1] <= 20 * len(words) \
             or 10 * sum(bool(re.search(r"[A-Za-z]|[^\x00-\x7f]", w)) for w in words) < 7 * len(words) \
             or 2 * sum(bool(re.search("[A-Z]", w)) and not re.search("[a-z]", w) for w in words) > len(words) \
@@ -368,7 +369,7 @@ def test_knn_bound_counts_an_id_once():
     from claimlens.llm.voronoi_knn import group_bounds
     between = np.array([[0.0, 10.0], [10.0, 0.0]])
     ranges = group_bounds(between, {0: [(7, 0.0)], 1: [(7, 0.5), (8, 1.0), (9, 2.0)]}, {0: 0.0}, 2, 0.0)
-    assert ranges == [(0, 0, -12.0, 12.0), (0, 1, -2.0, 22.0)]
+    assert [r[:4] for r in ranges] == [(0, 0, -12.0, 12.0), (0, 1, -2.0, 22.0)]
 
 
 def test_knn_blocks_of_equal_rows(spark, monkeypatch):
@@ -427,3 +428,49 @@ def test_quality_sample_with_a_hot_id(spark, labelled, hot):
     model = Q.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "doc_id", "text", "quality", max_rows=50)
     got = Q.score(docs.dropDuplicates(["doc_id"]), "text", model).collect()
     assert sum(r.predicted == r.doc_id % 2 for r in got) > 0.95 * len(got)
+
+
+def test_null_ids_beside_large_ones(spark, tmp_path):
+    """Null ids stay null and ids beyond 2 ** 53 keep their last digit in packing, sharding, token files and scoring."""
+    from claimlens.llm import language_id, maxent_lm, packing, sharding, token_files
+    big = [(1 << 53) + k for k in (1, 3, 5)] + [-(1 << 62) - 1]
+    rows = [(i, f"some words of text {k}", None) for k, i in enumerate([None, *big, None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(1)
+    want = Counter(i for i, _, _ in rows)
+    with open(vocabulary_file("byte_bpe_50k.json"), "rb") as f:
+        pieces = packing.pack(docs, "doc_id", "text", f.read()).collect()
+    assert Counter(r.doc_id for r in pieces if r.start == 0) == want
+    assert Counter(r.doc_id for r in sharding.shard_by_bytes(docs, "doc_id", "text").collect()) == want
+    with open(vocabulary_file("word_bpe_49k.json"), "rb") as f:
+        files = token_files.write_token_files(docs, "doc_id", "text", str(tmp_path), f.read(), False, 2)
+    assert Counter(r.doc_id for r in token_files.read_token_files(files, "doc_id", docs.schema["doc_id"].dataType, 2).collect()) == want
+    scored = maxent_lm.score(docs, "doc_id", "text", ~language_id.held_out("doc_id", 7, 2)).collect()
+    assert Counter(r.doc_id for r in scored) == want
+
+
+@pytest.mark.parametrize("large", [1e10, 3e6])
+def test_knn_with_large_components(spark, large):
+    """Squared lengths beyond longs, while every asked score fits one."""
+    from pyspark.sql import functions as F
+    from claimlens.llm import voronoi_knn
+    r = np.random.default_rng(9)
+    rows = [(k, r.normal(size=6).tolist()) for k in range(1, 300)]
+    rows[17][1][2], rows[40][1][0], rows[41][1][5] = large, -large, large
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = voronoi_knn.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 30 == 0, pivots=6).collect()
+    assert sorted(map(tuple, got)) == brute_knn(rows, lambda i: i % 30 == 0)
+
+
+def test_language_stage_rejects_an_unlearned_language(spark):
+    """With two or three languages learned, most texts of the others go and those of the learned ones stay."""
+    import corpus_pipeline
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    langs = sorted({r.lang for r in rows})
+    for n in (2, 3):
+        known = docs.withColumn("lang", F.when(docs["lang"].isin(langs[:n]), docs["lang"]))
+        kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, known, "").collect()}
+        long = [r for r in rows if len(words_of(r.text)) > 20]
+        mine, others = ([r.doc_id in kept for r in long if (r.lang in langs[:n]) == m] for m in (True, False))
+        assert sum(mine) >= 0.995 * len(mine) and sum(others) < (0.75 if n == 2 else 0.25) * len(others)
+    assert corpus_pipeline.least_language_score(4, 0.3) == pytest.approx(0.3) and corpus_pipeline.least_language_score(1, 1.0) == 1
