@@ -4,7 +4,8 @@ Each stage takes all that its predecessor kept.  The first three return the colu
 the last returns the pieces of packed sequences with their token ids.
 
 * language ID learns from the rows of its input that have a language, and rejects texts without a letter (null and empty
-  ones too) and those whose best language has a probability under ``MIN_LANGUAGE_SCORE``;
+  ones too) and those whose best language has a probability under :func:`least_language_score`, which depends on
+  the number of languages learned and on the scores of the calibration rows: a text in none of them has a lower one;
 * quality rules reject what the base rules or the cascade reject;
 * near-dedup keeps one row of each component: the smallest doc_id, nulls last, the first of equal rows;
 * packing lays every document, with its end id, into sequences of 2048 tokens or a power of two.
@@ -23,7 +24,14 @@ from claimlens.llm.packing import pack
 from claimlens.llm.quality_rules import apply_rules
 from claimlens.llm.simhash import deduplicate
 
-MIN_LANGUAGE_SCORE = 0.3
+#: The least score of a text, from an even share of all languages towards certainty, and as a part of what texts of the
+#: learned languages usually reach.
+LANGUAGE_MARGIN, USUAL_PART = 1 / 15, 2 / 3
+
+
+def least_language_score(languages: int, usual: float) -> float:
+    """The score under which a text counts as in none of the learned languages."""
+    return max(1 / languages + (1 - 1 / languages) * LANGUAGE_MARGIN, USUAL_PART * usual)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +39,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
     kept = F.col(lang) != "und"
     if model is not None:
-        kept &= F.col(score) >= MIN_LANGUAGE_SCORE
+        kept &= F.col(score) >= least_language_score(len(model["langs"]), model["usual"]) - 1e-9
     else:                                                         # nothing to learn from: only the letters decide
         kept = language_id.letters(F.col("text"))
     return language_id.predict(docs, "text", model).where(kept).select(*_names(docs))
