@@ -474,3 +474,40 @@ def test_language_stage_rejects_an_unlearned_language(spark):
         mine, others = ([r.doc_id in kept for r in long if (r.lang in langs[:n]) == m] for m in (True, False))
         assert sum(mine) >= 0.995 * len(mine) and sum(others) < (0.75 if n == 2 else 0.25) * len(others)
     assert corpus_pipeline.least_language_score(4, 0.3) == pytest.approx(0.3) and corpus_pipeline.least_language_score(1, 1.0) == 1
+
+
+def test_lm_scores_recomputed(spark, tiny, texts, monkeypatch):
+    """Every text's score from the trained weights, token by token in plain Python."""
+    from claimlens.llm import language_id, maxent_lm as M
+    kept, train = [], M.train
+    monkeypatch.setattr(M, "train", lambda *a, **k: kept.append(train(*a, **k)) or kept[0])
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    got = {r.doc_id: r.score for r in M.score(docs, "doc_id", "text", ~language_id.held_out("doc_id", 7, 2), known_words=1500).collect()}
+    tokens = {d: words_of((t or "").translate(LOWER)) + [""] for d, t in texts.items()}
+    counts = Counter(w for d in tokens if zlib.crc32(str(d).encode()) % 7 != 2 for w in tokens[d])
+    model, sizes = kept[0], M.sizes_for(len(counts))
+    side, rank = sizes.side, {w: k for k, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:sizes.frequent])}
+    crc32 = lambda w: zlib.crc32(w.encode())
+    shared = Counter()
+    for w, n in counts.items():
+        if w not in rank:
+            shared[crc32(w) % sizes.tails] += n + 1
+
+    def slot(kind, a, b=0):
+        return int(M._hashed(sizes.bits, kind, np.array([a]), np.array([b]))[0])
+
+    def log_softmax(table, columns, at):
+        logits = table[:, columns].sum(axis=1, dtype=np.float64)
+        return logits[at] - logits.max() - math.log(np.exp(logits - logits.max()).sum())
+
+    for d in list(tokens)[::9] + [10_000, 10_004, 10_009]:
+        want, one, two = 0.0, -1, -1
+        for w in tokens[d]:
+            tail = crc32(w) % sizes.tails
+            cls, member = divmod(rank[w] % side * side + rank[w] // side if w in rank
+                                 else tail % side * side + sizes.frequent // side + tail // side, side)
+            want += log_softmax(model.of_class, [slot(1, one), slot(2, two), slot(3, one, two), sizes.features], cls)
+            want += log_softmax(model.of_member, [slot(4, one, cls), sizes.features + cls], member)
+            want += 0 if w in rank else math.log((counts[w] + 1) / (shared[tail] + 1))
+            one, two = crc32(w), one
+        assert got[d] == pytest.approx(want / math.log(10), rel=2e-4)
