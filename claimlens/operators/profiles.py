@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.operators.features import group_features
-from claimlens.operators.shape import flag
+from claimlens.operators.shape import code_key, flag
 
 
 def _i(c: Column) -> Column:
@@ -89,8 +89,8 @@ def _dollars(c: str) -> Column:
 
 def features_v2(df: DataFrame) -> DataFrame:
     """G01-G04 v2 keys (code key: revenue code for institutional), G06 v2, G07."""
-    df = df.withColumn("code_key", F.when(F.col("claim_family") == "institutional", F.col("revenue_code"))
-                       .otherwise(F.col("service_code")))
+    df = df.withColumn("code_key", code_key(F.col("claim_family"), F.lit(None), F.col("revenue_code"), F.col("service_code"),
+                                           with_pharmacy=False))
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "revenue_code", "allowed_amount"]
     df = group_features(df, [
         (sig, {"duplicate_signature_count": ("repeats", "")}),

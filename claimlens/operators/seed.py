@@ -18,9 +18,9 @@ from claimlens.functions.money import scale
 from claimlens.operators.edits import adjudicate, apply_edits
 from claimlens.sources import catalogs as C
 
-# Class -> propensity in units of 1/10000 draws (v6 propensities .0005 .006 .02 .08).
-CLASS_PROPENSITY_BP = {"clean": 5, "low_risk": 60, "medium_risk": 200, "bad_actor": 800}
-PROPENSITY_DEFAULT_BP = 10
+# The catalogue's propensities in units of a draw (1/10000).
+CLASS_PROPENSITY_BP = {cls: round(p * 10000) for cls, p in C.CLASS_PROPENSITY.items()}
+PROPENSITY_DEFAULT_BP = round(C.PROPENSITY_DEFAULT * 10000)
 
 
 @dataclass(frozen=True)
@@ -45,86 +45,6 @@ def fraud_draw(df: DataFrame | None, params: SeedParams) -> Column:
     return line_draw("fraud") < thr
 
 
-def _label(df: DataFrame, mask: Column, ftype: str, reason: str, signal: str | None = None) -> DataFrame:
-    """Set label, type and reason where ``mask`` (last write wins); set the signal if any."""
-    mask = F.col("_m")
-    cols = {
-        "fraud_label": F.when(mask, F.lit(1)).otherwise(F.col("fraud_label")),
-        "fraud_type": F.when(mask, F.lit(ftype)).otherwise(F.col("fraud_type")),
-        "rule_primary_reason": F.when(mask, F.lit(reason)).otherwise(F.col("rule_primary_reason")),
-    }
-    if signal:
-        cols[signal] = F.when(mask, F.lit(1)).otherwise(F.col(signal))
-    return df.withColumns(cols).drop("_m")
-
-
-def init_labels(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "fraud_label": F.lit(0), "fraud_type": F.lit("none"), "rule_primary_reason": F.lit("none"),
-        "pricing_error_signal": F.lit(0), "egregious_charge_signal": F.lit(0),
-        "upcoding_signal": F.lit(0), "member_submit_outlier_signal": F.lit(0),
-    })
-
-
-def seed_pricing_error(df: DataFrame, p: SeedParams) -> DataFrame:
-    """contract x U(1.15, 1.85)."""
-    df = df.withColumn("_m", F.col("_cand") & (line_draw("pricing") < p.pricing_bp))
-    m = F.col("_m")
-    u = uniform_e6(line_draw("pricing_amt"), "1.15", "1.85")
-    df = df.withColumn("contract_rate", F.when(m, scale(F.col("contract_rate"), u, 1_000_000))
-                       .otherwise(F.col("contract_rate")))
-    return _label(df, m, "pricing_error", "price_above_contract", "pricing_error_signal")
-
-
-def seed_egregious(df: DataFrame, p: SeedParams) -> DataFrame:
-    """billed = (already modified) contract x U(6, 18), professional/institutional only."""
-    df = df.withColumn("_m", F.col("_cand") & F.col("claim_family").isin("institutional", "professional")
-                       & (line_draw("egregious") < p.egregious_bp))
-    m = F.col("_m")
-    u = uniform_e6(line_draw("egregious_amt"), "6", "18")
-    df = df.withColumn("billed_amount", F.when(m, scale(F.col("contract_rate"), u, 1_000_000))
-                       .otherwise(F.col("billed_amount")))
-    return _label(df, m, "egregious_billing", "egregious_billed_charge", "egregious_charge_signal")
-
-
-def seed_excessive_units(df: DataFrame, p: SeedParams) -> DataFrame:
-    """units = limit + 2..7 on codes with a unit limit; no signal column."""
-    df = df.withColumn("_m", F.col("_cand") & F.col("mue_limit").isNotNull() & (line_draw("units") < p.units_bp))
-    m = F.col("_m")
-    df = df.withColumn("units", F.when(m, F.col("mue_limit") + int_between(line_draw("units_amt"), 2, 7))
-                       .otherwise(F.col("units")))
-    return _label(df, m, "excessive_units", "mue_like_units")
-
-
-def seed_upcoding(df: DataFrame, p: SeedParams) -> DataFrame:
-    """shift the E&M level; allowed = new base x U(.95, 1.20); contract unchanged."""
-    df = df.withColumn("_m", F.col("_cand") & F.col("service_code").isin(*C.UPCODE_MAP) & (line_draw("upcode") < p.upcode_bp))
-    m = F.col("_m")
-    new_code = F.element_at(F.create_map(*[F.lit(x) for kv in C.UPCODE_MAP.items() for x in kv]), F.col("service_code"))
-    bases = {row[0]: C.cents(row[2]) for row in C.PROCEDURES}
-    new_base = None
-    for t in sorted(set(C.UPCODE_MAP.values())):
-        v = F.lit(bases[t])
-        new_base = F.when(new_code == t, v) if new_base is None else new_base.when(new_code == t, v)
-    u = uniform_e6(line_draw("upcode_amt"), "0.95", "1.20")
-    df = df.withColumns({
-        "allowed_amount": F.when(m, scale(new_base, u, 1_000_000)).otherwise(F.col("allowed_amount")),
-        "service_code": F.when(m, new_code).otherwise(F.col("service_code")),
-    })
-    return _label(df, m, "upcoding", "level_shift", "upcoding_signal")
-
-
-def seed_member_abuse(df: DataFrame, p: SeedParams) -> DataFrame:
-    """member-submitted billed = allowed x U(3, 10)."""
-    df = df.withColumn("_m", F.col("_cand") & (F.col("claim_family") == "member_submitted")
-                       & (line_draw("member") < p.member_bp))
-    m = F.col("_m")
-    u = uniform_e6(line_draw("member_amt"), "3", "10")
-    df = df.withColumn("billed_amount", F.when(m, scale(F.col("allowed_amount"), u, 1_000_000))
-                       .otherwise(F.col("billed_amount")))
-    return _label(df, m, "member_reimbursement_abuse", "outlier_member_submit", "member_submit_outlier_signal")
-
-
 def seed_duplicates(df: DataFrame, p: SeedParams) -> DataFrame:
     """copy medium_risk / bad_actor lines (p .003, not limited to candidates).
 

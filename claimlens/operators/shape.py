@@ -80,22 +80,6 @@ def class_from_key(suppkey: Column) -> Column:
     return _pick(C.CLASS_BY_MOD, F.pmod(suppkey, F.lit(20)))
 
 
-def providers_from_supplier(supplier: DataFrame) -> DataFrame:
-    """Provider dimension (v6 shape) derived from the supplier table."""
-    k = F.col("s_suppkey")
-    spec = specialty_from_key(k)
-    cls = class_from_key(k)
-    return supplier.select(
-        F.format_string("P%06d", k + 1).alias("provider_id"),
-        k.alias("provider_key"),
-        spec.alias("specialty"),
-        cls.alias("provider_class"),
-        provider_propensity(cls).alias("provider_fraud_propensity"),
-        provider_discount(spec).alias("contract_discount_rate"),
-        F.col("s_nationkey").alias("provider_state"),
-    )
-
-
 def members_from_customer(customer: DataFrame) -> DataFrame:
     """Member dimension (v6 shape) derived from the customer table; money in cents."""
     k = F.col("c_custkey")

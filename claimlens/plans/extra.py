@@ -12,9 +12,11 @@ from claimlens.functions.sampling import sample_shares
 from claimlens.operators import summaries as S
 from claimlens.operators.profiles import V2_RULES, RulesV2
 from claimlens.operators.rules import SIGNALS, apply_rules_v6
-from claimlens.plans import v2
-from claimlens.plans.queries import CHUNK_SIZE, TEST_VOLUME, _lake, _lines, _scratch
-from claimlens.plans.v6 import TEST_CONFIG, V5_DROP, V6_COLUMNS, final_projection
+from claimlens.operators.evaluate import model_performance
+from claimlens.plans import early, v2
+from claimlens.plans.queries import CHUNK_SIZE, TEST_VOLUME, _fd_claims, _fd_lines, _lake, _lines, _scratch
+from claimlens.plans.v6 import TEST_CONFIG, V5_DROP, V6_COLUMNS, final_projection, shaped_lines
+from claimlens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +58,35 @@ def v2_recall_within_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.rule_recall_within_type(_v2_scored(spark, sf_dir).withColumnRenamed("rule_pred", "flagged_for_review"))
 
 
+# ----------------------------------------------------------------------------- first script, v3 pharmacy, providers
+
+def _amounts(df: DataFrame, *names: str) -> list:
+    return [to_double(F.col(c)).alias(c) for c in names]
+
+
+def fd_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P04, P05, P08, P21 and A03 in the first script's form."""
+    df = early.fd_lines(spark, shaped_lines(spark, sf_dir))
+    return df.select("line_key", "service_code", "category", "place_of_service", "units", "telehealth_flag", "inpatient_flag",
+                     *_amounts(df, "allowed_amount", "billed_amount", "paid_amount"))
+
+
+def v3_pharmacy_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P21 in v3's pharmacy form."""
+    df = early.v3_pharmacy_lines(spark, shaped_lines(spark, sf_dir))
+    return df.select("line_key", "ndc11", "drug_name", "drug_type", "units", *_amounts(df, "billed_amount"))
+
+
+def provider_propensities_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D03 in its range forms."""
+    return early.provider_propensities(read_table(spark, sf_dir, "supplier", ["s_suppkey"]))
+
+
+def performance_rules_fd_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The performance table's rules row on the first script's set."""
+    return model_performance(_fd_lines(spark, sf_dir, _fd_claims(spark, sf_dir)), "rules", pred="rule_pred")
+
+
 # ----------------------------------------------------------------------------- text flags
 
 def text_flag(name: str) -> F.Column:
@@ -175,7 +206,8 @@ def lake_rerun_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extra_queries() -> dict[str, Query]:
     return {
         "v2_lines": v2_lines_q, "v2_rules": v2_rules_q, "v2_recall_within_type": v2_recall_within_type_q,
-        "rules_text_flags": rules_text_flags_q, "read_lines": read_lines_q, "file_manifest": file_manifest_q,
+        "fd_lines": fd_lines_q, "v3_pharmacy_lines": v3_pharmacy_lines_q, "provider_propensities": provider_propensities_q,
+        "performance_rules_fd": performance_rules_fd_q, "rules_text_flags": rules_text_flags_q, "read_lines": read_lines_q, "file_manifest": file_manifest_q,
         "sample_shares": sample_shares_q, "stream_counts": stream_counts_q, "stream_confusion": stream_confusion_q,
         "stream_detection": stream_detection_q, "lake_rerun_counts": lake_rerun_counts_q,
     }

@@ -59,6 +59,7 @@ PROFESSIONAL_PLACES = [("11", 0.62), ("22", 0.17), ("02", 0.09), ("23", 0.12)]
 FACILITY_PLACES = [("21", 0.22), ("22", 0.34), ("23", 0.44)]
 V2_MODES = [("duplicate", 0.22), ("upcoding", 0.22), ("excessive_units", 0.20), ("unbundling", 0.16), ("high_cost_facility", 0.20)]
 PROPENSITY_RANGES = {"low_risk": ("0.002", "0.010"), "medium_risk": ("0.02", "0.06"), "bad_actor": ("0.08", "0.18")}
+V3_PROPENSITY_RANGES = {"low_risk": ("0.001", "0.010"), "medium_risk": ("0.015", "0.050"), "bad_actor": ("0.06", "0.16")}
 REPLAYED_SHARE = 0.7
 UPCODED_BASE = "210.00"
 
@@ -93,11 +94,11 @@ def pair_intervals(spark: SparkSession) -> DataFrame:
     return local_table(spark, [(lo, hi, r[0], r[1] or "") for (lo, hi), r in zip(spans, INSTITUTIONAL)], PAIRS)
 
 
-def provider_propensity_range(provider_class: Column, provider: Column) -> Column:
+def provider_propensity_range(provider_class: Column, provider: Column, ranges: dict = PROPENSITY_RANGES) -> Column:
     """D03 in its range form, in 1e-8: clean 0, other classes uniform in their range, one draw a provider."""
     h = draw(provider, "v2_propensity")
     expr = F.lit(0).cast("bigint")
-    for name, (lo, hi) in PROPENSITY_RANGES.items():
+    for name, (lo, hi) in ranges.items():
         start, step = int(Decimal(lo) * 10 ** 8), int((Decimal(hi) - Decimal(lo)) * 10 ** 4)
         expr = F.when(provider_class == name, F.lit(start) + h * step).otherwise(expr)
     return expr

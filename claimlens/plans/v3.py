@@ -16,10 +16,10 @@ from claimlens.functions.money import scale
 from claimlens.functions.quantile import exact_quantile
 from claimlens.functions.sampling import hash32, hash_cut_offs, is_taken
 from claimlens.functions.scalar import attach
-from claimlens.operators.edits import V3_PTP_CODES, v3_edit_type
+from claimlens.operators.edits import V3_PTP_CODES, paid_share, v3_edit_type
 from claimlens.operators.features import group_features
 from claimlens.operators.seed import CLASS_PROPENSITY_BP, PROPENSITY_DEFAULT_BP
-from claimlens.operators.shape import _pick, claim_family
+from claimlens.operators.shape import _pick, claim_family, code_key
 from claimlens.plans.v6 import shaped_lines
 from claimlens.session import stage_table
 
@@ -85,7 +85,7 @@ def v3_base(shaped: DataFrame) -> DataFrame:
               .when(F.col("claim_family") == "administrative", SOURCE_SYSTEM["administrative"])
               .otherwise("core_claims"))
     df = df.withColumns({
-        "paid_amount": F.when(denied, F.lit(0)).otherwise(_times("allowed_amount", "v3_paid", "0.80", "1.00")).cast("bigint"),
+        "paid_amount": paid_share(F.col("allowed_amount"), denied, F.col("line_key"), "0.80", "1.00", "v3_paid"),
         "coding_edit_flag": flag, "coding_edit_type": etype, "price_method": method, "source_system": source,
         "_bgp": _d("v3_bg_price") < 40, "_bge": _d("v3_bg_egr") < 30,
     })
@@ -186,9 +186,7 @@ def features_v3(df: DataFrame) -> DataFrame:
     """G01-G04 with v3 keys (adds diagnosis, revenue, ndc and allowed), G06 billed/allowed."""
     df = df.withColumns({
         "ndc11": F.coalesce(F.col("ndc"), F.lit("")),
-        "code_key": (F.when(F.col("claim_family") == "pharmacy", F.coalesce(F.col("ndc"), F.lit("")))
-                     .when(F.col("claim_family") == "institutional", F.col("revenue_code"))
-                     .otherwise(F.col("service_code"))),
+        "code_key": code_key(F.col("claim_family"), F.coalesce(F.col("ndc"), F.lit("")), F.col("revenue_code"), F.col("service_code")),
     })
     sig = ["member_id", "provider_id", "service_date", "diagnosis_code", "service_code", "revenue_code", "ndc11",
            "allowed_amount"]

@@ -1,9 +1,10 @@
 """Session construction and lineage cutting.
 
 On a cluster the session comes from the platform; ``get_session`` only fills in
-settings that are unset.  Lineage is cut with ``DataFrame.checkpoint()`` into
-the shared folder named by ``spark.checkpoint.dir`` -- never a machine-local
-folder and never ``localCheckpoint``.
+settings that are unset.  Lineage is cut by tables written into the shared
+folder named by ``spark.checkpoint.dir`` -- never a machine-local folder and
+never ``localCheckpoint``.  Staged tables lie in one folder per application,
+which ``drop_staged`` removes when no result that reads them is needed any more.
 """
 
 from __future__ import annotations
@@ -73,20 +74,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def staging_folder(spark: SparkSession) -> str:
+    """Where this application's staged tables lie."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/claimlens-stage/{spark.sparkContext.applicationId}"
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     A lineage cut like ``checkpoint()``, but columnar: later readers prune columns
-    and push filters into the scan.  The written table survives executor loss.
+    and push filters into the scan.  The written table survives executor loss.  It
+    stays until ``drop_staged`` or the end of the shared folder.
     """
     import uuid
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/claimlens-stage/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> bool:
+    """Remove all staged tables of this application; results that read them must have been written or collected before.
+
+    Goes through Spark's own file system, so any shared store will do.  True if there was something to remove.
+    """
+    from claimlens.plans import extra, queries, v6
+    app = spark.sparkContext.applicationId
+    for cache in (v6._SEEDED, v6._MATERIALIZED, queries._V3_CACHE, queries._FD, queries._LAKE, extra._V2, extra._WRITTEN):
+        for key in [k for k in cache if k[0] == app]:
+            del cache[key]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -111,12 +131,3 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
-    spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimlens.plans.queries import LINE_PROJECTIONS
+from oracle.early_sql import early_sql
 from oracle.extra_sql import extra_sql
 from oracle.lake_sql import lake_sql
 from oracle.profiles_sql import append_fixed_rate_sql, appended_sql, profile_sql
@@ -71,4 +72,5 @@ FROM lines WHERE flagged_for_review = 1"""),
     out.update(appended_sql())
     out.update({name: with_lines(sql) for name, sql in SUMMARY_SQL.items()})
     out.update(extra_sql())
+    out.update(early_sql())
     return out

@@ -17,7 +17,7 @@ def _weighted(salt: str, options: list) -> str:
     return "CASE " + " ".join(f"WHEN {h('line_key', salt)} < {c} THEN {q(v)}" for v, c in cuts[:-1]) + f" ELSE {q(cuts[-1][0])} END"
 
 
-def _propensity(lo: str, hi: str) -> str:
+def propensity(lo: str, hi: str) -> str:
     return f"CAST({lo} AS DECIMAL(12,8)) + CAST({hi} - {lo} AS DECIMAL(4,3)) * {h('provider_id', 'v2_propensity')} * 0.0001"
 
 
@@ -48,9 +48,9 @@ a1 AS (
 a2 AS (
   SELECT a1.*, base, category, CAST(least(greatest(typical_units - 1 + {h('line_key', 'v2_units')} % 3, 1),
     CASE WHEN claim_family = 'institutional' THEN 12 ELSE 6 END) AS INTEGER) AS units,
-    CASE provider_class WHEN 'low_risk' THEN {_propensity('0.002', '0.010')}
-      WHEN 'medium_risk' THEN {_propensity('0.02', '0.06')}
-      WHEN 'bad_actor' THEN {_propensity('0.08', '0.18')} ELSE 0 END AS propensity
+    CASE provider_class WHEN 'low_risk' THEN {propensity('0.002', '0.010')}
+      WHEN 'medium_risk' THEN {propensity('0.02', '0.06')}
+      WHEN 'bad_actor' THEN {propensity('0.08', '0.18')} ELSE 0 END AS propensity
   FROM a1 JOIN prices USING (revenue_code, service_code)),
 a3 AS (
   SELECT *, {money('''base * CAST(units AS DECIMAL(6,0)) * CAST(0.80 + 4 * disc AS DECIMAL(6,2)) *

@@ -218,3 +218,13 @@ def test_streamed_totals_after_a_restart(spark, lines, tmp_path):
         df.where("chunk_id % 2 = 1").repartition(3).write.mode("append").parquet(source)
         assert same(report(I.stream_totals(spark, source, folder, state, files_per_trigger=2)), merge(df))
         assert same(report(I.stream_totals(spark, source, folder, state)), merge(df))      # nothing new: the last totals
+
+
+def test_staged_tables_go(spark, tmp_path):
+    """Staged tables lie in the application's folder of the shared directory and can be removed as a whole."""
+    import os
+    from claimlens.session import checkpoint_dir, stage_table, staging_folder
+    df = stage_table(spark.range(5), "some")
+    folder = staging_folder(spark).replace("file:", "")
+    assert spark.sparkContext.applicationId in folder and folder.startswith(checkpoint_dir(spark).replace("file:", "").rstrip("/"))
+    assert any(name.startswith("some-") for name in os.listdir(folder)) and df.count() == 5
