@@ -11,11 +11,16 @@ exactly).  So they meet in a list of one of the rarest values of each, and value
 of their own.  The union's ``k`` smallest values estimate the similarity of a pair; pairs under the same bound go.  What is
 left is verified on the full sets of shingles, read again from the texts.
 
-Work.  First each node is compared with one partner: of the smallest nodes of its lists the one that it shares most lists
-with.  The links found join large groups of near copies without their pairs.  Only nodes of different components are
-then paired within lists.  Lists that still hold more than ``long_list`` nodes are not paired: their nodes get
-lists from all of their shingles, among which linked nodes share one of the rarest 1 - ``percent`` / 100.  No partner is
-dropped; components end with every link between different texts that could join two of them verified.
+Work.  First each node is compared with two partners: of the central nodes of its lists (fewest values of their own) the
+most central one, and the one that it shares most lists with.  These links join large groups of near copies around the text that they
+were made from, without their pairs.  Lists that hold one component by then are done.  The nodes of all others get lists
+from the whole sets, are compared with the central nodes of these in the same way, and then with all other nodes that
+they may be linked with.  With whole sets the bounds are exact: linked nodes of a and b shingles share at least percent / (100 +
+percent) * (a + b), so the first value that they share, rarest first, has few before it on either side.  A list is cut
+by bands of both sides' sizes, and a node is only in those for whose sizes its place in the list still allows enough
+shared values; texts that changed too much to be linked with anything like them drop out of the lists of what they kept.
+Within a list, pairs have a node outside the component that holds most of the list.  No partner is dropped; components
+end with every link between different texts that could join two of them verified.
 
 Rows are taken as they come (repeated rows, null ids; a null id names a component only where all are null); null texts are
 empty; an empty table gives no row; other columns are ignored.  A very long text is one set in one task.  Staged jobs run
@@ -37,6 +42,8 @@ from .simhash import components
 
 #: Chance that a linked pair falls short of the bound.
 MISS = 1e-9
+#: Ratio of the sizes of consecutive bands.
+BAND = 1.03
 
 
 def least_shared(k: int, percent: int) -> int:
@@ -105,19 +112,24 @@ def sketched(df: DataFrame, text_col: str, size: int, k: int) -> DataFrame:
                                          "sketch": T.ArrayType(T.LongType())}, make)
 
 
-def prefix_lists(values: DataFrame) -> DataFrame:
-    """(v, node) for the rarest values of each node, of values (node, v, size, least), where two nodes or more have it.
+def rarest(values: DataFrame) -> DataFrame:
+    """(node, size, found) of values (node, v, size): its values that others have too, rarest first, as (df, v, place).
 
-    A node whose partners share ``least`` of its ``size`` values has one of them among its size - least + 1 rarest.
+    ``place`` counts the node's values before it; those that no other node has are the rarest.
     """
     counts = stage_table(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "value-counts")
     held = values.join(counts, "v").groupBy("node").agg(
-        F.first("size").alias("size"), F.first("least").alias("least"),
-        F.array_sort(F.collect_list(F.struct("df", "v"))).alias("found"))      # as many as the node's values
-    # the values of one node alone are the rarest and have no list
-    rest = F.expr("cast(size - least + 1 - (size - size(found)) as int)")
-    chosen = held.where(rest > 0).select("node", F.explode(F.slice("found", F.lit(1), rest)).alias("f"))
-    return chosen.select(F.col("f.v").alias("v"), "node")
+        F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("found"))
+    placed = F.transform("found", lambda x, i: F.struct(x["df"].alias("df"), x["v"].alias("v"),
+                                                        (F.col("size") - F.size("found") + i).alias("place")))
+    return held.select("node", "size", placed.alias("found"))
+
+
+def _centrality() -> tuple:
+    """Of :func:`rarest`'s rows: the share of values that no other node has, and how often others have the rest, negated."""
+    own = (F.col("size") - F.size("found")) / F.col("size")
+    common = F.aggregate("found", F.lit(0).cast("long"), lambda total, x: total + x["df"])
+    return own.alias("own"), (-common).alias("common")
 
 
 def estimates(a: list[np.ndarray], b: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,9 +152,8 @@ def estimates(a: list[np.ndarray], b: list[np.ndarray], k: int) -> tuple[np.ndar
 class NearDuplicates:
     """The search over one table; see the module's text."""
 
-    def __init__(self, df: DataFrame, id_col: str, text_col: str, size: int = 5, percent: int = 80, k: int = 64,
-                 long_list: int = 256):
-        self.spark, self.size, self.percent, self.k, self.long_list = df.sparkSession, size, percent, k, long_list
+    def __init__(self, df: DataFrame, id_col: str, text_col: str, size: int = 5, percent: int = 80, k: int = 64):
+        self.spark, self.size, self.percent, self.k = df.sparkSession, size, percent, k
         ship_package(self.spark)
         self.bound = least_shared(k, percent)
         self.docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -151,18 +162,21 @@ class NearDuplicates:
                                                                 F.first("sketch").alias("sketch"))
         self.sets = stage_table(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
 
-    def _least(self):
-        """Values of its sketch that a node shares with every partner."""
-        exact = F.expr(f"({self.percent}L * n + 99) div 100")
-        return F.when(F.col("n") * 100 <= self.percent * self.k, exact).otherwise(F.least(exact, F.lit(self.bound)))
-
     def lists(self) -> DataFrame:
-        values = self.sets.select("node", F.least("n", F.lit(self.k)).alias("size"), self._least().alias("least"),
-                                      F.explode("sketch").alias("v"))
-        return stage_table(prefix_lists(values), "lists")
+        """(v, node, own, common) of the sketches' rarest values: where two linked nodes meet.
 
-    def full_lists(self, nodes: DataFrame) -> DataFrame:
-        """Lists of the rarest shingles of whole sets."""
+        ``own`` and ``common`` order nodes from the most central: share of values that no other has, values' counts.
+        """
+        exact = F.expr(f"({self.percent}L * n + 99) div 100")
+        least = F.when(F.col("n") * 100 <= self.percent * self.k, exact).otherwise(F.least(exact, F.lit(self.bound)))
+        values = self.sets.select("node", F.least("n", F.lit(self.k)).alias("size"), F.explode("sketch").alias("v"))
+        held = rarest(values).join(self.sets.select("node", least.alias("least")), "node")
+        # a partner shares `least` values, so one of the size - least + 1 rarest
+        near = held.where(F.size("found") >= F.col("least")).select("node", *_centrality(), F.explode(F.filter("found", lambda x: x["place"] <= F.col("size") - F.col("least"))).alias("f"))
+        return stage_table(near.select(F.col("f.v").alias("v"), "node", "own", "common"), "lists")
+
+    def entries(self, nodes: DataFrame) -> DataFrame:
+        """(v, node, size, place, own, common) of the rarest shingles of whole sets, as many as a partner may lack and one more."""
         size, hashes = self.size, _WordHashes()
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +188,34 @@ class NearDuplicates:
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), node)), pa.array(part),
                                                           pa.array(np.full(len(part), len(values)))], names=["node", "v", "size"])
 
-        values = self.texts(nodes).mapInArrow(run, "node long, v long, size long")
-        return stage_table(prefix_lists(values.withColumn("least", F.expr(f"({self.percent}L * size + 99) div 100"))), "full-lists")
+        held = rarest(self.texts(nodes).mapInArrow(run, "node long, v long, size long"))
+        lacks = F.col("size") - F.expr(f"({self.percent}L * size + 99) div 100")
+        near = held.select("node", "size", *_centrality(), F.explode(F.filter("found", lambda x: x["place"] <= lacks)).alias("f"))
+        return stage_table(near.select(F.col("f.v").alias("v"), "node", "size", F.col("f.place").alias("place"), "own", "common"), "entries")
+
+    def _shared(self, a, b):
+        """Shingles that linked sets of a and b shingles share at least."""
+        return F.ceil((a + b) * F.lit(self.percent) / F.lit(100 + self.percent) - F.lit(1e-6))
+
+    def banded(self, entries: DataFrame) -> DataFrame:
+        """Entries by list: (v, small, large), the bands of the sizes of a pair's smaller and larger set, and ``is_large``.
+
+        An entry is in a list only if enough shingles follow it for the least partner of that band.
+        """
+        band = lambda n: F.floor(F.log(n.cast("double")) / F.lit(math.log(BAND))).cast("int")
+        size = F.col("size")
+        least, most = F.ceil(size * self.percent / 100 - 1e-9), F.floor(size * 100 / F.lit(self.percent) + 1e-9)
+        own = entries.withColumn("own", band(size))
+        roles = F.array(*[F.struct(F.lit(large).alias("is_large"), partners.alias("partners")) for large, partners in (
+            (False, F.sequence("own", band(most))), (True, F.sequence(band(least), F.col("own"))))])
+        met = own.select("*", F.inline(roles)).select("v", "node", "root", "size", "place", "own", "is_large",
+                                                      F.explode("partners").alias("other"))
+        # the partner's band starts here or a little later (rounding), and a linked partner has at least `least`
+        smallest = F.greatest(F.floor(F.pow(F.lit(BAND), F.col("other")) - 1e-6), least, F.when(F.col("is_large"), F.lit(0)).otherwise(size))
+        met = met.where(size - F.col("place") >= self._shared(size, smallest))
+        return met.select("v", F.when(F.col("is_large"), F.col("other")).otherwise(F.col("own")).alias("small"),
+                          F.when(F.col("is_large"), F.col("own")).otherwise(F.col("other")).alias("large"),
+                          "is_large", "node", "root", "size", "place")
 
     def texts(self, nodes: DataFrame) -> DataFrame:
         """(node, text) of nodes, read again from the table: a row of each set."""
@@ -234,41 +274,63 @@ class NearDuplicates:
         return stage_table(joined.mapInArrow(run, "u long, v long"), "verified")
 
     def first_pairs(self, lists: DataFrame) -> DataFrame:
-        """(u, v): each node u with that smallest node v of its lists with which it shares most of them."""
-        heads = stage_table(lists.groupBy("v").agg(F.min("node").alias("head"), F.count("*").alias("nodes")).where("nodes > 1"),
-                            "heads")
-        met = lists.join(heads, "v").where("node <> head").groupBy("node", "head").agg(F.count("*").alias("lists"))
-        best = met.groupBy("node").agg(F.max(F.struct("lists", "head")).alias("best"))
-        return best.select(F.col("node").alias("u"), F.col("best.head").alias("v"))
-
-    def pairs_across(self, lists: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(pairs of different components that meet in a list of at most long_list nodes, nodes of longer lists)."""
-        named = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        kinds = stage_table(named.groupBy("v").agg(F.count("*").alias("nodes"), F.min("root").alias("a"), F.max("root").alias("b"))
-                            .where("a <> b").select("v", "nodes"), "mixed-lists")
-        mixed = stage_table(named.join(kinds, "v"), "mixed")
-        short = mixed.where(F.col("nodes") <= self.long_list)
-        return self._paired(short), mixed.where(F.col("nodes") > self.long_list).select("node").distinct()
+        """(u, v): each node u with two of the central nodes of its lists: the one of most lists, and the most central."""
+        heads = lists.groupBy("v").agg(F.min(F.struct("own", "common", "node")).alias("head"), F.count("*").alias("nodes")).where("nodes > 1")
+        heads = stage_table(heads.select("v", "head"), "heads")
+        met = lists.select("v", "node").join(heads, "v").where("node <> head.node").groupBy("node", "head").agg(F.count("*").alias("lists"))
+        best = met.groupBy("node").agg(F.min("head").alias("a"), F.min(F.struct((-F.col("lists")).alias("lists"), "head")).alias("b"))
+        return best.select(F.col("node").alias("u"), F.explode(F.array_distinct(F.array("a.node", "b.head.node"))).alias("v"))
 
     @staticmethod
-    def _paired(mixed: DataFrame) -> DataFrame:
-        x = mixed.select(F.col("v").alias("_v"), F.col("node").alias("u"), F.col("root").alias("ru"))
-        y = mixed.select(F.col("v").alias("_w"), F.col("node").alias("v"), F.col("root").alias("rv"))
-        met = x.join(y, (F.col("_v") == F.col("_w")) & (F.col("ru") < F.col("rv")))
-        return met.select("u", "v").distinct()
+    def _named(df: DataFrame, roots: DataFrame) -> DataFrame:
+        return df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def mixed_nodes(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """Nodes of lists that hold several components."""
+        named = stage_table(self._named(lists.select("v", "node"), roots), "named-lists")
+        mixed = stage_table(named.groupBy("v").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("v"), "mixed")
+        return stage_table(named.join(mixed, "v").select("node").distinct(), "mixed-nodes")
+
+    def pairs_across(self, entries: DataFrame) -> DataFrame:
+        """(u, v) of different components that meet in a list of (v, node, root, size, place) and may be linked."""
+        key = ["v", "small", "large"]
+        banded = stage_table(self.banded(entries), "banded")
+        small = F.count_if(~F.col("is_large"))
+        kinds = banded.groupBy(*key).agg(F.min("root").alias("a"), F.max("root").alias("b"), small.alias("s"), F.count("*").alias("n"))
+        kinds = stage_table(kinds.where("a <> b and s > 0 and n > s").select(*key), "band-lists")
+        mixed = stage_table(banded.join(kinds, key), "band-entries")
+        counts = mixed.groupBy(*key, "root").agg(F.count("*").alias("n"))
+        most = stage_table(counts.groupBy(*key).agg(F.max_by("root", F.struct("n", "root")).alias("most")), "band-components")
+        told = stage_table(mixed.join(most, key).withColumn("in_most", F.col("root") == F.col("most")), "band-sides")
+        side = lambda large, name: told.where(F.col("is_large") if large else ~F.col("is_large")).select(
+            *key, *[F.col(c).alias(f"{c}_{name}") for c in ("node", "root", "size", "place", "in_most")])
+        x, y = side(False, "x"), side(True, "y")
+        enough = F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y")) >= self._shared(F.col("size_x"), F.col("size_y"))
+        fits = F.col("size_x") * 100 >= self.percent * F.col("size_y")
+        apart = (F.col("root_x") != F.col("root_y")) & (F.col("size_x") <= F.col("size_y")) & fits & enough
+        found = None
+        for a, b in ((x.where("not in_most_x"), y), (x.where("in_most_x"), y.where("not in_most_y"))):
+            same = [a[c] == b[c] for c in key]
+            part = a.join(b, same[0] & same[1] & same[2] & apart).select(
+                F.least("node_x", "node_y").alias("u"), F.greatest("node_x", "node_y").alias("v"))
+            found = part if found is None else found.unionByName(part)
+        return found.distinct()
 
     def roots(self) -> DataFrame:
         """(node, root) of every node with a link."""
         lists = self.lists()
         first = self.verified(self.first_pairs(lists))
         roots = stage_table(components(self.spark, first), "first-roots")
-        short, long_nodes = self.pairs_across(lists, roots)
-        found = self.verified(short)
-        long_nodes = stage_table(long_nodes, "long-list-nodes")
-        if not long_nodes.isEmpty():
-            full = self.full_lists(long_nodes)
-            named = full.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            found = found.unionByName(self.verified(self._paired(named)))
+        nodes = self.mixed_nodes(lists, roots)
+        if nodes.isEmpty():
+            return roots
+        # the same once more with the order of whole sets, in which the text that a group was made from is the most central
+        entries = self.entries(nodes)
+        pairs = self._named(self.first_pairs(entries).withColumnRenamed("u", "node"), roots)
+        pairs = self._named(pairs.select(F.col("node").alias("u"), F.col("root").alias("ru"), F.col("v").alias("node")), roots)
+        first = stage_table(first.unionByName(self.verified(pairs.where("ru <> root").select("u", F.col("node").alias("v")))), "first-links")
+        roots = stage_table(components(self.spark, first), "second-roots")
+        found = self.verified(self.pairs_across(self._named(entries, roots)))
         return components(self.spark, first.unionByName(found))
 
     def classes(self) -> DataFrame:
@@ -279,10 +341,9 @@ class NearDuplicates:
         return stage_table(named.join(names, "root").select("d1", "d2", "component"), "set-components")
 
 
-def near_duplicates(df: DataFrame, id_col: str, text_col: str, size: int = 5, percent: int = 80, k: int = 64,
-                    long_list: int = 256) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str, text_col: str, size: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
     """id_col, n_shingles, component_id, kept for every row of df; texts without a word are their own component."""
-    search = NearDuplicates(df, id_col, text_col, size, percent, k, long_list)
+    search = NearDuplicates(df, id_col, text_col, size, percent, k)
     classes = search.classes()
     rows = search.rows.select("id", "n", "d1", "d2")
     full = rows.where("n > 0").join(classes, ["d1", "d2"]).select("id", "n", "component")
