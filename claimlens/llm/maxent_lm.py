@@ -21,7 +21,8 @@ learns as fast as others.  Counts cover all training rows.  Scoring needs the co
 frequent ones are broadcast (a documented bound), the rest meet the counts in a join on the word; rare words cannot be
 hot keys.
 
-Null texts count as empty: the end alone.  Without training rows every word has count 0 and the model is uniform.  Rows
+Words of equal counts are ranked by their text.  Null texts count as empty: the end alone; a very long text is a slice of
+its own, trained and scored in batches.  Without training rows every word has count 0 and the model is uniform.  Rows
 are taken as they come (repeated rows are scored each); other columns are ignored; an empty table gives no row.
 """
 

@@ -7,7 +7,8 @@ on the agenda anew.  Short segments of one length run the same agenda side by si
 heap.  Characters without a piece become byte pieces.
 
 Every distinct segment's ids are compared with the sentencepiece library's once per task, and so is the first whole
-text of every slice; a difference raises an error.  Texts: null ones count as empty and give no ids.
+text of every slice; a difference raises an error.  Texts: null ones count as empty and give no ids; a very long one is a
+slice of its own, cut into segments like any other.
 """
 
 from __future__ import annotations

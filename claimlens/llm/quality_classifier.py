@@ -6,7 +6,8 @@ log-count ratios count all labelled rows.  The classifier is fitted in one task
 distinct ids and labels (a documented bound, chosen by a hash of the id): dual coordinate descent on the scaled and
 normalised indicators, and a logistic scale of the margins on a fifth of the rows.
 
-Null and empty texts have no indicator and get the score of the bias.  Without labelled rows of both classes the score is
+Null and empty texts have no indicator and get the score of the bias; a very long text is a slice of its own, and memory
+follows it.  Without labelled rows of both classes the score is
 the share of label 1 (0.5 without any).  Rows are taken as they come and keep all their columns; a clashing name gets an
 underscore; repeated labels of a text and repeated rows of an id count each in the ratios; the sample has a label once and
 up to 2 x ``max_rows`` rows in all, first one of every id, then a second one, and so on.

@@ -15,7 +15,8 @@ has no pairs.
 
 Components: smallest reachable fingerprint by rounds of large-star and small-star steps over the links, as joins and
 aggregates, each round written to the shared folder.  Rows are taken as they come; a document's component is named by
-the smallest id in it (null ids are never the smallest); an empty table gives no row; other columns are ignored.
+the smallest id in it (null ids are never the smallest); an empty table gives no row; other columns are ignored.  A very
+long text is a slice of its own, whose hashes are counted in parts.  Staged jobs run while the result is built.
 """
 
 from __future__ import annotations
