@@ -107,9 +107,24 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, most: int) -> list:
-    """The ``most`` rows of counts with the greatest n (ties by word), greatest first."""
-    return counts.orderBy(F.desc("n"), "word").limit(most).collect()
+def frequent_words(counts: DataFrame, most: int, top: int) -> list:
+    """Rows of counts, greatest n first (ties by word): the exact first ``top``, and beyond these about ``most`` in all.
+
+    Levels of n are sixteenths of a power of two, so the table of words by level is small whatever the corpus.  All words
+    of the levels that fit into ``most`` are taken; if these are fewer than ``top``, the first ones of the others follow.
+    """
+    level = F.floor(16 * F.log2("n")).cast("int")
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
+    least, taken = math.inf, 0
+    for at, words in sizes:
+        if taken + words > most:
+            break
+        least, taken = at, taken + words
+    rows = counts.where(level >= least).collect() if taken else []
+    if taken < top:
+        rest = counts.where(level < least) if taken else counts
+        rows += stage_table(rest.orderBy(F.desc("n"), "word").limit(top - taken), "outcome-words").collect()
+    return sorted(rows, key=lambda r: (-r["n"], r["word"]))
 
 
 class Buckets:
@@ -285,7 +300,7 @@ def score(df: DataFrame, id_col: str, text_col: str, is_training: Column, rounds
     counts = stage_table(count_words(known, "_text"), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     sizes = sizes_for(distinct)
-    top = frequent_words(counts, max(known_words, sizes.frequent))
+    top = frequent_words(counts, known_words, sizes.frequent)
     frequent = [r["word"] for r in top[:sizes.frequent]]
     tails = (counts.join(F.broadcast(spark.createDataFrame([(w,) for w in frequent], "word string")), "word", "left_anti")
              .groupBy((F.crc32(F.encode("word", "UTF-8")) % sizes.tails).alias("tail")).agg((F.sum("n") + F.count("*")).alias("size")))

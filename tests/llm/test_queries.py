@@ -511,3 +511,14 @@ def test_lm_scores_recomputed(spark, tiny, texts, monkeypatch):
             want += 0 if w in rank else math.log((counts[w] + 1) / (shared[tail] + 1))
             one, two = crc32(w), one
         assert got[d] == pytest.approx(want / math.log(10), rel=2e-4)
+
+
+def test_outcome_words_of_like_frequency(spark):
+    """6001 words of nearly one frequency and a small list: the outcome words are still the exact first ones."""
+    from claimlens.llm.maxent_lm import frequent_words
+    rows = [("the", 9000)] + [(f"w{k:04d}", 100 + k % 3) for k in range(6000)]
+    counts = spark.createDataFrame(rows, "word string, n long").repartition(4)
+    want = sorted(((w, n) for w, n in rows), key=lambda r: (-r[1], r[0]))
+    assert [tuple(r) for r in frequent_words(counts, 1000, 700)] == want[:700]
+    assert [tuple(r) for r in frequent_words(counts, 10_000, 700)] == want
+    assert frequent_words(counts.where("n < 0"), 10, 5) == []
