@@ -136,7 +136,8 @@ def links(nodes: DataFrame, max_distance: int = 3) -> DataFrame:
     around = fps.mapInArrow(keyed(True), "key long, fp long").select("key", F.col("fp").alias("v"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance
     same = centres["key"] == around["key"]
-    return centres.join(around, same & (F.col("u") < F.col("v")) & near).select("u", "v").distinct()
+    # a fingerprint has many keys, of which the planner knows nothing: by its estimate either side would be broadcast
+    return centres.join(around.hint("merge"), same & (F.col("u") < F.col("v")) & near).select("u", "v").distinct()
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
