@@ -393,8 +393,9 @@ def chunk_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_per_chunk_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimlens.sources.sinks import sample_per_chunk
-    return sample_per_chunk(_lines(spark, sf_dir), CHUNK_SIZE, SAMPLE_PER_CHUNK, SAMPLE_TOTAL).select(
-        "line_id", "chunk_id", "fraud_type")
+    # a sample's candidates are shuffled, sorted and written whole: only the columns that it returns
+    lines = _lines(spark, sf_dir).select("line_id", "enc_key", "fraud_type")
+    return sample_per_chunk(lines, CHUNK_SIZE, SAMPLE_PER_CHUNK, SAMPLE_TOTAL).select("line_id", "chunk_id", "fraud_type")
 
 
 def union_families_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,10 @@ from claimlens.session import checkpoint_dir
 FILES_PER_TRIGGER = 8
 
 
+#: What the provider rollup reads of a line.
+ROLLUP_COLUMNS = ["provider_id", "service_date", "fraud_label", "flagged_for_review", "allowed_amount"]
+
+
 def provider_partials(df: DataFrame, chunk: str = "chunk_id") -> DataFrame:
     """Per (chunk, provider): lines, fraud, flagged, allowed sum, busiest day within the chunk."""
     day = df.groupBy(chunk, "provider_id", "service_date").agg(
@@ -94,7 +98,7 @@ def stream_provider_rollup(spark: SparkSession, lines: DataFrame, chunk_size: in
     """The provider rollup maintained by a streaming query as chunk files arrive."""
     base = checkpoint_dir(spark).rstrip("/") + f"/claimlens-stream/{uuid.uuid4().hex}"
     src, partials_path, ckpt = f"{base}/chunks", f"{base}/partials", f"{base}/checkpoint"
-    write_chunks(lines, src, chunk_size)
+    write_chunks(lines.select("enc_key", *ROLLUP_COLUMNS), src, chunk_size)
     schema = spark.read.parquet(src).schema
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:

@@ -228,3 +228,18 @@ def test_staged_tables_go(spark, tmp_path):
     folder = staging_folder(spark).replace("file:", "")
     assert spark.sparkContext.applicationId in folder and folder.startswith(checkpoint_dir(spark).replace("file:", "").rstrip("/"))
     assert any(name.startswith("some-") for name in os.listdir(folder)) and df.count() == 5
+
+
+def test_samples_and_streams_move_only_their_columns(spark, lines, monkeypatch):
+    """Neither the candidates of a sample nor the chunk files of the provider rollup hold whole lines."""
+    from claimlens.plans import queries as Q
+    from claimlens.sources import sinks
+    from claimlens.streaming import incremental
+    seen = {}
+    sample, write = sinks.sample_per_chunk, incremental.write_chunks
+    monkeypatch.setattr(sinks, "sample_per_chunk", lambda df, *a: seen.update(sample=df.columns) or sample(df, *a))
+    monkeypatch.setattr(incremental, "write_chunks", lambda df, *a: seen.update(stream=df.columns) or write(df, *a))
+    assert Q.sample_per_chunk_q(spark, SF_SMALL).count() == min(lines.count(), Q.SAMPLE_TOTAL)
+    assert Q.stream_provider_rollup_q(spark, SF_SMALL).agg({"lines": "sum"}).first()[0] == lines.count()
+    assert set(seen["sample"]) == {"line_id", "enc_key", "fraud_type"}
+    assert set(seen["stream"]) == {"enc_key", *incremental.ROLLUP_COLUMNS}
