@@ -80,6 +80,43 @@ def test_isolation_forest_samples_and_scores(spark):
     assert few.anomaly.mean() <= 0.08 and few.anomaly.sum() > 0
 
 
+def test_isolation_path_lengths_equal_a_walk_of_each_row():
+    import numpy as np
+    import pandas as pd
+    from claimlens.operators import models as M
+    rng, names = np.random.default_rng(7), list("abc")
+    frames = [pd.DataFrame(np.round(rng.lognormal(size=(n, 3)), 1), columns=names).assign(tree_id=t) for t, n in enumerate((64, 64, 5, 1, 64))]
+    frames[4][names] = 1.0                                        # nothing to split: the root is a leaf
+    nodes = pd.concat([M._grow(f, names, 6) for f in frames], ignore_index=True)
+    x = np.round(rng.lognormal(size=(200, 3)), 1)
+    x[0, 1], x[1, 0] = np.nan, np.inf
+    total = np.zeros(len(x))
+    for _, tree in nodes.groupby("tree_id"):
+        rows = {r.node_id: r for r in tree.itertuples()}
+        for i, values in enumerate(x):
+            node, depth = rows[0], 0
+            while node.feature >= 0:
+                node, depth = rows[node.left if values[node.feature] < node.threshold else node.right], depth + 1
+            total[i] += depth + M._c(float(node.size))
+    assert (M._path_lengths(x, M._complete_trees(nodes)) == total).all()
+
+
+def test_performance_table_predicts_each_row_once(spark):
+    from claimlens.operators.models import performance_rows
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = spark.createDataFrame([(i % 2, int(i % 3 == 0), i / 40) for i in range(40)], "fraud_label int, prediction int, fraud_probability double")
+    lines = rows.withColumnRenamed("prediction", "rule_pred")
+    table = performance_rows(lines, rows.mapInPandas(count, rows.schema), rows.withColumnRenamed("prediction", "anomaly")).toPandas()
+    assert len(table) == 3 and table["roc_auc"].notna().sum() == 1
+    assert seen.value == 40
+
+
 def test_first_script_detects_its_own_copies(spark):
     """Features, rules and models of the first script see the base lines and all five kinds of appended copies."""
     from claimlens.plans import queries as Q
