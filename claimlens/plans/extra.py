@@ -154,7 +154,7 @@ SAMPLE_REST = 0.05
 
 def sample_shares_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K09 in its share form: each family's share of lines, by the hash of the line."""
-    return sample_shares(_lines(spark, sf_dir), "claim_family", SAMPLE_SHARES, F.col("line_id"), "shares", SAMPLE_REST).select(
+    return sample_shares(_lines(spark, sf_dir, ["line_id", "claim_family", "fraud_type"]), "claim_family", SAMPLE_SHARES, F.col("line_id"), "shares", SAMPLE_REST).select(
         "line_id", "claim_family", "fraud_type")
 
 
@@ -163,7 +163,8 @@ def sample_shares_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream(spark: SparkSession, sf_dir: str, state: Callable[[DataFrame], DataFrame]) -> DataFrame:
     from claimlens.streaming.incremental import stream_totals, write_chunks
     folder = _scratch(spark, "totals")
-    lines = _lines(spark, sf_dir).select("enc_key", "fraud_type", "fraud_label", "flagged_for_review", "rule_score")
+    columns = ["enc_key", "fraud_type", "fraud_label", "flagged_for_review", "rule_score"]
+    lines = _lines(spark, sf_dir, columns).select(*columns)
     write_chunks(lines, f"{folder}/chunks", CHUNK_SIZE)
     return stream_totals(spark, f"{folder}/chunks", folder, state)
 

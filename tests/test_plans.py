@@ -47,3 +47,64 @@ def test_exact_integer_rounding_beyond_doubles(spark):
     n = 2 ** 53 + 1
     got = spark.range(1).select(round_div(F.lit(3 * n), 3).alias("a"), round_div(F.lit(-7), 2).alias("b")).first()
     assert (got.a, got.b) == (n, -4)
+
+
+def _only(columns, df):
+    return df.select(*[c for c in df.columns if c in set(columns)])
+
+
+def test_queries_name_every_column_that_they_read(spark, lines, monkeypatch):
+    """Every query on the scored lines can be built from the columns that it asks for."""
+    from claimlens.plans import queries as Q
+    asked = {}
+
+    def narrow(spark, sf_dir, columns, cfg):
+        asked[name] = set(columns)
+        return _only(columns, lines)
+
+    monkeypatch.setattr(Q, "lines_with", narrow)
+    registry = Q.all_queries()
+    names = [*Q.LINE_PROJECTIONS, *Q.SUMMARIES, "review_queue", "merge_provider_partials", "merge_counts", "merge_confusion",
+             "merge_detection", "chunk_manifest", "union_families", "dictionary_fields", "top_suspicious_providers",
+             "top_suspicious_providers_fd", "top_fraud_types", "top_rule_reasons", "line_flags"]
+    for name in names:
+        assert registry[name](spark, SF_SMALL).columns
+    assert set(asked) == set(names)
+    assert max(len(c) for c in asked.values()) <= 16              # out of 68
+
+
+def test_lines_of_some_columns_equal_the_whole_table(spark, lines, monkeypatch):
+    from claimlens.plans import v6
+    from claimlens.plans.queries import LINE_PROJECTIONS
+    monkeypatch.setattr(v6, "_MATERIALIZED", {})
+    monkeypatch.setattr(v6, "_SEEDED", {})
+    monkeypatch.setattr(v6, "_SOME_COLUMNS", {})
+    columns = [*LINE_PROJECTIONS["rules_v6"], *LINE_PROJECTIONS["detection_features"][1:], "member_age"]
+    some = v6.lines_with(spark, SF_SMALL, columns)
+    assert sorted(some.columns) == sorted(columns)                # no other column was written
+    assert not v6._SEEDED and not v6._MATERIALIZED
+    whole = lines.select(*columns)
+    some = some.select(*columns)
+    assert some.count() == whole.count() and some.exceptAll(whole).isEmpty()
+    assert v6.lines_with(spark, SF_SMALL, columns[:3]).columns == v6.lines_with(spark, SF_SMALL, columns).columns
+    assert "denial_reason" in v6.lines_with(spark, SF_SMALL, ["denial_reason"]).columns and v6._MATERIALIZED
+
+
+def test_v3_lines_of_some_columns_equal_the_whole_table(spark):
+    from claimlens.plans.v3 import V3_RULES, v3_lines
+    columns = ["line_id", *V3_RULES, "rule_score", "rule_primary_reason", "duplicate_signature_count", "provider_avg_allowed", "units"]
+    some = v3_lines(spark, SF_SMALL, columns=columns)
+    assert "member_gender" not in some.columns
+    whole = v3_lines(spark, SF_SMALL)
+    assert "member_gender" in whole.columns
+    assert some.count() == whole.count() and some.select(*columns).exceptAll(whole.select(*columns)).isEmpty()
+
+
+def test_v3_quantile_does_not_read_the_features(spark, monkeypatch):
+    """The 98th percentile is taken from the lines before the features' joins."""
+    from claimlens.plans import v3
+    read = []
+    real = v3.exact_quantile
+    monkeypatch.setattr(v3, "exact_quantile", lambda df, *a, **k: read.append(df.columns) or real(df, *a, **k))
+    v3.v3_lines(spark, SF_SMALL, columns=["line_id"])
+    assert len(read) == 1 and "duplicate_signature_count" not in read[0]
