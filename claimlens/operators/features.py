@@ -57,9 +57,10 @@ def group_features(df: DataFrame, specs: list[tuple[list[str], dict[str, tuple[s
 
     ``specs``: (keys, {output name: (kind, column)}), kind ``repeats`` (a signature's count, alone in its set),
     ``count``, ``cents`` (mean of a cents column, as an amount) or ``mean``.  Each key set is aggregated once, map-side
-    first.  A key set that is part of a larger one (the provider in the provider's day) is summed from that one's groups
-    and joined to them, so the lines are aggregated and joined once for both and never meet a table keyed by a hot
-    provider alone.  Sets of the keys named in ``few`` have few groups: their table is written, counted and broadcast.
+    first.  A key set that is part of a larger one (the provider in the provider's day) is joined to that one's groups, so
+    the lines are joined once for both and never meet a table keyed by a hot provider alone.  Its table is written and
+    counted: broadcast to the larger set's groups, these are exchanged once, as the lines need them.  Sets of the keys
+    named in ``few`` have few groups: their table is written, counted and broadcast.
     """
     out = df
     for keys, outputs in specs:
@@ -71,18 +72,14 @@ def group_features(df: DataFrame, specs: list[tuple[list[str], dict[str, tuple[s
     within = {tuple(k): next((o for o in sets if set(k) < set(o) and len(o) == len(k) + 1), k) for k in sets}
     for keys in (k for k in sets if within[tuple(k)] == k):
         inside = [(k, o) for k, o in specs if within[tuple(k)] == keys]
-        wanted = [c for _, o in inside for _, c in o.values() if c]
-        table = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                      *[F.sum(c).alias(f"_sum_{c}") for c in dict.fromkeys(wanted)])
-        joined = table
+        joined = _sums(df, keys, [c for _, c in next(o for k, o in inside if k == keys).values() if c])
         for k, outputs in inside:
             if k == keys:
                 joined = joined.withColumns({name: _figure(kind, c) for name, (kind, c) in outputs.items()})
             else:
-                coarse = table.groupBy(*k).agg(F.sum("_n").alias("_n"), *[F.sum(f"_sum_{c}").alias(f"_sum_{c}")
-                                                                          for c in dict.fromkeys(wanted)])
+                coarse = _sums(df, k, [c for _, c in outputs.values() if c])
                 coarse = coarse.select(*k, *[_figure(kind, c).alias(name) for name, (kind, c) in outputs.items()])
-                joined = joined.join(coarse, k)
+                joined = join_groups(joined, stage_table(coarse, "coarse-keys"), k)
         names = [name for _, o in inside for name in o]
         if few and set(few) & set(keys):
             out = join_groups(out, stage_table(joined.select(*keys, *names), "few-keys"), keys, "left")
@@ -91,6 +88,10 @@ def group_features(df: DataFrame, specs: list[tuple[list[str], dict[str, tuple[s
     return out
 
 
+def _sums(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{c}") for c in dict.fromkeys(columns)])
+
+
 def _figure(kind: str, column: str) -> Column:
     if kind == "count":
         return F.col("_n")

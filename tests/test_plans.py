@@ -108,3 +108,22 @@ def test_v3_quantile_does_not_read_the_features(spark, monkeypatch):
     monkeypatch.setattr(v3, "exact_quantile", lambda df, *a, **k: read.append(df.columns) or real(df, *a, **k))
     v3.v3_lines(spark, SF_SMALL, columns=["line_id"])
     assert len(read) == 1 and "duplicate_signature_count" not in read[0]
+
+
+def test_provider_days_are_exchanged_once(spark, lines):
+    """The provider's mean comes to the provider's days by a broadcast, so these keep the exchange that the lines meet."""
+    from claimlens.operators.features import V6_SIGNATURE, group_features
+    days = group_features(lines.select("line_id", *V6_SIGNATURE), [
+        (["provider_id", "service_date"], {"day_lines": ("count", "")}),
+        (["provider_id"], {"provider_mean": ("cents", "contract_rate")})])
+    initial = _plan(days).split("== Initial Plan ==")[-1]
+    assert initial.count("Exchange hashpartitioning") <= 2        # the days, and the lines where these are many
+
+
+def test_features_of_null_keys(spark):
+    from claimlens.operators.features import group_features
+    rows = spark.createDataFrame([(1, "a", "x", 100), (2, "a", "x", 300), (3, "a", "y", 500), (4, None, "x", 700), (5, None, None, 900),
+                                  (6, "b", None, 50)], "id int, provider_id string, day string, cents bigint")
+    got = group_features(rows, [(["provider_id", "day"], {"n": ("count", "")}), (["provider_id"], {"mean": ("cents", "cents")})])
+    assert sorted(map(tuple, got.select("id", "n", "mean").collect())) == [
+        (1, 2, 3.0), (2, 2, 3.0), (3, 1, 3.0), (4, None, None), (5, None, None), (6, None, None)]
