@@ -281,7 +281,8 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame], giant: i
     ek = F.col("l_orderkey").cast("string")
     etype0 = encounter_type(spec, ek)
 
-    pre = base.select(
+    # The lines are sorted once, for their numbers and before they get wider: the flags' windows take that order.
+    pre = base.withColumn("claim_line_no", encounters.line_number()).select(
         "*", spec.alias("_spec"), cls.alias("_cls"), etype0.alias("etype0"),
     ).withColumn("_code0", service_code(F.col("etype0"), F.col("_spec"), F.col("l_partkey")))
     # X01 context: does the encounter bill a panel?  Seeding never rewrites panel codes
@@ -290,8 +291,7 @@ def claims_from_star(spark: SparkSession, tables: dict[str, DataFrame], giant: i
                            enc_has_panel=F.col("_code0").isin("80053", "85025"))
     df = pre.select(
         F.col("l_orderkey").alias("enc_key"),
-        encounters.line_number().alias("claim_line_no"),
-        "l_partkey", "l_suppkey",
+        "claim_line_no", "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("int").alias("qty"),
         F.round(F.col("l_discount") * 100).cast("int").alias("disc_e2"),
         F.to_date("l_shipdate").alias("service_date"),

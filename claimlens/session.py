@@ -89,7 +89,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     import uuid
     spark = df.sparkSession
     path = f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 

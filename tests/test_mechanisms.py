@@ -230,6 +230,13 @@ def test_staged_tables_go(spark, tmp_path):
     assert any(name.startswith("some-") for name in os.listdir(folder)) and df.count() == 5
 
 
+def test_staged_tables_are_written_small(spark):
+    """Staged tables are written with zstd, whatever the session's codec."""
+    from claimlens.session import stage_table
+    files = stage_table(spark.range(5), "small").inputFiles()
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_samples_and_streams_move_only_their_columns(spark, lines, monkeypatch):
     """Neither the candidates of a sample nor the chunk files of the provider rollup hold whole lines."""
     from claimlens.plans import queries as Q

@@ -127,3 +127,13 @@ def test_features_of_null_keys(spark):
     got = group_features(rows, [(["provider_id", "day"], {"n": ("count", "")}), (["provider_id"], {"mean": ("cents", "cents")})])
     assert sorted(map(tuple, got.select("id", "n", "mean").collect())) == [
         (1, 2, 3.0), (2, 2, 3.0), (3, 1, 3.0), (4, None, None), (5, None, None), (6, None, None)]
+
+
+def test_lines_are_sorted_once_for_their_encounter(spark):
+    """The number's window sorts the exchanged lines, narrow as they are; the flags' window takes that order."""
+    from claimlens.plans.v6 import shaped_lines
+    steps = [line for line in _plan(shaped_lines(spark, SF_SMALL)).splitlines() if "l_orderkey" in line]
+    windows = [i for i, line in enumerate(steps) if "- Window [" in line]
+    sorts = [i for i, line in enumerate(steps) if "- Sort [" in line]
+    assert len(windows) == 2 and "row_number()" in steps[windows[1]]
+    assert not [i for i in sorts if i < windows[1]] and "l_linenumber" in steps[sorts[0]]
