@@ -108,18 +108,23 @@ def _figure(kind: str, column: str) -> Column:
     return F.col(f"_sum_{column}").cast("double") / F.col("_n").cast("double")
 
 
-def features_v6(df: DataFrame, scope: str = "global", member: str = "member_id", provider: str = "provider_id") -> DataFrame:
-    """G01-G05 for the v6 profile: signature, provider-day with the provider's mean, and service code.
+def features_v6(df: DataFrame, scope: str = "global") -> DataFrame:
+    """G01-G05 for the v6 profile."""
+    return contract_ratios(group_features_v6(df, scope))
+
+
+def group_features_v6(df: DataFrame, scope: str = "global", member: str = "member_id", provider: str = "provider_id") -> DataFrame:
+    """G01-G04 for the v6 profile: signature, provider-day with the provider's mean, and service code.
 
     ``member`` and ``provider``: the columns that tell these apart, ids or the keys behind them.
     """
     signature = [{"member_id": member, "provider_id": provider}.get(c, c) for c in V6_SIGNATURE]
-    return contract_ratios(group_features(df, [
+    return group_features(df, [
         (_scope(signature, scope), {"duplicate_signature_count": ("repeats", "")}),
         (_scope([provider, "service_date"], scope), {"provider_day_claim_count": ("count", "")}),
         (_scope([provider], scope), {"provider_avg_contract_rate": ("cents", "contract_rate")}),
         (_scope(["service_code"], scope), {"service_code_avg_contract_rate": ("cents", "contract_rate")}),
-    ], few=("service_code",)))
+    ], few=("service_code",))
 
 
 def allowed_ratios(billed: Column, allowed: Column, profile: str) -> Column:

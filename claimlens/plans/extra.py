@@ -15,7 +15,8 @@ from claimlens.operators.rules import SIGNALS, apply_rules_v6
 from claimlens.operators.evaluate import model_performance
 from claimlens.plans import early, v2
 from claimlens.plans.queries import CHUNK_SIZE, TEST_VOLUME, _fd_claims, _fd_lines, _lake, _lines, _scratch
-from claimlens.plans.v6 import TEST_CONFIG, V5_DROP, V6_COLUMNS, final_projection, shaped_lines
+from claimlens.plans.v6 import TEST_CONFIG, V5_DROP, V6_COLUMNS, featured_lines, final_projection, shaped_lines, unfold
+from claimlens.session import code_cut, stage_table
 from claimlens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,17 +115,22 @@ LINE_SCHEMA = ", ".join(f"{c} {t}" for c, t in V6_COLUMNS) + ", chunk_id bigint"
 
 
 def _written_lines(spark: SparkSession, sf_dir: str) -> str:
-    """A line table written by two versions: even chunks with the 68 columns of v6, odd ones with the 60 of v5."""
+    """A line table written by two versions: even chunks with the 68 columns of v6, odd ones with the 60 of v5.
+
+    The compact lines are staged with their features and brought to their chunks' order; only then are they unfolded to
+    all columns, so the wide rows go from there to their files without an exchange or a sort.
+    """
     from claimlens.operators.features import with_chunk_id
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         path = _scratch(spark, "line-files")
-        chunked = with_chunk_id(_lines(spark, sf_dir), CHUNK_SIZE)
+        chunked = with_chunk_id(stage_table(featured_lines(spark, sf_dir, TEST_CONFIG), "featured"), CHUNK_SIZE)
         for odd, drop in ((0, ()), (1, V5_DROP)):
-            part = chunked.where(F.col("chunk_id") % 2 == odd)
-            columns = [c for c in final_projection(part, drop=drop).columns]
-            out = final_projection(part.withColumn("_chunk", F.col("chunk_id")), V6_COLUMNS + [("chunk_id", "bigint")], drop)
-            out.select(*columns, "chunk_id").repartitionByRange("chunk_id", "line_id").write.mode("append").partitionBy("chunk_id").parquet(path)
+            order = ["chunk_id", "enc_key", "claim_line_no"]
+            part = chunked.where(F.col("chunk_id") % 2 == odd).repartitionByRange(*order).sortWithinPartitions(*order)
+            # the cut keeps this sort from being given up for one of the wide rows
+            out = final_projection(unfold(spark, code_cut(part), TEST_CONFIG), V6_COLUMNS + [("chunk_id", "bigint")], drop)
+            out.write.mode("append").option("compression", "zstd").partitionBy("chunk_id").parquet(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 

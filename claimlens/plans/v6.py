@@ -9,17 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.functions.draws import line_id
+from claimlens.functions.money import int_div
 from claimlens.operators.edits import adjudicate, external_edit, mue_like_edit
-from claimlens.operators.features import features_v6, with_chunk_id
+from claimlens.operators.features import contract_ratios, features_v6, group_features_v6, with_chunk_id
 from claimlens.operators.rules import SIGNALS, RulesV6, TEST_RULES, apply_rules_v6
 from claimlens.operators.seed import COPY_STEP, SEEDED_REASONS, SeedParams, seed_all_v6, seed_and_edit
-from claimlens.operators.shape import (_case, catalogue_columns, claim_family, claims_from_star, class_from_key, diagnosis_code,
+from claimlens.operators.shape import (_case, _pick, catalogue_columns, claim_family, claims_from_star, class_from_key, diagnosis_code,
                                        encounter_columns, member_columns, provider_columns, service_catalog_df, specialty_from_key)
 from claimlens.session import code_cut, stage_table
+from claimlens.sources import catalogs as C
 from claimlens.sources.tables import star_tables
 
 # 68 output columns, in order; money and rates leave the engine as DOUBLE.
@@ -157,35 +159,59 @@ def lines_with(spark: SparkSession, sf_dir: str, columns: Iterable[str], cfg: V6
 
 #: What the compact form keeps of the seeded lines.
 COMPACT = [
-    "enc_key", "claim_line_no", "is_seeded_copy", "member_key", "plan_type", "provider_key", "l_partkey", "service_date", "qty", "etype0",
-    "linked_facility_claim", "service_code", "upcoded_from", "units", "allowed_amount", "contract_rate", "billed_amount", "denial_reason",
-    "payment_type", "ncci_like_edit_flag", "fraud_type", *[f"{s}_signal" for s in SIGNALS],
+    "enc_key", "claim_line_no", "is_seeded_copy", "member_key", "provider_key", "l_partkey", "service_date", "qty", "labels",
+    "linked_facility_claim", "service_code", "upcoded_from", "units", "allowed_amount", "contract_rate", "billed_amount",
+    "ncci_like_edit_flag", *[f"{s}_signal" for s in SIGNALS],
 ]
+#: Columns with few values, all from lists of the library's own: together the digits of one number, ``labels``.
+LABELS = {
+    "plan_type": sorted({*C.PLAN_BY_SEGMENT.values(), C.PLAN_OTHER}),
+    "etype0": ["ed_facility", "inpatient_facility", "pharmacy", "admin", "member_submitted", "professional"],
+    "denial_reason": ["", *C.DENIAL_REASONS],
+    "payment_type": [name for name, _ in C.PAYMENT_TYPES],
+    "fraud_type": list(SEEDED_REASONS),
+}
 #: The provider's key of lines that have none: they are one provider, as their id is one.
 NO_KEY = -(1 << 63)
 
 
+def fold_labels() -> Column:
+    """One number for the ``LABELS`` columns of a line."""
+    out, step = F.lit(0), 1
+    for name, values in LABELS.items():
+        out, step = out + _case(F.col(name), {v: i * step for i, v in enumerate(values)}, None), step * len(values)
+    return out
+
+
+def unfold_labels() -> dict[str, Column]:
+    """The ``LABELS`` columns from their number."""
+    out, step = {}, 1
+    for name, values in LABELS.items():
+        out[name], step = _pick(values, F.pmod(int_div(F.col("labels"), step), F.lit(len(values)))), step * len(values)
+    return out
+
+
 def compact_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG) -> DataFrame:
     """The seeded and edited lines without what follows from the rest of the line, a third of their bytes."""
     df = shaped_lines(spark, sf_dir, code_cut).withColumn("_code", F.col("service_code"))
     df = seed_and_edit(df, cfg.seed, code_cut).withColumns({
-        "provider_key": F.coalesce("l_suppkey", F.lit(NO_KEY)),
+        "labels": fold_labels(), "provider_key": F.coalesce("l_suppkey", F.lit(NO_KEY)),
         "upcoded_from": F.when(F.col("service_code") != F.col("_code"), F.col("_code"))})
     return df.select(*COMPACT)
 
 
 def featured_lines(spark: SparkSession, sf_dir: str, cfg: V6Config = TEST_CONFIG) -> DataFrame:
-    """The compact lines, written once, with their features (G01-G05 over all lines): what is exchanged is narrow."""
-    return features_v6(stage_table(compact_lines(spark, sf_dir, cfg), "compact"), member="member_key", provider="provider_key")
+    """The compact lines, written once, with their features over all lines (G01-G04): what is exchanged is narrow."""
+    return group_features_v6(stage_table(compact_lines(spark, sf_dir, cfg), "compact"), member="member_key", provider="provider_key")
 
 
 def unfold(spark: SparkSession, df: DataFrame, cfg: V6Config = TEST_CONFIG) -> DataFrame:
-    """The whole scored lines from compact ones with their features: ids, member, provider, encounter, catalogue row, A01, rules.
+    """The whole scored lines from compact ones with their features: ids, member, provider, encounter, catalogue row, A01, G05, rules.
 
     Every step is on the line by itself, so the rows keep their partitions and order.
     """
     k, etype0, family = F.col("l_suppkey"), F.col("etype0"), F.col("claim_family")
-    df = df.withColumns({
+    df = df.withColumns(unfold_labels()).drop("labels").withColumns({
         "l_suppkey": F.when(F.col("provider_key") != NO_KEY, F.col("provider_key")),
         "claim_family": claim_family(etype0),
         "claim_status": F.when(F.col("denial_reason") == "", "paid").otherwise("denied"),
@@ -197,7 +223,7 @@ def unfold(spark: SparkSession, df: DataFrame, cfg: V6Config = TEST_CONFIG) -> D
     df = df.join(cat, F.col("_code") == cat.code, "left").drop("code")
     df = external_edit(mue_like_edit(df)).withColumns(catalogue_columns(family, etype0, F.col("_code"), F.col("qty")))
     df = code_cut(df.drop("_code", "upcoded_from", "provider_key", "base_cents", "mue_limit", *[c for c in cat.columns if c.startswith("cat_")]))
-    df = code_cut(apply_rules_v6(df, cfg.rules))
+    df = code_cut(apply_rules_v6(contract_ratios(df), cfg.rules))
     df = code_cut(df.withColumns(member_columns(F.col("member_key"), F.col("plan_type"))))
     df = code_cut(adjudicate(df))
     own_no = F.col("claim_line_no") - COPY_STEP * F.col("is_seeded_copy")

@@ -63,7 +63,7 @@ def test_numbered_equals_format_string(spark):
 
 def test_lines_without_a_provider_are_one_provider(spark, tmp_path):
     """As in the whole table, where their provider id is one text."""
-    from claimlens.operators.features import features_v6
+    from claimlens.operators.features import group_features_v6
     from claimlens.plans.v6 import NO_KEY
     from pyspark.sql import functions as F
     rows = [(1, None), (2, None), (3, 4), (4, 4), (5, 5)]
@@ -71,6 +71,29 @@ def test_lines_without_a_provider_are_one_provider(spark, tmp_path):
                                "line int, member_key bigint, l_suppkey bigint, service_code string, contract_rate bigint, "
                                "allowed_amount bigint, billed_amount bigint").withColumn("service_date", F.lit("2020-01-01").cast("date"))
     df = df.withColumn("provider_key", F.coalesce("l_suppkey", F.lit(NO_KEY)))
-    got = features_v6(df, member="member_key", provider="provider_key")
+    got = group_features_v6(df, member="member_key", provider="provider_key")
     assert {r.line: (r.provider_day_claim_count, r.duplicate_signature_count) for r in got.collect()} == {
         1: (2, 2), 2: (2, 2), 3: (2, 2), 4: (2, 2), 5: (1, 1)}
+
+
+def test_line_files_are_unfolded_in_their_chunks_order(spark, monkeypatch):
+    """The wide rows of both versions come from narrow ones that are in order already: no scan, exchange or sort above has them."""
+    import re
+    from pyspark.sql import DataFrameWriter
+    from claimlens.plans import extra
+    _fresh(monkeypatch)
+    plans, real = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *a, **k):
+        if "line-files" in path:
+            plans.append(_plan(self._df))
+        return real(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    got = extra.read_lines_q(spark, SF_SMALL)
+    assert len(plans) == 2 and got.count() > 0
+    for plan in plans:
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+        assert len(scans) == 1 and not re.search("episode_id|member_gender|drug_name", scans[0])
+        steps = [line.split("- ", 1)[-1].split("(")[0] for line in plan.splitlines()]
+        assert sum(s.startswith("Exchange") for s in steps) == 1 and sum(s.startswith("Sort [") for s in steps) == 1
