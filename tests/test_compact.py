@@ -97,3 +97,27 @@ def test_line_files_are_unfolded_in_their_chunks_order(spark, monkeypatch):
         assert len(scans) == 1 and not re.search("episode_id|member_gender|drug_name", scans[0])
         steps = [line.split("- ", 1)[-1].split("(")[0] for line in plan.splitlines()]
         assert sum(s.startswith("Exchange") for s in steps) == 1 and sum(s.startswith("Sort [") for s in steps) == 1
+
+
+def test_first_scripts_base_and_copies_are_compiled(spark, monkeypatch):
+    from claimlens.operators.seed_fd import FD_CARRIED, append_fixed_rate
+    from claimlens.plans import queries as Q
+    from claimlens.session import stage_table
+    from claimlens.sources.tables import read_table
+    _fresh(monkeypatch)
+    base = Q._fd_base(spark, SF_SMALL)
+    assert _largest_method(base) <= HUGE
+    copies = append_fixed_rate(stage_table(base, "test-base"), read_table(spark, SF_SMALL, "supplier", ["s_suppkey"]), FD_CARRIED)
+    explode = [line for line in _plan(copies).splitlines() if "Generate explode" in line]
+    assert explode and not [line for line in explode if "lambda" in line]
+
+
+def test_taken_rows_with_nulls_and_ties(spark):
+    from pyspark.sql import functions as F
+    from claimlens.functions.sampling import is_taken
+    h, k, cut_h, cut_k = (F.col(c) for c in ("h", "k", "ch", "ck"))
+    rows = [(i, *r) for i, r in enumerate([(1, "a", 2, "b"), (2, "a", 2, "b"), (2, "b", 2, "b"), (2, "c", 2, "b"), (3, "a", 2, "b"),
+                                          (1, "a", None, None), (None, None, 2, "b"), (1, "z", 2, "b")])]
+    df = spark.createDataFrame(rows, "i int, h bigint, k string, ch bigint, ck string")
+    got = {r.i: r.t for r in df.select("i", is_taken(h, k, cut_h, cut_k).alias("t")).collect()}
+    assert [got[i] for i in range(len(rows))] == [True, True, True, False, False, False, False, True]
